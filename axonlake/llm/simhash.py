@@ -102,7 +102,7 @@ def _links(positions: list[tuple[int, ...]], max_bits: int):
             keep = tally >= 8 - max_bits
             left, x, same = left[keep], x[keep], same[keep]
             mask = np.packbits(same, axis=1, bitorder="little")[:, 0] if len(left) else np.zeros(0, np.uint8)
-            ok = (agree[mask] == key[left] >> 24) & (np.bitwise_count(x) <= max_bits)
+            ok = (agree[mask] == key[left] >> 24) & (np.bitwise_count(x.view(np.uint64)) <= max_bits)
             for i in left[ok].tolist():  # a spanning forest of the links is enough, so the output is linear
                 p, q = top(i), top(i + gap)
                 if p != q:
