@@ -5,14 +5,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import secrets, simhash
+from . import decontam, packing, quality, secrets, sharding, simhash, tokens
 from .common import table
 
 
+SHARD_BYTES = 1 << 20
+
+
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = sharding.shards(table(spark, sf_dir, "documents"), SHARD_BYTES)
+    return x.select("doc_id", "n_bytes", "shard", "depth", "shard_bytes")
+
+
+OP1_SQL = f"""
+WITH h AS (SELECT doc_id, coalesce(strlen(text), 0)::BIGINT AS n_bytes, ('0x' || substr(md5(doc_id::VARCHAR), 1, 15))::BIGINT AS h FROM documents),
+levels AS (SELECT unnest(range(0, 61))::INT AS depth),
+sizes AS (SELECT depth, h >> (60 - depth) AS p, sum(n_bytes)::BIGINT AS shard_bytes FROM h, levels GROUP BY 1, 2),
+leaf AS (SELECT h.doc_id, min(s.depth) AS depth FROM h, levels l, sizes s WHERE s.depth = l.depth AND s.p = h.h >> (60 - l.depth) AND s.shard_bytes <= {SHARD_BYTES} GROUP BY 1)
+SELECT h.doc_id, h.n_bytes, substr(lpad(bin(h.h), 60, '0'), 1, leaf.depth) AS shard, leaf.depth::INT AS depth, s.shard_bytes
+FROM h JOIN leaf USING (doc_id) JOIN sizes s ON s.depth = leaf.depth AND s.p = h.h >> (60 - leaf.depth)
+"""
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_line_frequency_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents")).drop("kept_words")
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("spans", lambda r: r["k"] < 3)
@@ -20,9 +48,21 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.select("doc_id", n(0).alias("n_assign"), n(1).alias("n_access"), n(2).alias("n_hex"), F.sha2(secrets.digest(base), 256).alias("base_sha256"), secrets.digest(F.col("spans")).alias("spans"))
 
 
+def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.read_ids(tokens.write_ids(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), spaced=True, end=0))
+
+
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), spaced=False, end=2, size=4096)
+
+
 def queries() -> dict:
-    return {k: f for k, f in globals().items() if k.startswith("op")}
+    return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_extendible_sharding": OP1_SQL}
