@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, lm, packing, quality, secrets, sharding, simhash, tokens
+from . import decontam, lm, packing, quality, secrets, sharding, simhash, suffix_dedup, tokens
 from .common import table
 
 
@@ -37,6 +37,10 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicated(table(spark, sf_dir, "documents"))
+
+
 def op4_attention_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.scored(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
