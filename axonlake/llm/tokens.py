@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import struct
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,28 +16,66 @@ from pyspark.sql import functions as F
 
 from .common import n_packs, saved, ship
 
-#: A worker's cache holds so many pieces at most; beyond that new pieces are encoded anew each time.
-CACHE_PIECES = 400_000
+#: A worker's caches hold so many pieces and words at most; beyond that new ones are encoded anew each time.
+CACHE_PIECES, CACHE_WORDS = 500_000, 700_000
 BLOCK = 512
 PERCENTILE = 95
 MAGIC = b"AXT1"
+#: How the two kinds of tokenizer cut a text into words.
+BYTE_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+END_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Characters below this are cut, lowered and normalised alike by every Unicode version.
+STABLE = "\u0130"
+assert array("I").itemsize == 4 and sys.byteorder == "little"
 _encoders: dict[tuple[str, bool], PieceEncoder] = {}
 
 
+def byte_letters() -> list[str]:
+    """The character that byte-level vocabularies write for each byte: itself if printable, else the next above 255."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(others)) for b in range(256)]
+
+
+class _Odd(Exception):
+    """A piece that can't be told apart from its neighbours."""
+
+
+class _Pieces(dict):
+    """Ids of pieces; a missing one is encoded on the spot and kept while there is room."""
+
+    def __init__(self, encoder: PieceEncoder):
+        self.encoder = encoder
+
+    def __missing__(self, piece: str) -> bytes:
+        if self.encoder.spaced and (not piece or piece[0].isspace() or piece[-1].isspace()):
+            raise _Odd
+        ids = self.encoder.piece(" " + piece if self.encoder.spaced else piece)
+        if len(self) < CACHE_PIECES:
+            self[piece] = ids
+        return ids
+
+
 class PieceEncoder:
-    """Ids of whole texts, equal to the tokenizer's own, at a few dictionary look-ups a word.
+    """Ids of whole texts, equal to the tokenizer's own, at a dictionary look-up a word.
 
     A text is cut at single spaces. Neither tokenizer kind merges across such a space: byte-level ones (spaced=True) put
     it in front of the next piece, word-end ones drop it. A piece that begins or ends with white space, or is empty,
-    would break this for byte-level ones; such a text goes to the tokenizer whole.
+    would break this for byte-level ones; such a text goes to the tokenizer whole. A new piece is cut into the words that
+    the tokenizer cuts, and only new words go to its model; a piece with a character from STABLE on goes to the
+    tokenizer itself.
     """
 
     def __init__(self, path: str, spaced: bool):
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.spaced, self.known = spaced, {}
+        self.model = self.tokenizer.model.tokenize
+        self.spaced, self.known, self.words = spaced, _Pieces(self), {}
+        self.cut = regex.compile(BYTE_WORDS if spaced else END_WORDS).findall
+        self.letters = dict(enumerate(byte_letters()))
 
     @classmethod
     def of(cls, path: str, spaced: bool) -> PieceEncoder:
@@ -43,28 +83,41 @@ class PieceEncoder:
             _encoders[path, spaced] = cls(path, spaced)
         return _encoders[path, spaced]
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def piece(self, piece: str) -> bytes:
+        if piece and max(piece) >= STABLE:
+            return self.whole(piece)
+        known, out = self.words, []
+        for w in self.cut(piece if self.spaced else piece.lower()):
+            x = known.get(w)
+            if x is None:
+                letters = "".join(map(self.letters.__getitem__, w.encode()))
+                x = array("I", [t.id for t in self.model(letters)]).tobytes()
+                if len(known) < CACHE_WORDS:
+                    known[w] = x
+            out.append(x)
+        return b"".join(out)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers; null is the empty text."""
-        cut = [(t or "").split(" ") for t in texts]
-        known, lead = self.known, " " if self.spaced else ""
-        new = {p for c in cut for p in c[1:] if p not in known}
-        usable = [p for p in new if not self.spaced or (p and not p[0].isspace() and not p[-1].isspace())]
-        fresh = dict(zip(usable, self._encode([lead + p for p in usable]), strict=True))
-        odd = new.difference(fresh)
-        if len(known) + len(fresh) <= CACHE_PIECES:
-            known.update(fresh)
-            get = known.__getitem__
-        else:
-            get = {**{p: known[p] for c in cut for p in c[1:] if p in known}, **fresh}.__getitem__
-        plain = [not (odd and not odd.isdisjoint(c[1:])) and not (self.spaced and c[0][-1:].isspace()) for c in cut]
-        heads = iter(self._encode([c[0] if ok else (t or "") for c, ok, t in zip(cut, plain, texts, strict=True)]))
-        return [b"".join([next(heads), *map(get, c[1:])]) if ok else next(heads) for c, ok in zip(cut, plain, strict=True)]
-
-
-def encoded(batches: Iterator[pa.RecordBatch], path: str, spaced: bool, end: int, chunk_chars: int = 4_000_000) -> Iterator[tuple[int | None, np.ndarray]]:
+        out, get = [], self.known.__getitem__
+        for t in texts:
+            cut = (t or "").split(" ")
+            head = cut[0]
+            try:
+                if self.spaced and head[-1:].isspace():
+                    raise _Odd
+                cut[0] = self.piece(head)
+                cut[1:] = map(get, cut[1:])
+                out.append(b"".join(cut))
+            except _Odd:
+                out.append(self.whole(t or ""))
+        return out
+
+
+def encoded(batches: Iterator[pa.RecordBatch], path: str, spaced: bool, end: int, chunk_chars: int = 1_000_000) -> Iterator[tuple[int | None, np.ndarray]]:
     """(doc_id, ids with the end id) of each row, in order, a bounded number of characters at a time."""
     encoder, last = PieceEncoder.of(path, spaced), np.array([end], "<u4").tobytes()
     for b in batches:
@@ -78,56 +131,57 @@ def encoded(batches: Iterator[pa.RecordBatch], path: str, spaced: bool, end: int
                 at = to
 
 
-def pack_blocks(ids: np.ndarray) -> tuple[bytes, np.ndarray]:
-    """(payload, starts): each block of BLOCK ids is its minimum, a width that holds PERCENTILE per cent of the
-    differences, the packed low bits, and a list of exceptions (place, high bits). starts are the blocks' byte offsets."""
-    out, starts, at = [], [], 0
+def pack_blocks(ids: np.ndarray) -> tuple[dict[str, np.ndarray], bytes]:
+    """(index, payload). Each block of BLOCK ids is its minimum (low), a width that holds PERCENTILE per cent of the
+    differences, the packed low bits at its start in the payload, and a list of exceptions: places in the block and high
+    bits, where first counts the exceptions of the blocks before."""
     full = -(-len(ids) // BLOCK)
-    padded = np.concatenate([ids, np.full(full * BLOCK - len(ids), ids[-1] if len(ids) else 0, np.uint32)]).astype(np.uint32).reshape(full, BLOCK)
-    low = padded.min(axis=1) if full else np.zeros(0, np.uint32)
-    rest = padded - low[:, None]
+    x = np.concatenate([ids, np.full(full * BLOCK - len(ids), ids[-1] if len(ids) else 0)]).astype(np.uint32).reshape(full, BLOCK)
+    low = x.min(axis=1) if full else np.zeros(0, np.uint32)
+    rest = x - low[:, None]
     cut = np.partition(rest, BLOCK * PERCENTILE // 100, axis=1)[:, BLOCK * PERCENTILE // 100] if full else low
-    widths = np.array([int(c).bit_length() for c in cut.tolist()], np.int64)
-    packed: list = [None] * full
-    for w in np.unique(widths).tolist():
-        which = np.flatnonzero(widths == w)
+    width = np.ceil(np.log2(cut.astype(np.float64) + 1)).astype(np.uint8)
+    sizes = width.astype(np.int64) * (BLOCK // 8)
+    start = np.cumsum(sizes) - sizes
+    payload = np.zeros(int(sizes.sum()), np.uint8)
+    for w in np.unique(width[width > 0]).tolist():
+        which = np.flatnonzero(width == w)
         bits = np.unpackbits(rest[which].astype(">u4").view(np.uint8).reshape(-1, 4), axis=1)[:, 32 - w :]
-        body = np.packbits(bits.reshape(len(which), -1), axis=1)
-        for k, row in zip(which.tolist(), body, strict=True):
-            packed[k] = row.tobytes()
-    high = rest >> widths[:, None].astype(np.uint32)
-    b, place = np.nonzero(high)
-    bounds = np.searchsorted(b, np.arange(full + 1))
-    for k in range(full):
-        s, e = bounds[k], bounds[k + 1]
-        block = struct.pack("<IBH", int(low[k]), int(widths[k]), e - s) + packed[k] + place[s:e].astype("<u2").tobytes() + high[k, place[s:e]].astype("<u4").tobytes()
-        starts.append(at)
-        at += len(block)
-        out.append(block)
-    return b"".join(out), np.array(starts, "<u8")
-
-
-def unpack_block(data: memoryview) -> np.ndarray:
-    low, width, n = struct.unpack_from("<IBH", data)
-    size = BLOCK * width // 8
-    bits = np.unpackbits(np.frombuffer(data, np.uint8, size, 7)).reshape(BLOCK, width)
-    wide = np.zeros((BLOCK, 32), np.uint8)
-    wide[:, 32 - width :] = bits
-    x = np.packbits(wide, axis=1).view(">u4")[:, 0].astype(np.uint32)
-    if n:
-        place = np.frombuffer(data, "<u2", n, 7 + size)
-        x[place] |= np.frombuffer(data, "<u4", n, 7 + size + 2 * n) << np.uint32(width)
-    return x + np.uint32(low)
+        payload[start[which][:, None] + np.arange(w * BLOCK // 8)] = np.packbits(bits.reshape(len(which), -1), axis=1)
+    high = np.where(width[:, None] < 32, rest >> np.minimum(width, 31)[:, None].astype(np.uint32), 0)
+    block, place = np.nonzero(high)
+    first = np.searchsorted(block, np.arange(full))
+    index = {"low": low.astype("<u4"), "width": width, "start": start.astype("<u8"), "first": first.astype("<u8"), "place": place.astype("<u2"), "high": high[block, place].astype("<u4")}
+    return index, payload.tobytes()
+
+
+def unpack_blocks(index: dict[str, np.ndarray], payload: np.ndarray, a: int, z: int) -> np.ndarray:
+    """The ids of blocks a to z - 1; only their bytes and exceptions are read."""
+    low, width, start = index["low"][a:z], index["width"][a:z], index["start"][a:z].astype(np.int64)
+    x = np.zeros((z - a, BLOCK), np.uint32)
+    for w in np.unique(width[width > 0]).tolist():
+        which = np.flatnonzero(width == w)
+        bits = np.unpackbits(payload[start[which][:, None] + np.arange(w * BLOCK // 8)], axis=1).reshape(-1, w)
+        wide = np.zeros((len(bits), 32), np.uint8)
+        wide[:, 32 - w :] = bits
+        x[which] = np.packbits(wide, axis=1).view(">u4").reshape(len(which), BLOCK)
+    first = index["first"].astype(np.int64)
+    s, e = (int(first[k]) if k < len(first) else len(index["place"]) for k in (a, z))
+    block = np.repeat(np.arange(a, z), np.diff(np.append(first[a:z], e))) - a
+    x[block, index["place"][s:e]] |= index["high"][s:e] << width[block].astype(np.uint32)
+    return (x + low[:, None]).reshape(-1)
 
 
 def write_file(docs: list[tuple[int | None, np.ndarray]]) -> bytes:
-    """A file: magic, numbers of documents, ids and blocks; doc_ids, null flags and id counts; block starts; blocks."""
+    """A file: magic; numbers of documents, ids, blocks and exceptions; doc_ids, null flags and id counts; the block
+    index (minimum, width, start, first exception); exceptions (places, high bits); packed blocks."""
     ids = np.concatenate([x for _, x in docs])
-    payload, starts = pack_blocks(ids)
+    index, payload = pack_blocks(ids)
     names = np.array([0 if d is None else d for d, _ in docs], "<i8")
     nulls = np.array([d is None for d, _ in docs], np.uint8)
     counts = np.array([len(x) for _, x in docs], "<u8")
-    return b"".join([MAGIC, struct.pack("<QQQ", len(docs), len(ids), len(starts)), names.tobytes(), nulls.tobytes(), counts.tobytes(), starts.tobytes(), payload])
+    head = struct.pack("<QQQQ", len(docs), len(ids), len(index["low"]), len(index["place"]))
+    return b"".join([MAGIC, head, names.tobytes(), nulls.tobytes(), counts.tobytes(), *(index[n].tobytes() for n in index), payload])
 
 
 class TokenFile:
@@ -136,21 +190,27 @@ class TokenFile:
     def __init__(self, data: bytes):
         if data[:4] != MAGIC:
             raise ValueError("not a token file")
-        n, self.n_ids, blocks = struct.unpack_from("<QQQ", data, 4)
-        at = 28
-        names = np.frombuffer(data, "<i8", n, at)
-        nulls = np.frombuffer(data, np.uint8, n, at + 8 * n)
+        n, self.n_ids, blocks, more = struct.unpack_from("<QQQQ", data, 4)
+        at = 36
+
+        def take(kind, count):
+            nonlocal at
+            x = np.frombuffer(data, kind, count, at)
+            at += x.nbytes
+            return x
+
+        names, nulls = take("<i8", n), take(np.uint8, n)
         self.doc_ids = [None if z else d for d, z in zip(names.tolist(), nulls.tolist(), strict=True)]
-        self.counts = np.frombuffer(data, "<u8", n, at + 9 * n).astype(np.int64)
-        self.offsets = np.frombuffer(data, "<u8", blocks, at + 17 * n).astype(np.int64)
-        self.payload = memoryview(data)[at + 17 * n + 8 * blocks :]
+        self.counts = take("<u8", n).astype(np.int64)
+        kinds = {"low": "<u4", "width": np.uint8, "start": "<u8", "first": "<u8", "place": "<u2", "high": "<u4"}
+        self.index = {k: take(t, blocks if k in ("low", "width", "start", "first") else more) for k, t in kinds.items()}
+        self.payload = np.frombuffer(data, np.uint8, offset=at)
 
     def ids(self, first: int, last: int) -> np.ndarray:
         a, z = first // BLOCK, -(-last // BLOCK)
-        parts = [unpack_block(self.payload[s:]) for s in self.offsets[a:z].tolist()]
-        return np.concatenate(parts)[first - a * BLOCK : last - a * BLOCK] if parts else np.zeros(0, np.uint32)
+        return unpack_blocks(self.index, self.payload, a, z)[first - a * BLOCK : last - a * BLOCK] if z > a else np.zeros(0, np.uint32)
 
-    def documents(self, run: int = 1 << 20) -> Iterator[tuple[int | None, int, np.ndarray]]:
+    def documents(self, run: int = 1 << 18) -> Iterator[tuple[int | None, int, np.ndarray]]:
         """(doc_id, ids before it in the file, ids), decoding about run ids at a time."""
         ends = np.cumsum(self.counts)
         starts, k = ends - self.counts, 0

@@ -21,9 +21,13 @@ def ids_of(name, text):
 @pytest.mark.parametrize(("name", "spaced"), [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
 def test_pieces_equal_the_tokenizer(name, spaced, monkeypatch):
     texts = corpus() + ODD
+    r = __import__("random").Random(1)
+    letters = "aBcé Éñ.,'sStLl12²½ª_-#@\n\t\xa0×÷ßœŒ  "
+    texts += ["".join(r.choice(letters) for _ in range(r.randrange(60))) for _ in range(400)]
     want = [ids_of(name, t) for t in texts]
     for limit in (10**6, 3):
         monkeypatch.setattr(tokens, "CACHE_PIECES", limit)
+        monkeypatch.setattr(tokens, "CACHE_WORDS", limit)
         e = tokens.PieceEncoder(public_tokenizers.path(name), spaced)
         for _ in range(2):
             assert [np.frombuffer(x, "<u4").tolist() for x in e.encode(texts)] == want
@@ -33,9 +37,11 @@ def test_blocks_round_trip():
     r = np.random.default_rng(0)
     for x in (np.zeros(0), np.full(3, 7), r.integers(0, 50_000, 1300), np.r_[r.integers(5, 9, 511), 2**32 - 1], r.integers(0, 2**32, 2000)):
         x = x.astype(np.uint32)
-        payload, starts = tokens.pack_blocks(x)
-        got = [tokens.unpack_block(memoryview(payload)[s:]) for s in starts.astype(int).tolist()]
-        assert np.array_equal(np.concatenate(got)[: len(x)] if got else np.zeros(0, np.uint32), x)
+        index, payload = tokens.pack_blocks(x)
+        data, n = np.frombuffer(payload, np.uint8), -(-len(x) // tokens.BLOCK)
+        assert np.array_equal(tokens.unpack_blocks(index, data, 0, n)[: len(x)], x)
+        for k in range(n):
+            assert np.array_equal(tokens.unpack_blocks(index, data, k, k + 1)[: len(x) - k * tokens.BLOCK], x[k * tokens.BLOCK : (k + 1) * tokens.BLOCK])
     f = tokens.TokenFile(tokens.write_file([(4, np.arange(700, dtype="<u4")), (None, np.array([9], "<u4"))]))
     assert f.ids(510, 514).tolist() == [510, 511, 512, 513] and f.doc_ids == [4, None]
 
