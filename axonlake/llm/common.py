@@ -8,7 +8,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PACKAGE = Path(__file__).resolve().parents[1]
@@ -51,6 +51,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def id_key() -> Column:
+    """The doc_id as a join key; null ones share the smallest long, so they count as one document."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
+
+
 def n_packs(docs: DataFrame, pack_bytes: int) -> int:
     """How many packs of about pack_bytes of text the table makes; at least the number of shuffle partitions."""
     total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0

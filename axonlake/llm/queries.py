@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, lm, packing, quality, secrets, sharding, simhash, suffix_dedup, tokens
+from . import decontam, lm, packing, pii, quality, secrets, sharding, simhash, suffix_dedup, tokens
 from .common import table
 
 
@@ -49,6 +49,13 @@ def op5_line_frequency_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents")).drop("kept_words")
 
 
+def op6_disclosure_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = pii.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda r: r["k"] < 4)
+    n = lambda k: F.size(F.filter("spans", lambda r: r["k"] == k)).cast("long")
+    return x.select("doc_id", *(n(k).alias(f"n_{pii.KINDS[k]}") for k in range(4)), F.sha2(pii.digest(base), 256).alias("base_sha256"), pii.digest(F.col("spans")).alias("spans"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("spans", lambda r: r["k"] < 3)

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, ship, words_of
+from .common import id_key, saved, ship, words_of
 from .components import connected_components
 
 SEED = 42
@@ -161,3 +161,12 @@ def near_duplicates(docs: DataFrame, width: int = 4, max_bits: int = 4) -> DataF
     groups = connected_components(links)
     named = index.join(groups.hint("shuffle_merge"), F.col("root") == F.col("node"), "left").select(F.col("fp").alias("of"), F.coalesce("component", "root").alias("component_id"))
     return fps.join(named.hint("shuffle_merge"), F.col("fp").bitwiseXOR(F.lit(0)) == F.col("of").bitwiseXOR(F.lit(0)), "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def first_of_each(docs: DataFrame, width: int = 4, max_bits: int = 4) -> DataFrame:
+    """One row of docs for each group of near_duplicates(), with all its columns: the document with the smallest doc_id.
+    Of rows with one doc_id one stays; rows with a null doc_id count as one document, which is never a copy."""
+    groups = near_duplicates(docs, width, max_bits)
+    first = groups.where(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).select(id_key().alias("_id")).distinct()
+    x = docs.withColumn("_key", id_key())
+    return x.join(first.hint("shuffle_merge"), F.col("_key") == F.col("_id"), "left_semi").dropDuplicates(["_key"]).drop("_key")
