@@ -1 +1 @@
-"""Part of axonlake."""
+"""Column functions and fixed vocabularies."""

@@ -1 +1 @@
-"""Part of axonlake."""
+"""DataFrame-to-DataFrame operators of the connectome."""
