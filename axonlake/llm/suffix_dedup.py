@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,18 +16,17 @@ from .suffixes import sorted_suffixes
 LENGTH = 50
 #: A string's anchor is the least hash of its substrings of GRAM bytes.
 GRAM = 20
-PACK_BYTES = 8 << 20
+PACK_BYTES = 4 << 20
 CHUNK = 1 << 15
 LAST = np.iinfo(np.int64).max
 
 
-def _least_hashes(buf: np.ndarray, length: int, gram: int) -> np.ndarray:
-    """Of each place p, the least hash of the gram-byte strings within buf[p : p + length]."""
+def _least_hashes(buf: np.ndarray, length: int, gram: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(a, hashes): of the places p from a on, a chunk at a time, the least hash of the gram-byte strings within
+    buf[p : p + length]."""
     n = len(buf) - length + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
     code = np.random.default_rng(1).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    out, window, word = np.empty(n, np.uint64), length - gram + 1, 2**64 - 1
+    window, word = length - gram + 1, 2**64 - 1
     for a in range(0, n, CHUNK):
         z = min(n, a + CHUNK)
         part, one, mul, done, h = code[buf[a : z + length - 1]], 1, 0xD1342543DE82EF95, 0, None
@@ -48,36 +48,45 @@ def _least_hashes(buf: np.ndarray, length: int, gram: int) -> np.ndarray:
             one *= 2
         if one < window:
             h = np.minimum(h[: len(h) - (window - one)], h[window - one :])
-        out[a:z] = h
-    return out
+        yield a, h
 
 
 class Pack:
-    """A pack's documents in one buffer, ordered by doc_id and text, and their runs of strings with one anchor."""
+    """A pack's documents in one buffer, ordered by doc_id and text, and their runs of strings with one anchor. Only the
+    runs are held, not a number for each byte."""
 
     def __init__(self, t: pa.Table, length: int, gram: int):
         ids, texts = t.column("doc_id").to_pylist(), t.column("text").to_pylist()
         order = sorted(range(len(ids)), key=lambda k: (LAST if ids[k] is None else ids[k], texts[k] or ""))
         self.ids = [ids[k] for k in order]
-        raw = [(texts[k] or "").encode("utf-8", "surrogatepass") for k in order]
         self.doc = np.array([LAST if d is None else d for d in self.ids], np.int64)
+        raw = [(texts[k] or "").encode("utf-8", "surrogatepass") for k in order]
+        del texts
         self.ends = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)))
         self.starts = np.concatenate(([0], self.ends[:-1]))
         self.bytes, self.length = b"".join(raw), length
+        del raw
         self.buf = np.frombuffer(self.bytes, np.uint8)
-        least = _least_hashes(self.buf, length, gram)
-        valid = np.zeros(len(least) + 1, np.int8)
-        long = self.ends - self.starts >= length
-        np.add.at(valid, self.starts[long], 1)
-        np.add.at(valid, self.ends[long] - length + 1, -1)
-        valid = np.cumsum(valid[:-1]).astype(bool)
-        new = valid.copy()
-        new[1:] &= (least[1:] != least[:-1]) | ~valid[:-1]
-        new[self.starts[long]] = True
-        stop = valid.copy()  # the last place of a run is before a new one or before an invalid one
-        stop[:-1] &= new[1:] | ~valid[1:]
-        self.first, self.last = np.flatnonzero(new), np.flatnonzero(stop)
-        self.hash, self.of = np.unique(least[self.first], return_inverse=True)
+        last_of = np.maximum(self.ends - length, self.starts - 1)  # last place of a string in each document
+        firsts, hashes, before = [], [], np.uint64(0)
+        for a, h in _least_hashes(self.buf, length, gram):
+            lo, hi = np.searchsorted(self.ends, [a, a + len(h)], side="right")
+            edge = np.zeros(len(h) + 1, np.int8)
+            s, e = self.starts[lo : hi + 1], last_of[lo : hi + 1]
+            real = e >= s
+            np.add.at(edge, np.clip(s[real] - a, 0, len(h)), 1)
+            np.add.at(edge, np.clip(e[real] + 1 - a, 0, len(h)), -1)
+            valid = np.cumsum(edge[:-1], dtype=np.int8) > 0
+            new = np.concatenate(([a == 0 or h[0] != before], h[1:] != h[:-1]))
+            begin = self.starts[lo : hi + 1] - a
+            new[begin[(begin >= 0) & (begin < len(h))]] = True
+            at = np.flatnonzero(new & valid)
+            firsts.append(at + a)
+            hashes.append(h[at])
+            before = h[-1]
+        self.first = np.concatenate([*firsts, np.zeros(0, np.int64)]).astype(np.int64)
+        self.last = np.minimum(np.append(self.first[1:], len(self.buf)) - 1, last_of[self.docs_of()]) if len(self.first) else self.first
+        self.hash, self.of = np.unique(np.concatenate([*hashes, np.zeros(0, np.uint64)]), return_inverse=True)
 
     def docs_of(self) -> np.ndarray:
         """Number of the document of each run."""
@@ -232,15 +241,17 @@ def _mark(length: int, gram: int, with_parts: bool):
         mine = p.docs_of()[run]
         earlier = doc[k] < p.doc[mine]
         start = (p.first[run] + off[k])[earlier]
-        delta = np.zeros(len(p.buf) + 1, np.int64)
+        delta = np.zeros(len(p.buf) + 1, np.int32)
         np.add.at(delta, start, 1)
         np.add.at(delta, start + places[k][earlier] + length - 1, -1)
-        gone = np.cumsum(delta[:-1]) > 0
+        np.cumsum(delta, out=delta)
+        gone = delta[:-1] > 0
+        del delta, k, run, mine, earlier, start, parts, per, off, places, doc, contents
         opens = gone.copy()
         opens[1:] &= ~gone[:-1]
         inside = p.starts[p.starts < len(gone)]
         opens[inside] = gone[inside]  # a span never goes on in the next document
-        removed, spans = np.concatenate(([0], np.cumsum(gone))), np.concatenate(([0], np.cumsum(opens)))
+        removed, spans = (np.concatenate(([0], np.cumsum(x, dtype=np.int32))) for x in (gone, opens))
         kept = p.buf[~gone].tobytes()
         at, cols, pieces, marks = 0, [], [], []
         for d, s, e in zip(p.ids, p.starts.tolist(), p.ends.tolist(), strict=True):
