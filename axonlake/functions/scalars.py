@@ -114,7 +114,8 @@ def integral(c: Column) -> Column:
 def argmax_name(values: Column, names: list[str]) -> Column:
     """Name of the greatest value, the first of ties; NaN and null count as missing, all missing gives null."""
     clean = F.transform(values, lambda v: F.when(~F.isnan(v), v))
-    return F.element_at(F.array(*(F.lit(n) for n in names)), F.nullif(F.array_position(clean, F.array_max(clean)), F.lit(0)).cast("int"))
+    top = F.array_max(clean)
+    return F.when(top.isNotNull(), F.element_at(F.array(*(F.lit(n) for n in names)), F.array_position(clean, top).cast("int")))
 
 
 def is_close(a: Column, b: Column) -> Column:

@@ -20,8 +20,8 @@ def messages(spark: SparkSession, path: str) -> DataFrame:
 def parsed(raw: DataFrame) -> DataFrame:
     """Messages as columns: line ends inside are escaped, backslashes that escape nothing doubled; what still is no JSON
     is dropped."""
-    text = F.regexp_replace(F.rtrim(F.regexp_replace("value", r"[\r\n]+$", "")), r"\r?\n", r"\\\\n")
-    text = F.regexp_replace(text, r'(?<!\\)((?:\\\\)*)\\(?!["\\/bfnrtu])', r"$1\\\\\\\\")
+    text = F.regexp_replace(F.rtrim(F.regexp_replace("value", r"[\r\n]+$", "")), r"\r?\n", r"\\n")
+    text = F.regexp_replace(text, r'(?<!\\)((?:\\\\)*)\\(?!["\\/bfnrtu])', r"$1\\\\")
     return raw.select(F.from_json(text, SCHEMA, {"mode": "PERMISSIVE"}).alias("m")).where("m.uri IS NOT NULL").select("m.*")
 
 

@@ -53,7 +53,8 @@ def mode(points: DataFrame, group: str) -> DataFrame:
 
 def group_confidence(points: DataFrame, modes: DataFrame, matrix: DataFrame, group: str) -> DataFrame:
     """(group, confidence, num_tbar_nt_predictions): mean of the matrix at (group prediction, point prediction)."""
-    x = points.join(modes, points[group].eqNullSafe(modes[group])).select(points[group], "pred1", "group_pred")
+    own = modes.select(F.col(group).alias("_g"), "group_pred")
+    x = points.select(group, "pred1").join(own, F.col(group).eqNullSafe(F.col("_g"))).drop("_g")
     m = matrix.select(F.col("ground_truth").alias("group_pred"), "pred1", "p")
     return x.join(m, ["group_pred", "pred1"], "left").groupBy(group).agg(F.coalesce(F.avg("p"), F.lit(0.0)).alias("confidence"), F.count("pred1").alias("num_tbar_nt_predictions"))
 

@@ -34,7 +34,7 @@ def annotations_for(ann: DataFrame, points: DataFrame, present: DataFrame | None
 
 
 def syn_counts(points: DataFrame, *keys: str) -> DataFrame:
-    return points.groupBy(*keys).pivot("kind", ["PreSyn", "PostSyn"]).agg(F.count("*")).na.fill(0, ["PreSyn", "PostSyn"])
+    return points.groupBy(*keys).pivot("kind", ["PreSyn", "PostSyn"]).agg(F.count(F.lit(1))).na.fill(0, ["PreSyn", "PostSyn"])
 
 
 def downstream_capture(partners: DataFrame) -> DataFrame:

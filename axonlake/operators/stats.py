@@ -52,7 +52,7 @@ def element_counts(elements: DataFrame, kinds: list[str]) -> DataFrame:
 
 
 def element_pivot(elements: DataFrame, kinds: list[str]) -> DataFrame:
-    return elements.groupBy("body", "roi").pivot("type", kinds).agg(F.count("*")).na.fill(0, kinds)
+    return elements.groupBy("body", "roi").pivot("type", kinds).agg(F.count(F.lit(1))).na.fill(0, kinds)
 
 
 def region_totals(by_region: DataFrame) -> DataFrame:

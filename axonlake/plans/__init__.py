@@ -1 +1 @@
-"""Part of axonlake."""
+"""Whole products, built lazily from the operators."""
