@@ -51,6 +51,12 @@ def _least_hashes(buf: np.ndarray, length: int, gram: int) -> Iterator[tuple[int
         yield a, h
 
 
+def _spread(h: np.ndarray) -> np.ndarray:
+    """Least hashes are small; a one-to-one mix spreads them over all owners."""
+    h = (h ^ h >> np.uint64(31)) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ h >> np.uint64(27)
+
+
 class Pack:
     """A pack's documents in one buffer, ordered by doc_id and text, and their runs of strings with one anchor. Only the
     runs are held, not a number for each byte."""
@@ -82,7 +88,7 @@ class Pack:
             new[begin[(begin >= 0) & (begin < len(h))]] = True
             at = np.flatnonzero(new & valid)
             firsts.append(at + a)
-            hashes.append(h[at])
+            hashes.append(_spread(h[at]))
             before = h[-1]
         self.first = np.concatenate([*firsts, np.zeros(0, np.int64)]).astype(np.int64)
         self.last = np.minimum(np.append(self.first[1:], len(self.buf)) - 1, last_of[self.docs_of()]) if len(self.first) else self.first
