@@ -163,10 +163,140 @@ def near_duplicates(docs: DataFrame, width: int = 4, max_bits: int = 4) -> DataF
     return fps.join(named.hint("shuffle_merge"), F.col("fp").bitwiseXOR(F.lit(0)) == F.col("of").bitwiseXOR(F.lit(0)), "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def first_of_each(docs: DataFrame, width: int = 4, max_bits: int = 4) -> DataFrame:
-    """One row of docs for each group of near_duplicates(), with all its columns: the document with the smallest doc_id.
-    Of rows with one doc_id one stays; rows with a null doc_id count as one document, which is never a copy."""
-    groups = near_duplicates(docs, width, max_bits)
+#: Words of a wide fingerprint, which near copies at a word-set similarity are found by.
+WIDE = 4
+#: Bits by which two wide fingerprints may differ for each unit that the similarity allows, beyond what is expected.
+SLACK = 1.2
+
+
+def bits_at(similarity: float) -> int:
+    """Bits that wide fingerprints of two equally large sets of that Jaccard similarity may differ by: the expected
+    number, 64 WIDE times the angle between the sets over pi, and some slack for chance."""
+    return int(SLACK * 64 * WIDE * np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+
+
+def wide_fingerprint(text: str | None, width: int = 5) -> np.ndarray:
+    """WIDE words of SimHash over the set of shingles of width words; zeros for a text without words."""
+    words = words_of(text)
+    if not words:
+        return np.zeros(WIDE, np.uint64)
+    joined = b" ".join(words)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    starts = np.concatenate(([0], ends[:-1] + 1))
+    k = min(width, len(words))
+    shingles = {joined[s:e] for s, e in zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True)}
+    h = np.fromiter(map(xxhash.xxh64_intdigest, shingles), np.uint64, len(shingles))
+    out = np.zeros(WIDE, np.uint64)
+    for at in range(WIDE):
+        ones = np.zeros(64, np.int64)
+        for a in range(0, len(h), CHUNK):
+            x = h[a : a + CHUNK] + np.uint64(at * 0x9E3779B97F4A7C15 & 2**64 - 1)
+            x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+            x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+            x ^= x >> np.uint64(31)
+            ones += np.unpackbits(x.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        out[at] = np.packbits(2 * ones > len(h), bitorder="little").view("<u8")[0]
+    return out
+
+
+def _wide_fingerprints(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            known: dict[str | None, np.ndarray] = {}
+            rows = []
+            for t in b.column("text").to_pylist():
+                if t not in known:
+                    known[t] = wide_fingerprint(t, width)
+                rows.append(known[t])
+            w = np.array(rows, np.uint64).reshape(-1, WIDE).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(np.ascontiguousarray(w[:, k])) for k in range(WIDE))], ["doc_id", *(f"w{k}" for k in range(WIDE))])
+
+    return run
+
+
+def _similar(max_bits: int):
+    """Links within runs of equal keys, as _links, for wide fingerprints."""
+
+    def within(key: np.ndarray, root: np.ndarray, words: list[np.ndarray]) -> list[tuple[int, int]]:
+        parent = np.arange(len(key))
+
+        def top(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        out, at, gap = [], np.arange(len(key)), 1
+        while len(at):
+            at = at[at + gap < len(key)]
+            at = at[key[at] == key[at + gap]]
+            left = at[parent[at] != parent[at + gap]]
+            d = np.zeros(len(left), np.int64)
+            for w in words:
+                d += np.bitwise_count((w[left] ^ w[left + gap]).view(np.uint64))
+            for i in left[d <= max_bits].tolist():
+                p, q = top(i), top(i + gap)
+                if p != q:
+                    parent[max(p, q)] = min(p, q)
+                    out.append((int(root[i]), int(root[i + gap])))
+            gap += 1
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+
+        def emit(cols):
+            pairs = within(cols[0], cols[1], cols[2:])
+            return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], ["a", "b"])
+
+        for b in batches:
+            new = [b.column(k).to_numpy(zero_copy_only=False) for k in range(2 + WIDE)]
+            cols = new if held is None else [np.concatenate(p) for p in zip(held, new, strict=True)]
+            if not len(cols[0]):
+                continue
+            cut = int(np.searchsorted(cols[0], cols[0][-1]))
+            yield emit([c[:cut] for c in cols])
+            held = [c[cut:] for c in cols]
+        if held is not None:
+            yield emit(held)
+
+    return run
+
+
+def similar_documents(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(doc_id, component_id): groups of documents whose sets of shingles are alike to at least similarity (Jaccard), as
+    wide fingerprints tell; component_id is the smallest doc_id of the group.
+
+    At such a similarity fingerprints differ in many bits, so no number of shared bytes is sure. The 8 WIDE positional
+    bytes are taken in groups of four; posting lists are intersected at the pairs of positions within each group, which
+    meets pairs that share two bytes of a group (19 of 20 at 0.8, nearly all above), and a met pair is verified by all
+    its bits: at most bits_at(similarity) may differ. Copies, large intersections, nulls and ties are as in
+    near_duplicates(). Documents without words are alike.
+    """
+    ship(docs.sparkSession)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    names = [f"w{k}" for k in range(WIDE)]
+    fps = saved(rows.mapInArrow(_wide_fingerprints(width), "doc_id long, " + ", ".join(f"{n} long" for n in names)), "wide")
+    index = saved(fps.groupBy(*names).agg(F.min("doc_id").alias("root")).where("root IS NOT NULL"), "wide-index")
+    byte = lambda n, x: F.shiftrightunsigned(n, 8 * x).bitwiseAND(F.lit(255))
+    keys, k = [], 0
+    for n in names:
+        for group in (range(4), range(4, 8)):
+            for x, y in combinations(group, 2):
+                keys.append(F.lit(k << 16).cast("long").bitwiseOR(F.shiftleft(byte(n, x), 8)).bitwiseOR(byte(n, y)))
+                k += 1
+    postings = index.select(F.explode(F.array(*keys)).alias("key"), "root", *names)
+    links = postings.repartition("key").sortWithinPartitions("key", "root").mapInArrow(_similar(bits_at(similarity)), "a long, b long")
+    groups = connected_components(links)
+    named = index.join(groups.hint("shuffle_merge"), F.col("root") == F.col("node"), "left").select(*(F.col(n).alias(f"_{n}") for n in names), F.coalesce("component", "root").alias("component_id"))
+    same = [F.col(n).bitwiseXOR(F.lit(0)) == F.col(f"_{n}").bitwiseXOR(F.lit(0)) for n in names]
+    return fps.join(named.hint("shuffle_merge"), same, "left").select("doc_id", "component_id")
+
+
+def first_of_each(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """One row of docs for each group of similar_documents(), with all its columns: the document with the smallest
+    doc_id. Of rows with one doc_id one stays; rows with a null doc_id count as one document, which is never a copy."""
+    groups = similar_documents(docs, width, similarity)
     first = groups.where(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).select(id_key().alias("_id")).distinct()
     x = docs.withColumn("_key", id_key())
     return x.join(first.hint("shuffle_merge"), F.col("_key") == F.col("_id"), "left_semi").dropDuplicates(["_key"]).drop("_key")

@@ -9,8 +9,8 @@ from axonlake.llm import decontam, packing, quality, secrets, simhash
 from axonlake.llm.common import saved, table
 from axonlake.llm.queries import tokenizer
 
-#: Near-duplicate stage: words a shingle.
-SHINGLE = 5
+#: Near-duplicate stage: words a shingle, and the similarity from which documents are copies.
+SHINGLE, SIMILARITY = 5, 0.8
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,7 +20,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: the one with the smallest doc_id."""
-    return simhash.first_of_each(docs, width=SHINGLE)
+    return simhash.first_of_each(docs, width=SHINGLE, similarity=SIMILARITY)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,14 +7,17 @@ import corpus_pipeline as cp
 from .helpers import SCHEMA
 from .test_quality import slow as counts
 from .test_secrets import slow as secret_spans
-from .test_simhash import classes
-from .test_simhash import slow as print_of
 
 
 def prose(r, n=90):
     return " ".join("".join(r.choice("abcdefgilmnorstu") for _ in range(r.randrange(2, 9))) for _ in range(n))
 
 
+def alike(a, b):
+    a, b = ({tuple(t.lower().split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in (a, b))
+    return len(a & b) >= 0.8 * len(a | b)
+
+
 def test_stages(spark, tmp_path):
     r = random.Random(9)
     item = prose(r, 30)
@@ -32,7 +35,7 @@ def test_stages(spark, tmp_path):
 
     single = cp.near_dedup(spark, kept, str(tmp_path))
     ids = [i for i in sorted(good - {None})]
-    want = {i for i, c in classes(ids, [print_of(texts[i], 5) for i in ids]).items() if i == c} | {None}
+    want = {i for i in ids if not any(alike(texts[i], texts[j]) for j in ids if j < i)} | {None}
     got = [x.doc_id for x in single.collect()]
     assert single.columns == names and set(got) == want and len(got) == len(want)
 

@@ -90,3 +90,22 @@ def test_components(spark):
 
 def test_empty(spark):
     assert simhash.near_duplicates(docs(spark, [])).collect() == []
+
+
+def test_similar_documents_find_near_copies(spark):
+    r = np.random.default_rng(8)
+    word = lambda: "".join(chr(97 + int(c)) for c in r.integers(0, 26, 5))
+    base = [[word() for _ in range(300)] for _ in range(60)]
+    texts = [" ".join(b) for b in base]
+    for k, b in enumerate(base[:40]):  # 5 edits of 300 words: similarity about 0.85
+        e = list(b)
+        for i in range(25, 300, 60):
+            e[i + int(r.integers(0, 20))] = word()
+        texts.append(" ".join(e))
+    for b in base[40:]:  # half the words edited: not alike
+        texts.append(" ".join(w if i % 10 > 2 else word() for i, w in enumerate(b)))
+    got = {x.doc_id: x.component_id for x in simhash.similar_documents(docs(spark, texts + [None, "", texts[0]])).collect()}
+    assert sum(got[60 + k] == k for k in range(40)) >= 37
+    assert all(got[i] == i for i in [*range(60), *range(100, 120)])
+    assert got[120] == got[121] == 120 and got[122] == 0
+    assert simhash.similar_documents(docs(spark, [])).collect() == []
