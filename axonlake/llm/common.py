@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -35,14 +37,27 @@ def shared_dir(spark: SparkSession) -> str:
     if d := sc.getConf().get("spark.checkpoint.dir", None):
         return d.rstrip("/")
     if sc.applicationId not in _own_dir:
-        _own_dir[sc.applicationId] = f"file://{tempfile.mkdtemp(prefix='axonlake-')}"
+        own = tempfile.mkdtemp(prefix="axonlake-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        _own_dir[sc.applicationId] = f"file://{own}"
     return _own_dir[sc.applicationId]
 
 
+def _tables(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/axonlake-{spark.sparkContext.applicationId}"
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete the tables that this application has saved; results that still read them can't be computed any more."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_tables(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """df written to a table in the shared folder and read back: cuts lineage, survives lost executors, is computed once."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/axonlake/{uuid.uuid4().hex}/{name}.parquet"
+    path = f"{_tables(spark)}/{uuid.uuid4().hex}/{name}.parquet"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -109,3 +109,15 @@ def test_similar_documents_find_near_copies(spark):
     assert all(got[i] == i for i in [*range(60), *range(100, 120)])
     assert got[120] == got[121] == 120 and got[122] == 0
     assert simhash.similar_documents(docs(spark, [])).collect() == []
+
+
+def test_saved_tables_can_be_deleted(spark):
+    import os
+
+    from axonlake.llm import common
+
+    common.saved(spark.range(3), "t")
+    folder = common._tables(spark).removeprefix("file://")
+    assert os.listdir(folder)
+    common.clean(spark)
+    assert not os.path.exists(folder)
