@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import point_string
-from . import connectome, stats
+from . import connectome, stats, windows
 
 
 def synset_ids() -> tuple[Column, Column]:
@@ -79,7 +79,8 @@ def element_sets(points: DataFrame, bodies: DataFrame) -> tuple[DataFrame, DataF
 
 def batches(df: DataFrame, key: str, size: int = 10_000) -> DataFrame:
     """Batch numbers of keys in order, size keys each."""
-    return df.withColumn("batch", F.floor((F.dense_rank().over(Window.orderBy(key)) - 1) / size))
+    numbered = windows.ranked(df.select(key).distinct(), [], key, "batch")
+    return df.join(numbered.withColumn("batch", F.floor((F.col("batch") - 1) / size)), key)
 
 
 #: Graph type suffixes by Spark type.

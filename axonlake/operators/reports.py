@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.constants import UNSPECIFIED
+from . import windows
+from .stats import body_stats
 
 
 def with_capture(partners: DataFrame, ann: DataFrame, least: int) -> DataFrame:
@@ -47,14 +49,11 @@ def completeness(points: DataFrame, partners: DataFrame, ann: DataFrame, stop_at
     """The completeness curve: bodies ranked by status, synweight, pre and post (ties by body); at each rank the shares
     of PreSyn, PostSyn, synweight and connections whose bodies are ranked no later.
 
-    A connection is captured at the later of its bodies' ranks. Ranks and running sums are taken over body rows, one for
-    each body, after all counting.
+    A connection is captured at the later of its bodies' ranks. Ranks and running sums are taken in blocks, so no task
+    sees all bodies.
     """
-    from .stats import body_stats
-
     s = body_stats(points, partners).join(ann.select("body", "status_rank"), "body")
-    best = Window.orderBy(F.desc("status_rank"), F.desc("synweight"), F.desc("pre"), F.desc("post"), F.asc("body"))
-    r = s.withColumn("rnk", F.row_number().over(best)).where(F.col("rnk") <= stop_at)
+    r = windows.ranked(s, ["status_rank", "synweight", "pre", "post"], "body", "rnk").where(F.col("rnk") <= stop_at)
     both = partners.select("body_pre", "body_post")
     for side in ("pre", "post"):
         both = both.join(r.select(F.col("body").alias(f"body_{side}"), F.col("rnk").alias(f"r_{side}")), f"body_{side}")
@@ -62,11 +61,10 @@ def completeness(points: DataFrame, partners: DataFrame, ann: DataFrame, stop_at
     x = r.join(captured, "rnk", "left").na.fill(0, ["conn"])
     total = points.agg(F.count_if(F.col("kind") == "PreSyn").alias("t_pre"), F.count_if(F.col("kind") == "PostSyn").alias("t_post"))
     n = partners.agg(F.count("*").alias("t_conn"))
-    up = Window.orderBy("rnk").rowsBetween(Window.unboundedPreceding, 0)
     t, c = total.first(), n.first()["t_conn"]
-    share = lambda col, of: F.try_divide(F.sum(col).over(up).cast("double"), F.lit(of)).alias(f"traced_{col_name[col]}_frac")
-    col_name = {"pre": "presyn", "post": "postsyn", "synweight": "synweight", "conn": "conn"}
-    return x.select("rnk", "body", "status_rank", share("pre", t["t_pre"]), share("post", t["t_post"]), share("synweight", t["t_post"] + c), share("conn", c))
+    x = windows.running(x, "rnk", ["pre", "post", "synweight", "conn"])
+    share = lambda col, of, name: F.try_divide(F.col(col).cast("double"), F.lit(of)).alias(f"traced_{name}_frac")
+    return x.select("rnk", "body", "status_rank", share("pre", t["t_pre"], "presyn"), share("post", t["t_post"], "postsyn"), share("synweight", t["t_post"] + c, "synweight"), share("conn", c, "conn"))
 
 
 def by_status(curve: DataFrame, *keys: str) -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.constants import UNSPECIFIED
+from . import windows
 from .rois import unpivoted
 
 COUNTS = ("pre", "post", "downstream", "upstream", "synweight")
@@ -80,8 +81,7 @@ def region_names(by_region: DataFrame) -> DataFrame:
 
 def ranked(stats: DataFrame, ann: DataFrame) -> DataFrame:
     """Body counts with status and type, ranked by synweight, pre and post, ties by body."""
-    w = Window.orderBy(F.desc("synweight"), F.desc("pre"), F.desc("post"), F.asc("body"))
-    return stats.join(ann, "body", "left").withColumn("rank", F.row_number().over(w))
+    return windows.ranked(stats, ["synweight", "pre", "post"], "body").join(ann, "body", "left")
 
 
 def flags(by_region: DataFrame, rois: list[str]) -> DataFrame:
