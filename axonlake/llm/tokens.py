@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .common import n_packs, saved, ship
 
 #: A worker's caches hold so many pieces and words at most; beyond that new ones are encoded anew each time.
-CACHE_PIECES, CACHE_WORDS = 500_000, 700_000
+CACHE_PIECES, CACHE_WORDS = 700_000, 1_000_000
 BLOCK = 512
 PERCENTILE = 95
 MAGIC = b"AXT1"
