@@ -50,3 +50,12 @@ def test_edges(spark):
     assert quality.judged(docs(spark, [])).collect() == []
     x = quality.kept_documents(docs(spark, [prose(1), None, prose(2), "x"]))
     assert [r.doc_id for r in x.orderBy("doc_id").collect()] == [0, 2] and x.columns == docs(spark, []).columns
+
+
+def test_fixed_header_and_footer_are_boilerplate(spark):
+    part = lambda name, n: [" ".join(f"{name}{i}n{j}" for j in range(12)) for i in range(n)]
+    pages = ["\n".join([*part("h", 10), prose(k, 25), *part("f", 6)]) for k in range(40)]
+    same = ["\n".join([prose(500), prose(501)])] * 40
+    got = quality.judged(docs(spark, pages + same).selectExpr("doc_id", "text", "'s' AS source")).orderBy("doc_id").collect()
+    assert [r.kept_words for r in got[:40]] == [25] * 40 and not any(r.kept for r in got[:40])
+    assert all(r.kept and r.kept_words == 120 for r in got[40:])
