@@ -16,8 +16,8 @@ from .common import saved, ship, words_of
 KINDS = ("email", "ip", "card", "phone", "general", "removed")
 #: Words on either side of an entity that may reveal it.
 REACH = 8
-#: A term needs so many different surroundings of an entity as evidence.
-SUPPORT = 3
+#: Documents without the entity that a term's estimate starts from, so that little evidence discloses less.
+PRIOR = 1.0
 #: A term is generalised if its mutual information with an entity is this share of the entity's information; removed at the second.
 GENERALISE, REMOVE = 0.8, 0.95
 #: Distinct terms that a task counts in memory before it passes the counts on.
@@ -139,24 +139,26 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out()
 
 
-def disclosing(pairs: DataFrame, counts: DataFrame, entities: DataFrame, n_docs: int, support: int, generalise: float) -> DataFrame:
+def disclosing(pairs: DataFrame, counts: DataFrame, entities: DataFrame, n_docs: int, generalise: float) -> DataFrame:
     """(entity, term, share): terms whose mutual information with an entity is a share of at least generalise of the
-    entity's information -log p(e). With p(e | t) = documents with both / documents with t, PMI = log(p(e | t) / p(e))."""
-    both = pairs.groupBy("entity", "term", "around").agg(F.countDistinct("row").alias("d")).groupBy("entity", "term").agg(F.sum("d").alias("both"), F.count("*").alias("seen")).where(F.col("seen") >= support)
+    entity's information -log p(e). PMI = log(p(e | t) / p(e)), with p(e | t) = documents with both / documents with t in
+    the term's independent documents, of which the pair has one for each of its surroundings, and PRIOR more without e."""
+    both = pairs.groupBy("entity", "term", "around").agg(F.countDistinct("row").alias("d")).groupBy("entity", "term").agg(F.sum("d").alias("both"), F.count("*").alias("seen"))
     x = both.join(counts, "term").join(entities, "entity")
     information = -F.log(F.col("n_entity") / F.lit(float(max(1, n_docs))))
-    pmi = information + F.log(F.least(F.lit(1.0), F.col("both") / F.col("n")))
+    pmi = information + F.log(F.col("seen") / (F.col("seen") * F.greatest(F.lit(1.0), F.col("n") / F.col("both")) + F.lit(PRIOR)))
     return x.where(information > 0).withColumn("share", pmi / information).where(F.col("share") >= generalise).select("entity", "term", "share")
 
 
-def scan(docs: DataFrame, support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
+def scan(docs: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
     """(doc_id, spans): array of (start, k, end) in code points by start, then kind; k indexes KINDS.
 
     Base kinds are the four fixed patterns; their values are the protected entities. A term near an entity is generalised
     or removed if it discloses the entity: its pointwise mutual information, from how many documents of the whole corpus
-    hold the term, the entity and both near each other, is at least the set share of the entity's information. A pair
-    needs support different surroundings, so copies of a document are one piece of evidence and nothing is concluded
-    from an entity that occurs once.
+    hold the term, the entity and both near each other, is at least the set share of the entity's information. The
+    estimate is smoothed by the number of different surroundings of a pair, so copies of a document are one piece of
+    evidence, and an entity that occurs once or twice is judged too: the rarer it is in the corpus, the less evidence
+    a term needs.
 
     Null text is empty; repeated rows are scanned each (as evidence they count once, as documents each); an empty table
     gives no rows; other columns are ignored. Counts are added up in tasks before they are shuffled; only the terms near
@@ -168,7 +170,7 @@ def scan(docs: DataFrame, support: int = SUPPORT, generalise: float = GENERALISE
     pairs = found.where(F.size("pairs") > 0).select("row", F.explode("pairs").alias("p")).select("row", "p.*")
     counts = x.select("text").mapInArrow(_term_counts, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     entities = pairs.groupBy("entity", "row").agg(F.lit(1).alias("one")).groupBy("entity").agg(F.count("*").alias("n_entity"))
-    known = disclosing(pairs, counts, entities, found.count(), support, generalise)
+    known = disclosing(pairs, counts, entities, found.count(), generalise)
     known = saved(known, "disclosing").select(F.col("entity").alias("e"), F.col("term").alias("t"), "share")
     hit = pairs.join(known.hint("shuffle_merge"), (F.col("entity") == F.col("e")) & (F.col("term") == F.col("t")))
     k = F.when(F.max("share") >= remove, F.lit(KINDS.index("removed"))).otherwise(F.lit(KINDS.index("general")))

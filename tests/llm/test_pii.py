@@ -55,3 +55,13 @@ def test_disclosing_terms(spark):
     assert all(s.k < 4 for i in range(6, len(texts)) for s in got[i])
     clean = {x.doc_id: x.text for x in pii.sanitised(docs(spark, texts)).collect()}
     assert "zorblax" not in clean[0] and "[EMAIL]" in clean[0] and clean[60] == texts[60]
+
+
+def test_terms_of_rare_entities_are_judged(spark):
+    filler = "alder birch cedar dune elm fern"
+    texts = [f"{filler} zorblax mail jo.doe@corp.example {filler}", f"{filler} {filler}", f"mail {filler}"] + [f"mail {filler} {filler}"] * 2000
+    texts += [f"quimby {filler} tel +1 (389) 555-5010 {filler}"] * 2
+    got = {x.doc_id: [(texts[x.doc_id][s.start : s.end], s.k) for s in x.spans] for x in pii.scan(docs(spark, texts)).collect()}
+    assert got[0] == [("zorblax", 4), ("jo.doe@corp.example", 0)]
+    assert [t for t, _ in got[2003]] == [t for t, _ in got[2004]] == ["quimby", "tel", "+1 (389) 555-5010"]
+    assert not any(got[i] for i in range(1, 2003))
