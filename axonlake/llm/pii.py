@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -87,19 +88,18 @@ def _hash(x: bytes) -> int:
 def nearby(t: str, spans: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int, int, int]]:
     """(entity, term, surroundings, start, end) of the terms within REACH words of an entity and outside all spans."""
     out = []
+    found = [m.span() for m in WORD.finditer(t)] if spans else []
+    starts, ends = [a for a, _ in found], [z for _, z in found]
     for s, k, e, value in spans:
         entity = _hash(f"{k}:{value}".encode())
-        left = list(WORD.finditer(t, max(0, s - 40 * REACH), s))[-REACH:]
-        right = []
-        for m in WORD.finditer(t, e, min(len(t), e + 40 * REACH)):
-            right.append(m)
-            if len(right) == REACH:
-                break
-        words = [m for m in left + right if all(m.end() <= a or m.start() >= z for a, _, z, _ in spans)]
-        around = _hash(" ".join(m[0] for m in words).encode())
-        for m in words:
-            if (w := term_of(m[0].encode("utf-8", "surrogatepass").lower())) is not None:
-                out.append((entity, _hash(w), around, m.start(), m.end()))
+        i, j = bisect_left(starts, s), bisect_right(ends, e)
+        # words that touch the entity are cut there
+        near = [(a, min(z, s)) for a, z in found[max(0, i - REACH) : i]] + [(max(a, e), z) for a, z in found[j : j + REACH]]
+        words = [(a, z) for a, z in near if all(z <= x or a >= y for x, _, y, _ in spans)]
+        around = _hash(" ".join(t[a:z] for a, z in words).encode())
+        for a, z in words:
+            if (w := term_of(t[a:z].encode("utf-8", "surrogatepass").lower())) is not None:
+                out.append((entity, _hash(w), around, a, z))
     return out
 
 

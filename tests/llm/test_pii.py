@@ -65,3 +65,10 @@ def test_terms_of_rare_entities_are_judged(spark):
     assert got[0] == [("zorblax", 4), ("jo.doe@corp.example", 0)]
     assert [t for t, _ in got[2003]] == [t for t, _ in got[2004]] == ["quimby", "tel", "+1 (389) 555-5010"]
     assert not any(got[i] for i in range(1, 2003))
+
+
+def test_eight_words_on_either_side_however_long():
+    long = ["x" * n for n in (500, 3, 900, 40, 7, 320, 5, 11, 6)]
+    t = " ".join(long) + "  mail:a@b.example, " + "\n".join(long)
+    got = [t[a:z] for _, _, _, a, z in pii.nearby(t, pii.base_spans(t))]
+    assert got == [*long[2:], "mail:", *long[:7]]
