@@ -8,8 +8,12 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,3 +84,13 @@ def n_packs(docs: DataFrame, pack_bytes: int) -> int:
 def words_of(text: str | None) -> list[bytes]:
     """Words [^\\x20\\x09-\\x0D]+ of the text with A-Z in lower case, as UTF-8. bytes.split() and lower() are ASCII-only."""
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
+
+
+def slices(texts: pa.Array, size: int) -> Iterator[tuple[int, int]]:
+    """(from, to) runs of texts of about size bytes; a longer text is a run of its own."""
+    ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(texts), 0)).astype(np.int64))
+    at = 0
+    while at < len(ends):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, side="right")))
+        yield at, to
+        at = to

@@ -14,24 +14,31 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ASK = "pack int, owner int, blob binary"
+ASK = "pack long, owner long, blob binary"
 
 
 def packs(docs: DataFrame, n: int) -> DataFrame:
     """(pack, doc_id, text), dealt out by a hash of doc_id and text; null doc_ids are spread by their text."""
     d, t = F.col("doc_id").cast("long"), F.col("text").cast("string")
-    return docs.select(F.pmod(F.xxhash64(d, F.when(d.isNull(), t)), F.lit(n)).cast("int").alias("pack"), d.alias("doc_id"), t.alias("text"))
+    return docs.select(F.pmod(F.xxhash64(d, F.when(d.isNull(), t)), F.lit(n)).alias("pack"), d.alias("doc_id"), t.alias("text"))
 
 
-def _batch(rows: list[tuple], names=("pack", "owner", "blob")) -> pa.Table:
-    return pa.table([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())], list(names))
+def rows_of(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.binary()))], ["pack", "owner", "blob"])
+
+
+def _batch(rows: list[tuple]) -> pa.Table:
+    return pa.Table.from_batches([rows_of(rows)])
 
 
 def split(hashes: np.ndarray, owners: int) -> list[tuple[int, int, int]]:
-    """(owner, first, last) runs of sorted unsigned 64-bit hashes, by equal ranges of the hash."""
-    cuts = np.array([(k << 64) // owners for k in range(1, owners)], np.uint64)
-    edges = [0, *np.searchsorted(hashes, cuts).tolist(), len(hashes)]
-    return [(k, a, z) for k, (a, z) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if z > a]
+    """(owner, first, last) runs of sorted unsigned 64-bit hashes, by equal ranges of the hash (of its first 32 bits).
+    There are as many runs as owners that hold a hash, so messages never outnumber the hashes."""
+    if not len(hashes):
+        return []
+    owner = (hashes >> np.uint64(32)) * np.uint64(owners) >> np.uint64(32)
+    first = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
+    return list(zip(owner[first].tolist(), first.tolist(), [*first[1:].tolist(), len(hashes)], strict=True))
 
 
 def asked(docs: DataFrame, ask: Callable[[pa.Table], list[tuple[int, bytes]]]) -> DataFrame:
