@@ -14,7 +14,8 @@ from .common import ship
 from .tokens import encoded
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-OPEN_WINDOWS = 8192
+#: Tokens that are packed together, which bounds what a task holds.
+RUN_TOKENS = 1 << 25
 
 
 class Packer:
@@ -25,7 +26,7 @@ class Packer:
     """
 
     def __init__(self, size: int):
-        self.size, self.levels, self.open, self.count, self.next = size, np.zeros(size + 1, np.int64), {}, 0, 0
+        self.size, self.levels, self.open, self.held, self.next = size, np.zeros(size + 1, np.int64), {}, 0, 0
 
     def _window(self) -> int:
         self.next += 1
@@ -33,6 +34,7 @@ class Packer:
 
     def add(self, doc: int | None, ids: np.ndarray) -> Iterator[tuple]:
         total = len(ids)
+        self.held += total
         whole = total - total % self.size
         for s in range(0, whole, self.size):
             yield self._row((doc, s, ids[s : s + self.size], total), self._window(), 0)
@@ -49,16 +51,12 @@ class Packer:
         h = best + 1 if best >= 0 and cost[best] <= 2 * n[r] - 1 else 0
         w, pieces = self.open[h].pop() if h else (self._window(), [])
         self.levels[h] -= h > 0
-        self.count -= h > 0
         pieces.append(piece)
         if h + r == self.size:
             yield from self._rows(w, pieces)
         else:
             self.levels[h + r] += 1
-            self.count += 1
             self.open.setdefault(h + r, []).append((w, pieces))
-            if self.count > OPEN_WINDOWS:
-                yield from self.merge(last=False)
 
     def _row(self, piece, window, offset) -> tuple:
         doc, start, ids, total = piece
@@ -70,10 +68,10 @@ class Packer:
             yield self._row(p, window, at)
             at += len(p[2])
 
-    def merge(self, last: bool = True) -> Iterator[tuple]:
-        """Empties the open windows: full ones come out; unless last, the one left over stays open."""
+    def merge(self) -> Iterator[tuple]:
+        """Empties the open windows; the next document starts anew."""
         windows = [(h, w, p) for h in sorted(self.open, reverse=True) for w, p in self.open[h]]
-        self.open, self.count = {}, 0
+        self.open, self.held = {}, 0
         self.levels[:] = 0
         left, right, spare = 0, len(windows) - 1, []
         while left <= right:
@@ -97,10 +95,6 @@ class Packer:
             return
         rest = spare[::-1]
         n = sum(len(p[2]) for p in rest)
-        if not last:
-            self.open[n], self.count = [(self._window(), rest)], 1
-            self.levels[n] = 1
-            return
         for bit in reversed(range(n.bit_length())):
             if n >> bit & 1:
                 w, at, want = self._window(), 0, 1 << bit
@@ -128,6 +122,8 @@ def _pack(path: str, spaced: bool, end: int, size: int):
         rows: list[tuple] = []
         for d, ids in encoded(batches, path, spaced, end):
             rows.extend(packer.add(d, ids))
+            if packer.held >= RUN_TOKENS:
+                rows.extend(packer.merge())
             if len(rows) >= 20_000:
                 yield table(rows)
                 rows = []
@@ -141,7 +137,8 @@ def packed(docs: DataFrame, path: str, spaced: bool = False, end: int = 2, size:
     """Pieces (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset) of sequences of at most size tokens.
 
     Each partition of the input packs its own documents in their order, so nothing is shuffled, a lost task is redone
-    alike, and a document never waits for another machine. sequence_id is the partition and a running number. Null and
+    alike, and a document never waits for another machine; a partition of over RUN_TOKENS tokens is packed in runs of that
+    many, so a task holds a run's ids at most. sequence_id is the partition and a running number. Null and
     empty texts are the end id alone; repeated rows are packed each; no rows give no pieces; other columns are ignored.
     """
     ship(docs.sparkSession)

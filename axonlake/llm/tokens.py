@@ -63,7 +63,8 @@ class PieceEncoder:
     it in front of the next piece, word-end ones drop it. A piece that begins or ends with white space, or is empty,
     would break this for byte-level ones; such a text goes to the tokenizer whole. A new piece is cut into the words that
     the tokenizer cuts, and only new words go to its model; a piece with a character from STABLE on goes to the
-    tokenizer itself.
+    tokenizer itself. So does a text that holds the first two characters of a special token, as the tokenizer finds those
+    before it cuts.
     """
 
     def __init__(self, path: str, spaced: bool):
@@ -71,8 +72,8 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model.tokenize
+        self.marks = {t.content[:2] for t in self.tokenizer.get_added_tokens_decoder().values()}
         self.spaced, self.known, self.words = spaced, _Pieces(self), {}
         self.cut = regex.compile(BYTE_WORDS if spaced else END_WORDS).findall
         self.letters = dict(enumerate(byte_letters()))
@@ -107,6 +108,8 @@ class PieceEncoder:
             cut = (t or "").split(" ")
             head = cut[0]
             try:
+                if t and any(m in t for m in self.marks):
+                    raise _Odd
                 if self.spaced and head[-1:].isspace():
                     raise _Odd
                 cut[0] = self.piece(head)

@@ -1,3 +1,4 @@
+import functools
 import zlib
 
 import numpy as np
@@ -9,13 +10,16 @@ from axonlake.llm import packing, tokens
 
 from .helpers import corpus, docs
 
-ODD = ["a  b", " lead", "trail ", "tab\t x", "x\n y", "x \ny", "a  b", "a  b", " ", "it's I'm 12 345", "a\n\nb  \n c", "Σας ΣΑΣ", "é ́x", "İstanbul", "", None, " ", "日本 語。 ok", "x\x1c y", "x \x85y"]
+ODD = ["a  b", " lead", "trail ", "tab\t x", "x\n y", "x \ny", "a  b", "a  b", " ", "it's I'm 12 345", "a\n\nb  \n c", "Σας ΣΑΣ", "é ́x", "İstanbul", "", None, " ", "日本 語。 ok", "x\x1c y", "x \x85y", "a <|endoftext|> b", "<|startoftext|>x<|ENDOFTEXT|>", "c <| d<|endoftext|>", "<|endoftext"]
+
+
+@functools.cache
+def tokenizer(name):
+    return Tokenizer.from_file(public_tokenizers.path(name))
 
 
 def ids_of(name, text):
-    t = Tokenizer.from_file(public_tokenizers.path(name))
-    t.encode_special_tokens = True
-    return t.encode(text or "", add_special_tokens=False).ids
+    return tokenizer(name).encode(text or "", add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize(("name", "spaced"), [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
@@ -85,16 +89,47 @@ def check_packing(rows, want, size):
 
 def test_packer_places_every_id_once():
     r = np.random.default_rng(2)
-    for limit in (packing.OPEN_WINDOWS, 5):
-        packing.OPEN_WINDOWS, kept = limit, packing.OPEN_WINDOWS
-        p, want, rows = packing.Packer(64), {}, []
-        for d in range(500):
-            ids = r.integers(0, 9, int(r.integers(1, 150))).astype("<u4")
-            want[d] = ids.tolist()
-            rows.extend(p.add(d, ids))
-        rows.extend(p.merge())
-        packing.OPEN_WINDOWS = kept
-        assert check_packing(rows, want, 64) == 0
+    p, want, rows = packing.Packer(64), {}, []
+    for d in range(500):
+        ids = r.integers(0, 9, int(r.integers(1, 150))).astype("<u4")
+        want[d] = ids.tolist()
+        rows.extend(p.add(d, ids))
+        if d == 300:
+            rows.extend(p.merge())
+            assert p.held == 0
+    rows.extend(p.merge())
+    assert check_packing(rows, want, 64) == 0
+
+
+def slow_level(levels, r, size):
+    """The level whose window a piece of r goes to (0: a new window): every choice's sum of squares, ties to the fullest."""
+    best = None
+    for h in range(size - r + 1):
+        if h and not levels[h]:
+            continue
+        after = dict(enumerate(levels))
+        if h:
+            after[h] -= 1
+        if h + r < size:
+            after[h + r] += 1
+        cost = sum(v * v for k, v in after.items() if 0 < k < size)
+        if best is None or cost <= best[0]:
+            best = (cost, h)
+    return best[1]
+
+
+def test_packer_follows_the_sum_of_squares():
+    r = np.random.default_rng(4)
+    for top in (20, 40, 63):
+        p, levels = packing.Packer(32), [0] * 33
+        for d in range(400):
+            n = int(r.integers(1, top))
+            list(p.add(d, np.zeros(n, "<u4")))
+            if n % 32:
+                h = slow_level(levels, n % 32, 32)
+                levels[h] -= h > 0
+                levels[h + n % 32] += h + n % 32 < 32
+            assert p.levels[1:32].tolist() == levels[1:32]
 
 
 def test_packing_of_documents(spark):
