@@ -70,6 +70,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns that df has no column of, in any case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n in taken:
+            n += "_"
+        out.append(n)
+        taken.add(n)
+    return out
+
+
 def id_key() -> Column:
     """The doc_id as a join key; null ones share the smallest long, so they count as one document."""
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_key, saved, ship, words_of
+from .common import fresh, id_key, saved, ship, words_of
 
 SEED = 3
 SIMILARITY = 0.8
@@ -238,5 +238,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
 def clean_documents(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of docs without a copy of a test item, with all their columns. Rows of one doc_id go or stay together;
     those with a null doc_id count as one document."""
-    bad = saved(contaminated(docs, benchmark, similarity).select(id_key().alias("_id")).distinct(), "contaminated")
-    return docs.join(bad, id_key() == F.col("_id"), "left_anti")
+    (key,) = fresh(docs, "_id")
+    bad = saved(contaminated(docs, benchmark, similarity).select(id_key().alias(key)).distinct(), "contaminated")
+    return docs.join(bad, id_key() == F.col(key), "left_anti")

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_key, saved, ship
+from .common import fresh, id_key, saved, ship
 
 #: A line is boilerplate in a host if it stands in more than MIN_DOCS documents there and in more than SHARE of the host's.
 MIN_DOCS, SHARE = 20, 0.0005
@@ -104,5 +104,6 @@ def judged(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, shar
 def kept_documents(docs: DataFrame, **limits) -> DataFrame:
     """The rows of docs that judged() keeps, by doc_id, with all their columns; rows of one doc_id go or stay together
     (they stay if any of them is kept). Rows with a null doc_id count as one document."""
-    good = judged(docs, **limits).where("kept").select(id_key().alias("_id")).distinct()
-    return docs.join(good.hint("shuffle_merge"), id_key() == F.col("_id"), "left_semi")
+    (key,) = fresh(docs, "_id")
+    good = judged(docs, **limits).where("kept").select(id_key().alias(key)).distinct()
+    return docs.join(good.hint("shuffle_merge"), id_key() == F.col(key), "left_semi")

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_key, saved, ship, words_of
+from .common import fresh, id_key, saved, ship, words_of
 from .components import connected_components
 
 SEED = 42
@@ -295,7 +295,8 @@ def similar_documents(docs: DataFrame, width: int = 5, similarity: float = 0.8)
 def first_of_each(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
     """One row of docs for each group of similar_documents(), with all its columns: the document with the smallest
     doc_id. Of rows with one doc_id one stays; rows with a null doc_id count as one document, which is never a copy."""
+    key, own = fresh(docs, "_key", "_id")
     groups = similar_documents(docs, width, similarity)
-    first = groups.where(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).select(id_key().alias("_id")).distinct()
-    x = docs.withColumn("_key", id_key())
-    return x.join(first.hint("shuffle_merge"), F.col("_key") == F.col("_id"), "left_semi").dropDuplicates(["_key"]).drop("_key")
+    first = groups.where(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).select(id_key().alias(own)).distinct()
+    x = docs.withColumn(key, id_key())
+    return x.join(first.hint("shuffle_merge"), F.col(key) == F.col(own), "left_semi").dropDuplicates([key]).drop(key)
