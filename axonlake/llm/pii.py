@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, ship, words_of
+from .common import fresh, saved, ship, words_of
 
 KINDS = ("email", "ip", "card", "phone", "general", "removed")
 #: Words on either side of an entity that may reveal it.
@@ -30,7 +30,9 @@ IP = re.compile(r"[0-9]+(?:\.[0-9]+){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-MASKS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "general": "[TERM]", "removed": ""}
+MASKS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "removed": ""}
+#: What a generalised term becomes: the first of these classes whose pattern its core (without EDGE) has, else [WORD].
+GENERAL = (("[NUMBER]", r"^[0-9][0-9.,:/-]*$"), ("[CODE]", r"[0-9_@/\\=+]"), ("[ACRONYM]", r"^\p{Lu}{2,}$"), ("[NAME]", r"^\p{Lu}"))
 
 
 def emails(t: str) -> Iterator[tuple[int, int]]:
@@ -104,7 +106,7 @@ def nearby(t: str, spans: list[tuple[int, int, int, str]]) -> list[tuple[int, in
 
 
 PAIR = "array<struct<entity:long,term:long,around:long,start:int,end:int>>"
-FOUND = f"doc_id long, base array<struct<start:int,k:int,end:int>>, pairs {PAIR}"
+FOUND = f"doc_id long, row long, base array<struct<start:int,k:int,end:int>>, pairs {PAIR}"
 _BASE = pa.list_(pa.struct([("start", pa.int32()), ("k", pa.int32()), ("end", pa.int32())]))
 _PAIRS = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("around", pa.int64()), ("start", pa.int32()), ("end", pa.int32())]))
 
@@ -117,7 +119,7 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             spans = base_spans(t)
             base.append([{"start": s, "k": k, "end": e} for s, k, e, _ in spans])
             pairs.append([dict(zip(("entity", "term", "around", "start", "end"), p, strict=True)) for p in nearby(t, spans)] if spans else [])
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(base, _BASE), pa.array(pairs, _PAIRS)], ["doc_id", "base", "pairs"])
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("row"), pa.array(base, _BASE), pa.array(pairs, _PAIRS)], ["doc_id", "row", "base", "pairs"])
 
 
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,8 +152,8 @@ def disclosing(pairs: DataFrame, counts: DataFrame, entities: DataFrame, n_docs:
     return x.where(information > 0).withColumn("share", pmi / information).where(F.col("share") >= generalise).select("entity", "term", "share")
 
 
-def scan(docs: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
-    """(doc_id, spans): array of (start, k, end) in code points by start, then kind; k indexes KINDS.
+def scan(docs: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE, row: str | None = None) -> DataFrame:
+    """(doc_id, spans), and row if named, a column of docs that numbers its rows: array of (start, k, end) in code points by start, then kind; k indexes KINDS.
 
     Base kinds are the four fixed patterns; their values are the protected entities. A term near an entity is generalised
     or removed if it discloses the entity: its pointwise mutual information, from how many documents of the whole corpus
@@ -165,8 +167,10 @@ def scan(docs: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE
     entities are joined with them.
     """
     ship(docs.sparkSession)
-    x = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = saved(x.mapInArrow(_find, FOUND).withColumn("row", F.monotonically_increasing_id()), "personal")
+    number = F.lit(0).cast("long") if row is None else F.col(row).cast("long")
+    x = docs.select(F.col("doc_id").cast("long").alias("doc_id"), number.alias("row"), F.col("text").cast("string").alias("text"))
+    found = x.mapInArrow(_find, FOUND)
+    found = saved(found if row else found.withColumn("row", F.monotonically_increasing_id()), "personal")
     pairs = found.where(F.size("pairs") > 0).select("row", F.explode("pairs").alias("p")).select("row", "p.*")
     counts = x.select("text").mapInArrow(_term_counts, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     entities = pairs.groupBy("entity", "row").agg(F.lit(1).alias("one")).groupBy("entity").agg(F.count("*").alias("n_entity"))
@@ -176,7 +180,7 @@ def scan(docs: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE
     k = F.when(F.max("share") >= remove, F.lit(KINDS.index("removed"))).otherwise(F.lit(KINDS.index("general")))
     terms = hit.groupBy("row", "start", "end").agg(k.alias("k")).groupBy(F.col("row").alias("r")).agg(F.collect_list(F.struct("start", "k", "end")).alias("terms"))
     y = found.select("row", "doc_id", "base").join(terms, F.col("row") == F.col("r"), "left")
-    return y.select("doc_id", F.when(F.col("terms").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", "terms"))).alias("spans"))
+    return y.select(*([F.col("row").alias(row)] if row else []), "doc_id", F.when(F.col("terms").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", "terms"))).alias("spans"))
 
 
 def digest(spans: Column) -> Column:
@@ -185,13 +189,34 @@ def digest(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda r: F.concat_ws(":", F.element_at(kinds, r["k"] + 1), r["start"].cast("string"), r["end"].cast("string"))), ",")
 
 
+def _general(term: Column) -> Column:
+    """The class of a term, between the marks at its ends."""
+    mark = "[.,:;!?\"'()\\[\\]{}<>]*"
+    head, core, tail = (F.regexp_extract(term, f"(?s)^({mark})(.*?)({mark})$", k) for k in (1, 2, 3))
+    name = F.lit("[WORD]")
+    for label, pattern in reversed(GENERAL):
+        name = F.when(core.rlike(pattern), F.lit(label)).otherwise(name)
+    return F.concat(head, name, tail)
+
+
 def sanitised(docs: DataFrame, **limits) -> DataFrame:
-    """(doc_id, text): texts with entities masked by kind, disclosing terms replaced by [TERM] or removed. Rows of one
-    doc_id with equal text give one row; overlapping spans are replaced together."""
-    spans = scan(docs, **limits).groupBy("doc_id").agg(F.max("spans").alias("spans"))
-    masks = F.array(*(F.lit(MASKS[k]) for k in KINDS))
-    x = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text")).distinct().join(spans.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    step = lambda a, r: F.when(r["start"] >= a["at"], F.struct(r["end"].alias("at"), F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, r["start"] - a["at"]), F.element_at(masks, r["k"] + 1)).alias("out"))).otherwise(F.struct(F.greatest(a["at"], r["end"]).alias("at"), a["out"].alias("out")))
-    done = F.aggregate("spans", start, step)
-    return x.withColumn("_d", done).select("doc_id", F.concat("_d.out", F.substring(F.col("text"), F.col("_d.at") + 1, F.length("text"))).alias("text"))
+    """docs with texts sanitised and every other column and row as it was: entities are masked by kind, terms that disclose
+    them become their class ([NUMBER], [CODE], [ACRONYM], [NAME] or [WORD]) or go. Spans that overlap are replaced
+    together. Each row is judged by its own text, whatever its doc_id; null texts stay null."""
+    row, own, spans, cut = fresh(docs, "_row", "_own", "_spans", "_cut")
+    names = docs.columns
+    x = saved(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    found = scan(x, row=row, **limits).select(F.col(row).alias(own), F.col("spans").alias(spans))
+    x = x.join(found.hint("shuffle_merge"), F.col(row) == F.col(own))
+    text = F.col("text").cast("string")
+    masks = F.array(*(F.lit(MASKS.get(k, "")) for k in KINDS))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+
+    def step(a, r):
+        new = F.when(r["k"] == KINDS.index("general"), _general(F.substring(text, r["start"] + 1, r["end"] - r["start"]))).otherwise(F.element_at(masks, r["k"] + 1))
+        more = F.concat(a["out"], F.array(F.substring(text, a["at"] + 1, r["start"] - a["at"]), new))
+        return F.when(r["start"] >= a["at"], F.struct(r["end"].alias("at"), more.alias("out"))).otherwise(F.struct(F.greatest(a["at"], r["end"]).alias("at"), a["out"].alias("out")))
+
+    x = x.withColumn(cut, F.when(F.size(spans) > 0, F.aggregate(spans, start, step)))
+    left = F.concat(F.array_join(F.col(cut)["out"], ""), F.substring(text, F.col(cut)["at"] + 1, F.length(text)))
+    return x.withColumn("text", F.when(F.col(cut).isNotNull(), left).otherwise(text)).select(*names)

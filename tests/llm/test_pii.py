@@ -54,7 +54,25 @@ def test_disclosing_terms(spark):
         assert all(texts[i][s.start : s.end] in ("zorblax", "now") for s in got[i] if s.k >= 4)
     assert all(s.k < 4 for i in range(6, len(texts)) for s in got[i])
     clean = {x.doc_id: x.text for x in pii.sanitised(docs(spark, texts)).collect()}
-    assert "zorblax" not in clean[0] and "[EMAIL]" in clean[0] and clean[60] == texts[60]
+    assert "zorblax" not in clean[0] and "[WORD]" in clean[0] and "[EMAIL]" in clean[0] and clean[60] == texts[60]
+
+
+def test_each_row_is_sanitised_by_its_own_text(spark):
+    rows = [(1, "write bob@example.com now", "a"), (1, "see x zed@site.org y", "b"), (None, "x zed@site.org y", "c"), (None, "long clean text of the same id", "d"), (2, None, "e"), (1, "write bob@example.com now", "a")]
+    x = pii.sanitised(spark.createDataFrame(rows, "doc_id long, text string, _row string").withColumnRenamed("_row", "_spans"))
+    assert x.columns == ["doc_id", "text", "_spans"]
+    got = sorted((tuple(r) for r in x.collect()), key=lambda r: r[2])
+    assert [r[0] for r in got] == [1, 1, 1, None, None, 2]
+    assert all(r[1].count("[EMAIL]") == 1 and "@" not in r[1] for r in got[:4]) and got[0][1] == got[1][1] and got[2][1].startswith("see")
+    assert got[4][1] == rows[3][1] and got[5][1] is None
+
+
+def test_classes_of_generalised_terms(spark):
+    from pyspark.sql import functions as F
+
+    terms = ["(Smith),", "12-34", "A7x!", "NASA", "zorb.", "ñu", "Émile"]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in terms], "t string").select(pii._general(F.col("t"))).collect()]
+    assert got == ["([NAME]),", "[NUMBER]", "[CODE]!", "[ACRONYM]", "[WORD].", "[WORD]", "[NAME]"]
 
 
 def test_terms_of_rare_entities_are_judged(spark):
