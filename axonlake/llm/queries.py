@@ -42,7 +42,7 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_attention_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.scored(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+    return lm.scored(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.tiktoken"))
 
 
 def op5_line_frequency_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +57,7 @@ def op6_disclosure_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    x = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    x = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
     base = F.filter("spans", lambda r: r["k"] < 3)
     n = lambda k: F.size(F.filter("spans", lambda r: r["k"] == k)).cast("long")
     return x.select("doc_id", n(0).alias("n_assign"), n(1).alias("n_access"), n(2).alias("n_hex"), F.sha2(secrets.digest(base), 256).alias("base_sha256"), secrets.digest(F.col("spans")).alias("spans"))
