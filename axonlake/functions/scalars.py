@@ -141,3 +141,8 @@ def camel_case(name: str) -> str:
 
 def snake_case(name: str) -> str:
     return re.sub(r"(?<=[a-z0-9])([A-Z])", r"_\1", name).lower()
+
+
+def lower_boolean(c: Column) -> Column:
+    """true or false as the importer spells them; null stays null."""
+    return F.when(c, F.lit("true")).when(~c, F.lit("false"))

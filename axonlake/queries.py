@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .functions import scalars
 from .functions.constants import NT_LIMITS, STATUSES
-from .operators import annotations, connectome, diff, graph, logs, nt, plotdata, reports, rois, stats, synapses
+from .operators import annotations, connectome, diff, graph, logs, nt, plotdata, reports, rois, rows, stats, synapses
 from .sources import adapter
 from .sources.adapter import TRANSMITTERS
 
@@ -18,7 +18,7 @@ SQL: dict[str, str] = {}
 
 SYN = """syn AS (SELECT l.l_orderkey*64 AS pre_id,
  l.l_orderkey*64 + row_number() OVER (PARTITION BY l.l_orderkey ORDER BY l.l_linenumber,l.l_partkey,l.l_suppkey,l.l_shipdate,l.l_extendedprice,l.l_quantity) AS post_id,
- o.o_custkey % 150 AS body_pre, l.l_partkey % 200 AS body_post, CAST(ROUND(l.l_discount*100) AS INT) AS conf_post,
+ o.o_custkey * 100003 AS body_pre, l.l_partkey * 100003 AS body_post, CAST(ROUND(l.l_discount*100) AS INT) AS conf_post,
  CASE o.o_orderstatus WHEN 'F' THEN 'axon' WHEN 'O' THEN 'dendrite' ELSE 'unknown' END AS compartment_pre,
  CASE l.l_returnflag WHEN 'A' THEN 'axon' WHEN 'N' THEN 'dendrite' ELSE 'linker' END AS compartment_post,
  CASE WHEN n.n_nationkey % 5 = 0 THEN '<unspecified>' ELSE n.n_name END AS primary_roi,
@@ -27,10 +27,10 @@ SYN = """syn AS (SELECT l.l_orderkey*64 AS pre_id,
  JOIN nation n ON s.s_nationkey=n.n_nationkey JOIN region r ON n.n_regionkey=r.r_regionkey)"""
 POINTS = """points AS (SELECT DISTINCT pre_id AS point_id, body_pre AS body, 'PreSyn' AS kind, 10 AS conf, compartment_pre AS compartment, '<unspecified>' AS primary_roi, '<unspecified>' AS shell_roi FROM syn
  UNION ALL SELECT post_id, body_post, 'PostSyn', conf_post, compartment_post, primary_roi, shell_roi FROM syn)"""
-ANN = """ann AS (SELECT p_partkey AS body, CAST((p_partkey*7) % 30 AS INT) AS status_rank, CASE WHEN p_size>45 THEN NULL ELSE p_type END AS type FROM part WHERE p_partkey < 200)"""
-ELM = """elm AS (SELECT DISTINCT date_diff('day', DATE '1995-01-01', l_shipdate::DATE)::INT + 4000 AS z, l_partkey AS y, l_suppkey AS x, l_partkey % 200 AS body, l_linestatus AS type,
+ANN = """ann AS (SELECT p_partkey * 100003 AS body, CAST((p_partkey*7) % 30 AS INT) AS status_rank, CASE WHEN p_size>45 THEN NULL ELSE p_type END AS type FROM part)"""
+ELM = """elm AS (SELECT DISTINCT date_diff('day', DATE '1995-01-01', l_shipdate::DATE)::INT + 4000 AS z, l_partkey AS y, l_suppkey AS x, l_partkey * 100003 AS body, l_linestatus AS type,
  CASE WHEN s_nationkey % 5 = 0 THEN '<unspecified>' ELSE 'R' || s_nationkey END AS roi FROM lineitem JOIN supplier ON l_suppkey = s_suppkey)"""
-NT = "nt AS (SELECT vec_id, vec_id % 60 AS body, CASE WHEN (vec_id % 60) % 7 <> 0 THEN 'T' || (vec_id % 60) % 12 END AS cell_type, CASE WHEN vec_id % 97 = 0 THEN 'train' ELSE 'test' END AS split, embedding[1:7] AS scores FROM embeddings)"
+NT = "nt AS (SELECT vec_id, vec_id // 8 * 100003 AS body, CASE WHEN (vec_id // 8) % 7 <> 0 THEN 'T' || (vec_id // 8) % 12 END AS cell_type, CASE WHEN vec_id % 97 = 0 THEN 'train' ELSE 'test' END AS split, embedding[1:7] AS scores FROM embeddings)"
 NAMES = "[" + ",".join(f"'{n}'" for n in TRANSMITTERS) + "]"
 PRED = f"pred AS (SELECT *, list_extract({NAMES}, list_position(scores, list_max(scores))) AS pred1 FROM nt)"
 LONG = """region_rows AS (SELECT body, 'primary_roi' AS roiset, primary_roi AS roi, CASE WHEN kind='PreSyn' THEN 0 ELSE 1 END AS tag FROM points
@@ -95,8 +95,8 @@ def simple(name: str, sql: str, *ctes: str):
 
 # Filters and semi-joins
 
-simple("f01_fake", "SELECT point_id, body, kind FROM (SELECT point_id, body, CASE WHEN body = 7 THEN 'Fake' ELSE kind END AS kind FROM points) WHERE kind <> 'Fake'", SYN, POINTS)(
-    lambda w: synapses.drop_fake(w.both[0].select("point_id", "body", F.when(F.col("body") == 7, F.lit("Fake")).otherwise(F.col("kind")).alias("kind")), w.syn)[0]
+simple("f01_fake", "SELECT point_id, body, kind FROM (SELECT point_id, body, CASE WHEN body = 700021 THEN 'Fake' ELSE kind END AS kind FROM points) WHERE kind <> 'Fake'", SYN, POINTS)(
+    lambda w: synapses.drop_fake(w.both[0].select("point_id", "body", F.when(F.col("body") == 700021, F.lit("Fake")).otherwise(F.col("kind")).alias("kind")), w.syn)[0]
 )
 simple("f01_fake_partners", "SELECT pre_id, post_id FROM syn WHERE pre_id <> 0 AND post_id <> 0", SYN)(lambda w: synapses.drop_fake(w.both[0], w.syn)[1].select("pre_id", "post_id"))
 simple("f03_zone", "SELECT z, y, x FROM elm WHERE z < 5000", ELM)(
@@ -105,14 +105,14 @@ simple("f03_zone", "SELECT z, y, x FROM elm WHERE z < 5000", ELM)(
 simple("f04_confidence", "SELECT point_id, kind, conf FROM points WHERE conf >= 5", SYN, POINTS)(lambda w: synapses.confident(w.both[0], w.syn.withColumn("conf_pre", F.lit(10)), 5, "int")[0].select("point_id", "kind", "conf"))
 simple("f04_confidence_partners", "SELECT pre_id, post_id, conf_post FROM syn WHERE conf_post >= 5", SYN)(lambda w: synapses.confident(w.both[0], w.syn.withColumn("conf_pre", F.lit(10)), 5, "int")[1].select("pre_id", "post_id", "conf_post"))
 simple("f05_body0", "SELECT pre_id, post_id, body_pre, body_post FROM syn WHERE body_pre <> 0 AND body_post <> 0", SYN)(lambda w: synapses.drop_body_zero(*w.both)[1].select("pre_id", "post_id", "body_pre", "body_post"))
-simple("f06_self_consistency", "SELECT point_id FROM (SELECT * FROM points WHERE body % 7 <> 0) p WHERE EXISTS (SELECT 1 FROM syn s WHERE body_pre % 7 <> 0 AND body_post % 7 <> 0 AND p.point_id IN (s.pre_id, s.post_id) AND p.point_id = s.pre_id) OR point_id IN (SELECT post_id FROM syn WHERE body_pre % 7 <> 0 AND body_post % 7 <> 0)", SYN, POINTS)(
-    lambda w: synapses.self_consistent(w.both[0].where("body % 7 <> 0"), w.syn)[0].select("point_id")
+simple("f06_self_consistency", "SELECT point_id FROM points WHERE point_id IN (SELECT pre_id FROM good UNION ALL SELECT post_id FROM good)", SYN, POINTS, "good AS (SELECT * FROM syn WHERE compartment_pre <> 'unknown' AND compartment_post <> 'linker')")(
+    lambda w: synapses.self_consistent(w.both[0].where("compartment NOT IN ('unknown', 'linker')"), w.syn)[0].select("point_id")
 )
 simple("f07_restrict_roi", "SELECT pre_id, post_id, shell_roi FROM syn WHERE shell_roi = 'ASIA'", SYN)(lambda w: synapses.in_region(*w.both, "shell_roi", "ASIA")[1].select("pre_id", "post_id", "shell_roi"))
 simple("f07_restrict_roi_points", "SELECT point_id FROM points WHERE point_id IN (SELECT pre_id FROM syn WHERE shell_roi <> '<unspecified>' UNION SELECT post_id FROM syn WHERE shell_roi <> '<unspecified>')", SYN, POINTS)(lambda w: synapses.in_region(*w.both, "shell_roi")[0].select("point_id"))
-BOUNDS = "inb AS (SELECT body_pre AS b FROM syn WHERE primary_roi IN ('NATION_3','NATION_7') AND body_pre < 40 UNION SELECT body_post FROM syn WHERE primary_roi IN ('NATION_3','NATION_7') AND body_pre < 40)"
-simple("f08_in_bounds", "SELECT pre_id, post_id FROM syn WHERE body_pre < 40 AND (body_pre IN (SELECT b FROM inb) OR body_post IN (SELECT b FROM inb))", SYN, BOUNDS)(
-    lambda w: synapses.in_bounds(w.both[0], w.syn.where("body_pre < 40"), "primary_roi", ["NATION_3", "NATION_7"])[1].select("pre_id", "post_id")
+BOUNDS = "inb AS (SELECT body_pre AS b FROM syn WHERE primary_roi IN ('NATION_3','NATION_7') UNION SELECT body_post FROM syn WHERE primary_roi IN ('NATION_3','NATION_7'))"
+simple("f08_in_bounds", "SELECT pre_id, post_id FROM syn WHERE body_pre IN (SELECT b FROM inb) OR body_post IN (SELECT b FROM inb)", SYN, BOUNDS)(
+    lambda w: synapses.in_bounds(w.both[0], w.syn, "primary_roi", ["NATION_3", "NATION_7"])[1].select("pre_id", "post_id")
 )
 ELM_ID = "(z::BIGINT << 42) | (y << 21) | x"
 
@@ -123,7 +123,7 @@ def _distances(w):
     return annotations.elements_in(e, "roi", d.select("source_id", "target_id"), w.both[0])[1]
 
 
-simple("f09_elements", f"SELECT source_id, target_id FROM (SELECT body, min({ELM_ID}) AS source_id, max({ELM_ID}) AS target_id FROM elm GROUP BY body) d WHERE source_id IN (SELECT id FROM kept) AND target_id IN (SELECT id FROM kept)", SYN, POINTS, ELM, f"kept AS (SELECT {ELM_ID} AS id FROM elm WHERE roi <> '<unspecified>' UNION SELECT point_id FROM points)")(_distances)
+simple("f09_elements", f"SELECT source_id, target_id FROM (SELECT body, min({ELM_ID}) AS source_id, max({ELM_ID}) AS target_id FROM elm GROUP BY body) d SEMI JOIN kept k ON source_id = k.id SEMI JOIN kept m ON target_id = m.id", SYN, POINTS, ELM, f"kept AS MATERIALIZED (SELECT {ELM_ID} AS id FROM elm WHERE roi <> '<unspecified>' UNION SELECT point_id FROM points)")(_distances)
 for _n, _least in (("significant", 15), ("traced", 20)):
     simple(f"f10_{_n}", f"SELECT pre_id, post_id FROM syn WHERE body_pre IN (SELECT body FROM ann WHERE status_rank >= {_least}) AND body_post IN (SELECT body FROM ann WHERE status_rank >= {_least})", SYN, ANN)(
         lambda w, k=_least: connectome.of_status(w.syn, w.ann, k).select("pre_id", "post_id")
@@ -132,11 +132,11 @@ for _mode, _sql in (("all", "TRUE"), ("element_presence", "body IN (SELECT body
     simple(f"f11_report_annotations_{_mode}", f"SELECT body, status_rank FROM ann WHERE {_sql}", SYN, POINTS, ANN, ELM)(
         lambda w, m=_mode.replace("_", "-"): reports.annotations_for(w.ann, w.both[0].where("shell_roi = 'ASIA'"), w.elements.where("roi = 'R7'"), m).select("body", "status_rank")
     )
-simple("f12_nt_bodies", "SELECT body, type FROM ann WHERE body IN (SELECT body FROM points WHERE primary_roi = 'NATION_3' AND conf = 4)", SYN, POINTS, ANN)(lambda w: w.ann.join(w.both[0].where("primary_roi = 'NATION_3' AND conf = 4").select("body").distinct(), "body", "left_semi").select("body", "type"))
-simple("f13_nt_annotations", "SELECT body, type FROM ann WHERE type IS NOT NULL AND body IN (SELECT body FROM nt)", ANN, NT)(lambda w: w.ann.where("type IS NOT NULL").join(w.nt.select("body").distinct(), "body", "left_semi").select("body", "type"))
+simple("f12_nt_bodies", "SELECT body, type FROM ann WHERE body IN (SELECT body FROM points WHERE primary_roi = 'NATION_3' AND conf = 4)", SYN, POINTS, ANN)(lambda w: rows.with_key(w.ann, w.both[0].where("primary_roi = 'NATION_3' AND conf = 4"), "body").select("body", "type"))
+simple("f13_nt_annotations", "SELECT body, type FROM ann WHERE type IS NOT NULL AND body IN (SELECT body FROM nt)", ANN, NT)(lambda w: rows.with_key(w.ann.where("type IS NOT NULL"), w.nt, "body").select("body", "type"))
 simple("f14_not_training", "SELECT vec_id, body FROM nt WHERE body NOT IN (SELECT body FROM nt WHERE split = 'train')", NT)(lambda w: nt.not_training(w.nt).select("vec_id", "body"))
-simple("f15_status_exclusion", "SELECT body, type FROM ann WHERE type NOT IN ('ECONOMY', 'PROMO') OR type IS NULL", ANN)(lambda w: w.ann.where(~F.coalesce(F.col("type").isin("ECONOMY", "PROMO"), F.lit(False))).select("body", "type"))
-query("f16_retention", None)(of(lambda w: w.table("orders").where(F.col("o_orderpriority").rlike("^[1-3]-") & (F.datediff(F.lit("2001-01-01"), "o_orderdate") > 500)).select("o_orderkey")))
+simple("f15_status_exclusion", "SELECT body, type FROM ann WHERE type NOT IN ('ECONOMY', 'PROMO') OR type IS NULL", ANN)(lambda w: rows.without_values(w.ann, "type", ["ECONOMY", "PROMO"]).select("body", "type"))
+simple("f16_retention", "SELECT o_orderkey FROM orders WHERE regexp_matches(o_orderpriority, '^[1-3]-') AND date_diff('day', o_orderdate::DATE, DATE '2001-01-01') > 500")(lambda w: rows.retained(w.table("orders"), "o_orderpriority", "^[1-3]-", "o_orderdate", "2001-01-01", 500).select("o_orderkey"))
 
 # Joins
 
@@ -145,20 +145,20 @@ simple("j02_bodies", "SELECT pre_id, post_id, body_pre, body_post FROM syn", SYN
 simple("j03_partner_rois", "SELECT pre_id, post_id, primary_roi, shell_roi FROM syn", SYN)(lambda w: synapses.with_regions(w.syn.drop(*ROISETS), w.both[0], ROISETS).select("pre_id", "post_id", *ROISETS))
 simple("j04_compartments", "SELECT pre_id, post_id, compartment_pre, compartment_post FROM syn", SYN)(lambda w: synapses.with_ends(w.syn, w.both[0], "compartment").select("pre_id", "post_id", "compartment_pre", "compartment_post"))
 simple("j05_types", "SELECT c.*, a.type AS type_pre, b.type AS type_post FROM (SELECT body_pre, body_post, count(*) AS weight FROM syn GROUP BY ALL) c LEFT JOIN ann a ON a.body = body_pre LEFT JOIN ann b ON b.body = body_post", SYN, ANN)(lambda w: connectome.with_types(connectome.weighted(w.syn), w.ann).select("body_pre", "body_post", "weight", "type_pre", "type_post"))
-simple("j06_segment_wide", "SELECT s.body, synweight, type, status_rank, size FROM body_stats s LEFT JOIN ann USING (body) LEFT JOIN (SELECT o_custkey % 150 AS body, count(*) AS size FROM orders GROUP BY 1) z USING (body)", SYN, POINTS, ANN, STATS)(
-    lambda w: stats.body_stats(*w.both).join(w.ann, "body", "left").join(w.table("orders").groupBy((F.col("o_custkey") % 150).alias("body")).agg(F.count("*").alias("size")), "body", "left").select("body", "synweight", "type", "status_rank", "size")
+simple("j06_segment_wide", "SELECT s.body, synweight, type, status_rank, size FROM body_stats s LEFT JOIN ann USING (body) LEFT JOIN (SELECT o_custkey * 100003 AS body, count(*) AS size FROM orders GROUP BY 1) z USING (body)", SYN, POINTS, ANN, STATS)(
+    lambda w: stats.body_stats(*w.both).join(w.ann, "body", "left").join(w.table("orders").groupBy((F.col("o_custkey") * 100003).alias("body")).agg(F.count("*").alias("size")), "body", "left").select("body", "synweight", "type", "status_rank", "size")
 )
-simple("j07_outer_concat", "SELECT coalesce(a.body, b.body) AS body, coalesce(na, 0) AS n_in, coalesce(nb, 0) AS n_out FROM (SELECT body_post AS body, count(*) AS na FROM syn WHERE body_post > 100 GROUP BY 1) a FULL JOIN (SELECT body_pre AS body, count(*) AS nb FROM syn GROUP BY 1) b ON a.body = b.body", SYN)(
-    lambda w: w.syn.select(F.explode(F.array(F.struct(F.col("body_post").alias("body"), F.lit(0).alias("t")), F.struct(F.col("body_pre").alias("body"), F.lit(1).alias("t")))).alias("e")).select("e.*").where("t = 1 OR body > 100").groupBy("body").agg(F.count_if(F.col("t") == 0).alias("n_in"), F.count_if(F.col("t") == 1).alias("n_out"))
+simple("j07_outer_concat", "SELECT coalesce(a.body, b.body) AS body, coalesce(na, 0) AS n_in, coalesce(nb, 0) AS n_out FROM (SELECT body_post AS body, count(*) AS na FROM syn WHERE body_post > 10000300 GROUP BY 1) a FULL JOIN (SELECT body_pre AS body, count(*) AS nb FROM syn GROUP BY 1) b ON a.body = b.body", SYN)(
+    lambda w: w.syn.select(F.explode(F.array(F.struct(F.col("body_post").alias("body"), F.lit(0).alias("t")), F.struct(F.col("body_pre").alias("body"), F.lit(1).alias("t")))).alias("e")).select("e.*").where("t = 1 OR body > 10000300").groupBy("body").agg(F.count_if(F.col("t") == 0).alias("n_in"), F.count_if(F.col("t") == 1).alias("n_out"))
 )
-simple("j08_combine_first", "SELECT coalesce(a.body, b.body) AS body, coalesce(a.size, b.size) AS size FROM (SELECT o_custkey AS body, count(*) AS size FROM orders WHERE o_custkey % 3 = 0 GROUP BY 1) a FULL JOIN (SELECT c_custkey AS body, 1000::BIGINT AS size FROM customer) b ON a.body = b.body")(
-    lambda w: annotations.combined(w.table("orders").where("o_custkey % 3 = 0").groupBy(F.col("o_custkey").alias("body")).agg(F.count("*").alias("size")), w.table("customer").select(F.col("c_custkey").alias("body"), F.lit(1000).cast("long").alias("size")), "body", "size")
+simple("j08_combine_first", "SELECT coalesce(a.body, b.body) AS body, coalesce(a.size, b.size) AS size FROM (SELECT o_custkey AS body, count(*) AS size FROM orders WHERE o_orderstatus = 'P' GROUP BY 1) a FULL JOIN (SELECT c_custkey AS body, 1000::BIGINT AS size FROM customer) b ON a.body = b.body")(
+    lambda w: annotations.combined(w.table("orders").where("o_orderstatus = 'P'").groupBy(F.col("o_custkey").alias("body")).agg(F.count("*").alias("size")), w.table("customer").select(F.col("c_custkey").alias("body"), F.lit(1000).cast("long").alias("size")), "body", "size")
 )
 simple("j09_stale", "SELECT o_custkey AS body FROM orders WHERE year(o_orderdate) > 1998 AND year(o_orderdate) <= 2000 UNION SELECT o_orderkey FROM orders WHERE year(o_orderdate) > 1998 AND year(o_orderdate) <= 2000 AND o_orderstatus = 'F'")(
     lambda w: annotations.stale(w.table("orders").select(F.year("o_orderdate").alias("version"), F.col("o_custkey").alias("changed"), F.when(F.col("o_orderstatus") == "F", F.col("o_orderkey")).alias("created")), 1998, 2000)
 )
-simple("j10_point_annotations", "SELECT coalesce(a.body, p.body) AS body, p.y AS type, a.status_rank FROM ann a FULL JOIN (SELECT body, y FROM (SELECT *, row_number() OVER (PARTITION BY body ORDER BY z, y, x) AS n FROM elm WHERE body % 3 = 0) WHERE n = 1) p ON a.body = p.body", ANN, ELM)(
-    lambda w: annotations.with_point_annotations(w.ann, w.elements.where("body % 3 = 0"), "y").select("body", F.col("y").alias("type"), "status_rank") if "y" in w.ann.columns else annotations.with_point_annotations(w.ann.withColumn("y", F.lit(None).cast("long")).drop("type"), w.elements.where("body % 3 = 0"), "y").select("body", F.col("y").alias("type"), "status_rank")
+simple("j10_point_annotations", "SELECT coalesce(a.body, p.body) AS body, p.y AS type, a.status_rank FROM ann a FULL JOIN (SELECT body, y FROM (SELECT *, row_number() OVER (PARTITION BY body ORDER BY z, y, x) AS n FROM elm WHERE type = 'O') WHERE n = 1) p ON a.body = p.body", ANN, ELM)(
+    lambda w: annotations.with_point_annotations(w.ann, w.elements.where("type = 'O'"), "y").select("body", F.col("y").alias("type"), "status_rank") if "y" in w.ann.columns else annotations.with_point_annotations(w.ann.withColumn("y", F.lit(None).cast("long")).drop("type"), w.elements.where("type = 'O'"), "y").select("body", F.col("y").alias("type"), "status_rank")
 )
 simple("j11_align", "SELECT coalesce(u.body, d.body) AS body, coalesce(up, 0) + coalesce(down, 0) AS synweight FROM (SELECT body_post AS body, count(*) AS up FROM syn GROUP BY 1) u FULL JOIN (SELECT body_pre AS body, count(*) AS down FROM syn GROUP BY 1) d ON u.body = d.body", SYN)(
     lambda w: w.syn.groupBy(F.col("body_post").alias("body")).agg(F.count("*").alias("up")).join(w.syn.groupBy(F.col("body_pre").alias("body")).agg(F.count("*").alias("down")), "body", "full").na.fill(0).select("body", (F.col("up") + F.col("down")).alias("synweight"))
@@ -172,12 +172,12 @@ simple("j16_presyn_nt", "SELECT point_id, vec_id FROM points LEFT JOIN nt ON vec
 simple("j17_report_join", "SELECT shell_roi AS name, count(*) FILTER (kind='PreSyn') AS PreSyn, count(*) FILTER (kind='PostSyn') AS PostSyn, CASE shell_roi WHEN 'ASIA' THEN 0 WHEN 'AFRICA' THEN 1 END AS report_index FROM points GROUP BY shell_roi", SYN, POINTS)(
     lambda w: reports.syn_counts(w.both[0].withColumnRenamed("shell_roi", "name"), "name").withColumn("report_index", scalars.literal_map({"ASIA": 0, "AFRICA": 1}, F.col("name")))
 )
-VOX = "vox AS (SELECT z >> 5 AS bz, y >> 5 AS b_y, x >> 5 AS bx, min(roi) AS roi, min(y % 7) AS label FROM elm WHERE roi <> '<unspecified>' AND y % 3 = 0 GROUP BY ALL)"
+VOX = "vox AS (SELECT z >> 5 AS bz, y >> 5 AS b_y, x >> 5 AS bx, min(roi) AS roi, min(y % 7) AS label FROM elm WHERE roi <> '<unspecified>' GROUP BY ALL)"
 simple("j18_voxel_roi", "SELECT z, y, x, type, coalesce(label, 0)::INT AS v_label FROM elm LEFT JOIN vox ON z >> 5 = bz AND y >> 5 = b_y AND x >> 5 = bx", ELM, VOX)(
-    lambda w: rois.from_volume(w.elements, w.elements.where("roi <> '<unspecified>' AND y % 3 = 0").groupBy(F.shiftright("z", 5).alias("bz"), F.shiftright("y", 5).alias("by"), F.shiftright("x", 5).alias("bx")).agg(F.min(F.col("y") % 7).alias("label")), "v").select("z", "y", "x", "type", "v_label")
+    lambda w: rois.from_volume(w.elements, w.elements.where("roi <> '<unspecified>'").groupBy(F.shiftright("z", 5).alias("bz"), F.shiftright("y", 5).alias("by"), F.shiftright("x", 5).alias("bx")).agg(F.min(F.col("y") % 7).alias("label")), "v").select("z", "y", "x", "type", "v_label")
 )
-simple("j19_relabel", "SELECT point_id, coalesce(m.body, p.body) AS body FROM points p LEFT JOIN (SELECT p_partkey AS sv, p_size::BIGINT AS body FROM part WHERE p_partkey % 2 = 0) m ON p.body = m.sv", SYN, POINTS)(
-    lambda w: synapses.relabelled(w.both[0].withColumnRenamed("body", "sv"), w.table("part").where("p_partkey % 2 = 0").select(F.col("p_partkey").alias("sv"), F.col("p_size").cast("long").alias("body"))).select("point_id", "body")
+simple("j19_relabel", "SELECT point_id, coalesce(m.body, p.body) AS body FROM points p LEFT JOIN (SELECT p_partkey * 100003 AS sv, p_size::BIGINT AS body FROM part WHERE p_size > 25) m ON p.body = m.sv", SYN, POINTS)(
+    lambda w: synapses.relabelled(w.both[0].withColumnRenamed("body", "sv"), w.table("part").where("p_size > 25").select((F.col("p_partkey") * 100003).alias("sv"), F.col("p_size").cast("long").alias("body"))).select("point_id", "body")
 )
 
 # Aggregations

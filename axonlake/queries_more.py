@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .functions import scalars
 from .functions.constants import SIMPLE_STATUS, STATUSES
-from .operators import annotations, connectome, diff, graph, logs, nt, plotdata, reports, rois, stats, synapses
+from .operators import annotations, connectome, diff, graph, logs, nt, plotdata, reports, rois, rows, stats, synapses
 from .queries import ANN, CAP, COMP, CONF, ELM, LONG, MODES, NAMES, NT, POINTS, PRED, ROISETS, SIDES, STATS, SYN, TRUTH, _matrix, _pred, _sides, of, query, simple
 from .sources.adapter import TRANSMITTERS
 
@@ -51,7 +50,7 @@ simple("p22_rescale", "SELECT vec_id, trunc(scores[1]::DOUBLE * 1000)::INT AS sc
 
 # Windows and order
 
-simple("w01_first_per_group", "SELECT o_custkey, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS r FROM orders) WHERE r = 1")(lambda w: w.table("orders").groupBy("o_custkey").agg(F.max_by("o_orderkey", F.struct("o_totalprice", F.negative("o_orderkey"))).alias("o_orderkey")))
+simple("w01_first_per_group", "SELECT o_custkey, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS r FROM orders) WHERE r = 1")(lambda w: rows.greatest_of(w.table("orders"), "o_custkey", "o_orderkey", "o_totalprice"))
 simple("w02_first_by_zyx", "SELECT body, z, y, x FROM (SELECT *, row_number() OVER (PARTITION BY body ORDER BY z, y, x) AS r FROM elm) WHERE r = 1", ELM)(lambda w: annotations.first_per_body(w.elements.select("body", "z", "y", "x").distinct()).select("body", "z", "y", "x"))
 BEST = "ORDER BY status_rank DESC, synweight DESC, pre DESC, post DESC, body"
 CURVE = f"""rk AS (SELECT s.*, status_rank, row_number() OVER ({BEST.replace('body', 's.body')}) AS rnk FROM body_stats s JOIN ann USING (body)),
@@ -70,29 +69,29 @@ def _curve(w, stop=1_000_000):
 simple("x01_completeness", f"SELECT rnk::BIGINT AS rnk, body, status_rank, {_ROUNDED} FROM curve", *WORLD)(lambda w: _curve(w).select(F.col("rnk").cast("long").alias("rnk"), "body", "status_rank", *map(ROUND, FRACS)))
 simple("x02_ranked_stats", "SELECT body, row_number() OVER (ORDER BY synweight DESC, pre DESC, post DESC, body) AS rank, synweight FROM body_stats", SYN, POINTS, STATS)(lambda w: stats.ranked(stats.body_stats(*w.both), w.ann).select("body", F.col("rank").cast("long").alias("rank"), "synweight"))
 simple("w03_last_per_status", f"SELECT status_rank, {_ROUNDED} FROM curve c WHERE rnk = (SELECT max(rnk) FROM curve d WHERE d.status_rank = c.status_rank)", *WORLD)(lambda w: reports.by_status(_curve(w)).select("status_rank", *map(ROUND, FRACS)))
-ST = "st AS (SELECT p_brand AS name, (p_partkey * 7 % 30)::INT AS status_rank, max(p_size)::DOUBLE AS v FROM part WHERE p_partkey % 11 < 3 GROUP BY 1, 2)"
+ST = "st AS (SELECT p_brand AS name, (p_partkey * 7 % 30)::INT AS status_rank, max(p_size)::DOUBLE AS v FROM part GROUP BY 1, 2)"
 FILL = "fill AS (SELECT n.name, s.status_rank, coalesce(last_value(v IGNORE NULLS) OVER (PARTITION BY n.name ORDER BY s.status_rank DESC ROWS UNBOUNDED PRECEDING), 0) AS v FROM (SELECT DISTINCT name FROM st) n, (SELECT DISTINCT status_rank FROM st) s LEFT JOIN st ON st.name = n.name AND st.status_rank = s.status_rank)"
 
 
 def _st(w):
-    return w.table("part").where("p_partkey % 11 < 3").groupBy(F.col("p_brand").alias("name"), (F.col("p_partkey") * 7 % 30).cast("int").alias("status_rank")).agg(F.max("p_size").cast("double").alias("v"))
+    return w.table("part").groupBy(F.col("p_brand").alias("name"), (F.col("p_partkey") * 7 % 30).cast("int").alias("status_rank")).agg(F.max("p_size").cast("double").alias("v"))
 
 
 simple("w04_fill_statuses", "SELECT * FROM fill", ST, FILL)(lambda w: reports.filled(_st(w), "name", "v"))
 simple("w05_decumulate", "SELECT name, status_rank, v - lag(v, 1, 0) OVER (PARTITION BY name ORDER BY status_rank DESC) AS v FROM fill", ST, FILL)(lambda w: reports.steps(reports.filled(_st(w), "name", "v"), "name", "v"))
 simple("w06_batches", "SELECT body_pre, body_post, (dense_rank() OVER (ORDER BY body_pre) - 1) // 40 AS batch FROM (SELECT DISTINCT body_pre, body_post FROM syn)", SYN)(lambda w: graph.batches(w.syn.select("body_pre", "body_post").distinct(), "body_pre", 40))
 simple("w07_group_sizes", "SELECT body, rois, count(*) OVER (PARTITION BY rois) AS roiset_size FROM (SELECT body, coalesce(string_agg(roi, ',' ORDER BY roi) FILTER (roi <> '<unspecified>'), '') AS rois FROM regional WHERE roi IN ('ASIA', 'AFRICA', 'NATION_1', 'NATION_2') OR roi = '<unspecified>' GROUP BY body)", SYN, POINTS, LONG)(
-    lambda w: stats.region_names(stats.body_region_stats(*w.both, ROISETS).where("roi IN ('ASIA', 'AFRICA', 'NATION_1', 'NATION_2', '<unspecified>')")).withColumn("roiset_size", F.count("*").over(Window.partitionBy("rois")))
+    lambda w: rows.with_group_size(stats.region_names(stats.body_region_stats(*w.both, ROISETS).where("roi IN ('ASIA', 'AFRICA', 'NATION_1', 'NATION_2', '<unspecified>')")), "rois", "roiset_size")
 )
 simple("w08_stop_at_rank", "SELECT rnk::BIGINT AS rnk, body FROM rk WHERE rnk <= 25", *WORLD)(lambda w: _curve(w, 25).select(F.col("rnk").cast("long").alias("rnk"), "body"))
 simple("w09_bar_edges", "SELECT n_name, n_regionkey, (sum(n_regionkey + 1) OVER (ORDER BY n_nationkey ROWS UNBOUNDED PRECEDING))::BIGINT AS edge FROM nation")(lambda w: plotdata.bar_edges(w.table("nation").withColumn("width", F.col("n_regionkey") + 1), "n_nationkey", "width").select("n_name", "n_regionkey", "edge"))
 simple("w10_first_non_null", "SELECT p_partkey, coalesce(CASE WHEN p_size > 30 THEN p_type END, CASE WHEN p_size > 10 THEN p_brand END, p_name) AS name FROM part")(lambda w: annotations.coalesced(w.table("part").select("p_partkey", F.when(F.col("p_size") > 30, F.col("p_type")).alias("a"), F.when(F.col("p_size") > 10, F.col("p_brand")).alias("b"), F.col("p_name").alias("c")), "name", ["a", "b", "c"]).select("p_partkey", "name"))
-simple("o01_sorted", "SELECT body, status_rank FROM ann ORDER BY status_rank DESC, body", ANN)(lambda w: w.ann.select("body", "status_rank").orderBy(F.desc("status_rank"), "body"))
-simple("o02_top_k", "SELECT body, synweight FROM body_stats ORDER BY synweight DESC, body LIMIT 20", SYN, POINTS, STATS)(lambda w: stats.body_stats(*w.both).select("body", "synweight").orderBy(F.desc("synweight"), "body").limit(20))
+simple("o01_sorted", "SELECT body, status_rank FROM ann ORDER BY status_rank DESC, body", ANN)(lambda w: rows.in_order(w.ann.select("body", "status_rank"), ["status_rank"], "body"))
+simple("o02_top_k", "SELECT body, synweight FROM body_stats ORDER BY synweight DESC, body LIMIT 20", SYN, POINTS, STATS)(lambda w: rows.first_of(stats.body_stats(*w.both).select("body", "synweight"), ["synweight"], "body", 20))
 simple("o03_union_all", "SELECT body, type, status_rank FROM ann UNION ALL SELECT body, NULL, NULL FROM (SELECT DISTINCT body FROM elm)", ANN, ELM)(lambda w: stats.union_all(w.ann, w.elements.select("body").distinct()))
 simple("o04_union_distinct", "SELECT pre_id AS point_id FROM syn UNION SELECT post_id FROM syn", SYN)(lambda w: synapses.ends_of(w.syn))
-simple("o05_difference", "SELECT body FROM ann WHERE body NOT IN (SELECT body_pre FROM syn)", SYN, ANN)(lambda w: w.ann.select("body").join(w.syn.select(F.col("body_pre").alias("body")), "body", "left_anti"))
-simple("o06_distinct", "SELECT DISTINCT pre_id, body_post FROM syn", SYN)(lambda w: w.syn.select("pre_id", "body_post").dropDuplicates())
+simple("o05_difference", "SELECT body FROM ann WHERE body NOT IN (SELECT body_pre FROM syn)", SYN, ANN)(lambda w: rows.without_key(w.ann.select("body"), w.syn.withColumnRenamed("body_pre", "body"), "body"))
+simple("o06_distinct", "SELECT DISTINCT pre_id, body_post FROM syn", SYN)(lambda w: rows.once_each(w.syn, "pre_id", "body_post"))
 
 # Scalars
 
@@ -123,7 +122,7 @@ simple("p16_roi_flags", "SELECT body, bool_or(roi = 'ASIA') OR NULL AS \"ASIA\",
 simple("p17_label_property", "SELECT p_partkey, CASE WHEN p_partkey <> 0 THEN p_partkey // 100 END AS col FROM part")(lambda w: w.table("part").select("p_partkey", scalars.label_formula("x // 100", F.col("p_partkey")).alias("col")))
 simple("p18_element_set_ids", "SELECT DISTINCT body || '_' || type AS id FROM elm", ELM)(lambda w: graph.element_sets(w.elements.withColumn("point_id", F.lit(0)), w.ann)[0].select("id"))
 simple("p19_location", "SELECT z, y, x, '{x:' || x || ', y:' || y || ', z:' || z || '}' AS location FROM elm", ELM)(lambda w: w.elements.select("z", "y", "x", scalars.point_string(F.col("x"), F.col("y"), F.col("z")).alias("location")))
-simple("p20_booleans", "SELECT body, CASE WHEN status_rank >= 15 THEN 'true' WHEN status_rank < 15 THEN 'false' END AS significant FROM ann", ANN)(lambda w: w.ann.select("body", (F.col("status_rank") >= 15).cast("string").alias("significant")))
+simple("p20_booleans", "SELECT body, CASE WHEN status_rank >= 15 THEN 'true' WHEN status_rank < 15 THEN 'false' END AS significant FROM ann", ANN)(lambda w: w.ann.select("body", scalars.lower_boolean(F.col("status_rank") >= 15).alias("significant")))
 simple("p21_integral", "SELECT p_partkey, CASE WHEN p_retailprice % 1 = 0 THEN p_retailprice::BIGINT END AS price FROM part")(lambda w: w.table("part").select("p_partkey", scalars.integral(F.col("p_retailprice")).alias("price")))
 simple("p28_sides", "SELECT name, CASE WHEN name LIKE '%(L)' OR name LIKE '%(R)' THEN left(name, -3) ELSE name END AS base, CASE WHEN name LIKE '%(L)' THEN 'L' WHEN name LIKE '%(R)' THEN 'R' ELSE 'C' END AS side FROM sides", SIDES)(lambda w: _sides(w).select("name", scalars.side_of(F.col("name"))[0].alias("base"), scalars.side_of(F.col("name"))[1].alias("side")))
 simple("p29_local_time", "SELECT o_orderkey, to_timestamp(o_orderkey * 86400) AT TIME ZONE 'America/New_York' AS t FROM orders")(lambda w: w.table("orders").select("o_orderkey", scalars.local_time(F.col("o_orderkey") * 86400, "America/New_York").alias("t")))

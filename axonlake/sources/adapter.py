@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions.constants import UNSPECIFIED
 
+#: Body ids are sparse: customers and parts times this.
+STEP = 100_003
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -23,8 +26,8 @@ def partners(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.select(
         (F.col("l_orderkey") * 64).alias("pre_id"),
         (F.col("l_orderkey") * 64 + F.col("n")).alias("post_id"),
-        (F.col("o_custkey") % 150).alias("body_pre"),
-        (F.col("l_partkey") % 200).alias("body_post"),
+        (F.col("o_custkey") * STEP).alias("body_pre"),
+        (F.col("l_partkey") * STEP).alias("body_post"),
         F.round(F.col("l_discount") * 100).cast("int").alias("conf_post"),
         one_of("o_orderstatus", "F", "O", "unknown").alias("compartment_pre"),
         one_of("l_returnflag", "A", "N", "linker").alias("compartment_post"),
@@ -41,8 +44,8 @@ def points(syn: DataFrame) -> DataFrame:
 
 def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bodies with a status rank and a type, null for large parts."""
-    p = read(spark, sf_dir, "part").where("p_partkey < 200")
-    return p.select(F.col("p_partkey").alias("body"), ((F.col("p_partkey") * 7) % 30).cast("int").alias("status_rank"), F.when(F.col("p_size") <= 45, F.col("p_type")).alias("type"))
+    p = read(spark, sf_dir, "part")
+    return p.select((F.col("p_partkey") * STEP).alias("body"), ((F.col("p_partkey") * 7) % 30).cast("int").alias("status_rank"), F.when(F.col("p_size") <= 45, F.col("p_type")).alias("type"))
 
 
 #: Names of the transmitters that the embeddings' first numbers stand for.
@@ -54,12 +57,12 @@ def nt_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read(spark, sf_dir, "embeddings")
     scores = [F.col("embedding")[k].cast("double").alias(n) for k, n in enumerate(TRANSMITTERS)]
     split = F.when(F.col("vec_id") % 97 == 0, F.lit("train")).otherwise(F.lit("test"))
-    body = F.col("vec_id") % 60
-    return e.select("vec_id", body.alias("body"), F.when(body % 7 != 0, F.concat(F.lit("T"), (body % 12).cast("string"))).alias("cell_type"), split.alias("split"), *scores)
+    body = F.floor(F.col("vec_id") / 8)
+    return e.select("vec_id", (body * STEP).alias("body"), F.when(body % 7 != 0, F.concat(F.lit("T"), (body % 12).cast("string"))).alias("cell_type"), split.alias("split"), *scores)
 
 
 def elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Element points: lines by ship date, part and supplier, typed by their status."""
     x = read(spark, sf_dir, "lineitem").join(read(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
     z = F.datediff("l_shipdate", F.lit("1995-01-01"))
-    return x.select((z + 4000).alias("z"), F.col("l_partkey").alias("y"), F.col("l_suppkey").alias("x"), (F.col("l_partkey") % 200).alias("body"), F.col("l_linestatus").alias("type"), F.when(F.col("s_nationkey") % 5 == 0, F.lit(UNSPECIFIED)).otherwise(F.concat(F.lit("R"), F.col("s_nationkey").cast("string"))).alias("roi")).distinct()
+    return x.select((z + 4000).alias("z"), F.col("l_partkey").alias("y"), F.col("l_suppkey").alias("x"), (F.col("l_partkey") * STEP).alias("body"), F.col("l_linestatus").alias("type"), F.when(F.col("s_nationkey") % 5 == 0, F.lit(UNSPECIFIED)).otherwise(F.concat(F.lit("R"), F.col("s_nationkey").cast("string"))).alias("roi")).distinct()
