@@ -52,11 +52,15 @@ def mode(points: DataFrame, group: str) -> DataFrame:
 
 
 def group_confidence(points: DataFrame, modes: DataFrame, matrix: DataFrame, group: str) -> DataFrame:
-    """(group, confidence, num_tbar_nt_predictions): mean of the matrix at (group prediction, point prediction)."""
+    """(group, confidence, num_tbar_nt_predictions): mean of the matrix at (group prediction, point prediction). A pair of
+    predictions that the matrix lacks is an error."""
     own = modes.select(F.col(group).alias("_g"), "group_pred")
     x = points.select(group, "pred1").join(own, F.col(group).eqNullSafe(F.col("_g"))).drop("_g")
     m = matrix.select(F.col("ground_truth").alias("group_pred"), "pred1", "p")
-    return x.join(m, ["group_pred", "pred1"], "left").groupBy(group).agg(F.coalesce(F.avg("p"), F.lit(0.0)).alias("confidence"), F.count("pred1").alias("num_tbar_nt_predictions"))
+    y = x.join(m, ["group_pred", "pred1"], "left")
+    known = F.col("group_pred").isNull() | F.col("pred1").isNull() | F.col("p").isNotNull()
+    y = y.where(F.assert_true(known, F.lit("the confusion matrix lacks a pair of predictions")).isNull())
+    return y.groupBy(group).agg(F.coalesce(F.avg("p"), F.lit(0.0)).alias("confidence"), F.count("pred1").alias("num_tbar_nt_predictions"))
 
 
 def group_predictions(points: DataFrame, ann: DataFrame, matrix: DataFrame, group: str) -> DataFrame:

@@ -53,6 +53,15 @@ def from_volume(points: DataFrame, voxels: DataFrame, roiset: str) -> DataFrame:
     return x.withColumn(f"{roiset}_label", F.coalesce("label", F.lit(0)).cast("int")).drop("bz", "by", "bx", "label")
 
 
+def named(points: DataFrame, roiset: str, labels: dict[str, int]) -> DataFrame:
+    """roiset of points from {roiset}_label; label 0 is unspecified, a label without a name is an error."""
+    label, names = F.col(f"{roiset}_label"), {v: k for k, v in labels.items()} | {0: UNSPECIFIED}
+    known = F.coalesce(label.isin(list(names)), F.lit(False))
+    table = F.create_map(*(F.lit(x) for pair in names.items() for x in pair))
+    checked = points.where(F.assert_true(known, F.lit(f"a label of {roiset} has no name")).isNull())
+    return checked.withColumn(roiset, F.element_at(table, label))
+
+
 def duplicates(df: DataFrame, *keys: str) -> DataFrame:
     """Keys that occur more than once, with their counts."""
     return df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")

@@ -37,12 +37,13 @@ def confident(points: DataFrame, partners: DataFrame, least: float, kind: str =
     return points.where(F.col("conf") >= t), partners.where((F.col("conf_pre") >= t) & (F.col("conf_post") >= t))
 
 
-def with_ends(partners: DataFrame, points: DataFrame, column: str) -> DataFrame:
-    """partners with {column}_pre and {column}_post from both ends; columns of that name are derived anew."""
-    left = partners.drop(f"{column}_pre", f"{column}_post")
+def with_ends(partners: DataFrame, points: DataFrame, *columns: str, regions: list[str] | None = None) -> DataFrame:
+    """partners with {column}_pre and {column}_post of every column from both ends, and regions from the post end, which is
+    where a connection lies: one join a side, however many columns. Columns of those names are derived anew."""
+    left = partners.drop(*(f"{c}_{side}" for c in columns for side in ("pre", "post")), *(regions or []))
     for side in ("pre", "post"):
-        of = points.select(F.col("point_id").alias(f"{side}_id"), F.col(column).alias(f"{column}_{side}"))
-        left = left.join(of, f"{side}_id", "left")
+        own = [F.col(c).alias(f"{c}_{side}") for c in columns] + [F.col(r) for r in (regions or []) if side == "post"]
+        left = left.join(points.select(F.col("point_id").alias(f"{side}_id"), *own), f"{side}_id", "left")
     return left
 
 

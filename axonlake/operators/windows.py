@@ -2,31 +2,31 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Ties of neighbouring ids are ranked within blocks of so many ids; running sums within blocks of so many ranks.
-ID_BITS, BLOCK = 16, 65_536
+from ..sources.shared import saved
+
+#: Running sums are taken within blocks of so many ranks.
+BLOCK = 65_536
 
 
 def ranked(df: DataFrame, keys: list[str], tie: str, into: str = "rank") -> DataFrame:
-    """df with ranks 1, 2, ... by keys (numbers without nulls, greatest first), ties by a long, smallest first.
+    """df with ranks 1, 2, ... by keys (greatest first, nulls last), ties by a column, smallest first.
 
-    Rows are counted by keys and block of the tie; only these counts are put in order in one task, then each block ranks
-    its own rows. Many rows with equal keys, such as the smallest bodies, are many blocks.
+    Rows are dealt out by ranges of keys and tie and sorted within each range; a row's rank is its place there and the
+    rows of the ranges before, of which there is one number each. The sorted rows are saved once, so that places and
+    numbers come from the same ranges; equal keys are told apart by the tie, so they fill as many ranges as they need.
     """
-    x = df.withColumn("_b", F.shiftright(tie, ID_BITS))
-    group = [*keys, "_b"]
-    counts = x.groupBy(*group).agg(F.count("*").alias("_n"))
-    order = [*(F.desc(k) for k in keys), F.asc("_b")]
-    before = F.coalesce(F.sum("_n").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = counts.select(*(F.col(g).alias(f"_k{i}") for i, g in enumerate(group)), before.alias("_before"))
-    same = reduce(lambda a, b: a & b, [F.col(g) == F.col(f"_k{i}") for i, g in enumerate(group)])
-    place = F.row_number().over(Window.partitionBy(*group).orderBy(tie))
-    y = x.withColumn("_place", place).join(starts, same)
-    return y.withColumn(into, (F.col("_before") + F.col("_place")).cast("long")).select(*df.columns, into)
+    order = [*(F.desc_nulls_last(k) for k in keys), F.asc(tie)]
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    x = saved(df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()), "ranked")
+    part = F.shiftrightunsigned("_at", 33)
+    counts = x.groupBy(part.alias("_p")).agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select("_p", F.coalesce(before, F.lit(0)).alias("_before"))
+    place = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return x.join(starts, part == F.col("_p")).withColumn(into, F.col("_before") + place + 1).select(*df.columns, into)
 
 
 def running(df: DataFrame, rank: str, columns: list[str]) -> DataFrame:

@@ -6,6 +6,8 @@ import argparse
 import json
 from dataclasses import dataclass, field, fields
 
+PRODUCTS = ("flat", "graph", "reports", "transmitters")
+
 
 @dataclass
 class Config:
@@ -14,66 +16,137 @@ class Config:
     points: str = ""
     partners: str = ""
     annotations: str = ""
+    elements: str = ""
+    element_distances: str = ""
+    element_kinds: list[str] = field(default_factory=list)
+    sizes: str = ""
+    transmitters: str = ""
+    transmitter_names: list[str] = field(default_factory=list)
+    transmitter_truth: str = ""
+    transmitter_experimental: str = ""
+    transmitter_override: dict[str, str] = field(default_factory=dict)
     output: str = "snapshot"
+    dataset: str = "snapshot"
+    tag: str = ""
     zone: str = ""
     min_confidence: float = 0.0
+    high_accuracy: float = 0.0
+    high_precision: float = 0.0
     keep_body_zero: bool = False
+    annotated_bodies: bool = False
     roiset: str = ""
     roisets: list[str] = field(default_factory=list)
-    tag: str = ""
+    roi_labels: dict[str, dict[str, int]] = field(default_factory=dict)
+    parent_rois: dict[str, list] = field(default_factory=dict)
+    region_flags: list[str] = field(default_factory=list)
+    hierarchy: dict = field(default_factory=dict)
+    primary_rois: list[str] = field(default_factory=list)
+    meta: dict = field(default_factory=dict)
+    replace_values: dict[str, dict[str, str]] = field(default_factory=dict)
+    report_roiset: str = ""
+    reports: dict[str, list[str]] = field(default_factory=dict)
+    graph_format: str = "csv"
     products: list[str] = field(default_factory=lambda: ["flat"])
 
     def __post_init__(self):
         if self.zone not in ("", "brain", "vnc"):
             raise ValueError(f"no such zone: {self.zone}")
-        if unknown := set(self.products) - {"flat", "graph"}:
+        if unknown := set(self.products) - set(PRODUCTS):
             raise ValueError(f"no such products: {sorted(unknown)}")
+        if self.graph_format not in ("csv", "parquet"):
+            raise ValueError(f"no such format: {self.graph_format}")
+        if "reports" in self.products and not (self.report_roiset and self.reports):
+            raise ValueError("reports need report_roiset and reports")
+        if "transmitters" in self.products and not (self.transmitters and self.transmitter_names and self.transmitter_truth):
+            raise ValueError("transmitters need transmitters, transmitter_names and transmitter_truth")
 
     @classmethod
     def load(cls, path: str) -> Config:
+        """From JSON, or from YAML where that library is present."""
         with open(path) as f:
-            given = json.load(f)
+            if path.endswith((".yaml", ".yml")):
+                try:
+                    import yaml
+                except ImportError as x:
+                    raise ValueError("YAML settings need the yaml library; give JSON") from x
+                given = yaml.safe_load(f)
+            else:
+                given = json.load(f)
         if unknown := set(given) - {x.name for x in fields(cls)}:
             raise ValueError(f"unknown settings: {sorted(unknown)}")
         return cls(**given)
 
 
-def main(args: list[str] | None = None) -> int:
-    from pyspark.sql import SparkSession
-
-    from ..operators import synapses
-    from ..sources import sinks
-    from . import products
+def prepared(spark, c: Config):
+    """(points, partners, annotations) as the products take them: filtered, self-consistent, with bodies, confidences,
+    compartments and regions at both ends. Partners take all columns from points in one join a side, and the result is
+    saved once, as every output reads it."""
+    from ..operators import annotations, rois, synapses
+    from ..sources import readers, shared
 
-    p = argparse.ArgumentParser(description="Write the products of a connectome snapshot.")
-    p.add_argument("config", nargs="?")
-    p.add_argument("-d", "--defaults", action="store_true", help="print the default settings")
-    a = p.parse_args(args)
-    if a.defaults or not a.config:
-        print(json.dumps({x.name: getattr(Config(), x.name) for x in fields(Config)}, indent=2))
-        return 0
-    c = Config.load(a.config)
-    spark = SparkSession.builder.getOrCreate()
-    points, partners, ann = (spark.read.parquet(x) for x in (c.points, c.partners, c.annotations))
+    points, partners = readers.with_point_ids(spark.read.parquet(c.points)), spark.read.parquet(c.partners)
+    ann = readers.required(spark.read.parquet(c.annotations), "body")
     points, partners = synapses.drop_fake(synapses.check_kinds(points), partners)
     points, partners = synapses.in_zone(points, partners, c.zone)
-    partners = synapses.with_ends(partners, points, "conf")
+    for roiset, labels in c.roi_labels.items():
+        points = rois.named(points, roiset, labels)
+    if c.parent_rois:
+        points = rois.with_parents(points, {k: (parent, names) for k, (parent, names) in c.parent_rois.items()})
+    own = [x for x in ("conf", "body", "compartment") if x in points.columns]
+    partners = synapses.with_ends(partners, points, *own, regions=[r for r in c.roisets if r in points.columns])
     points, partners = synapses.confident(points, partners, c.min_confidence)
-    partners = synapses.with_ends(partners, points, "body")
     if not c.keep_body_zero:
         points, partners = synapses.drop_body_zero(points, partners)
     points, partners = synapses.self_consistent(points, partners)
-    partners = synapses.with_ends(partners, points, "compartment")
-    if c.roisets:
-        partners = synapses.with_regions(partners, points, c.roisets)
+    if c.replace_values:
+        ann = annotations.replaced(ann, c.replace_values)
+    return shared.saved(points, "points"), shared.saved(partners, "partners"), ann
+
+
+def write(spark, c: Config) -> None:
+    from ..sources import readers, sinks
+    from . import products
+
+    points, partners, ann = prepared(spark, c)
+    read = lambda p: spark.read.parquet(p) if p else None
+    bodies = None
+    if "transmitters" in c.products:
+        out = products.neurotransmitters(read(c.transmitters), ann, read(c.transmitter_truth), read(c.transmitter_experimental), c.transmitter_names, c.transmitter_override)
+        for name, df in out.items():
+            sinks.parquet(df, f"{c.output}/transmitters/{name}")
+        bodies = spark.read.parquet(f"{c.output}/transmitters/bodies").drop("cell_type")
     if "flat" in c.products:
         for name, df in products.flat(points, partners, ann, c.roiset or None).items():
             sinks.parquet(df, f"{c.output}/flat/{name}")
+    if "reports" in c.products:
+        for name, df in products.completeness(points, partners, ann, c.report_roiset, c.reports).items():
+            sinks.parquet(df, f"{c.output}/reports/{name}")
     if "graph" in c.products:
-        limits = {"conf": c.min_confidence, "high_accuracy": c.min_confidence, "high_precision": c.min_confidence, "neuron": {"synweight": 100, "pre": 100, "post": 100}, "excluded": ["Unimportant", "Glia"]}
-        tree = {c.tag or "all": {r: None for r in c.roisets}}
-        for name, df in products.property_graph(points, partners, ann, c.roisets, limits, "snapshot", c.tag, tree).items():
-            sinks.parquet(df, f"{c.output}/graph/{name}")
+        limits = {"conf": c.high_accuracy, "high_accuracy": c.high_accuracy, "high_precision": c.high_precision, "neuron": {"synweight": 100, "pre": 100, "post": 100}, "excluded": ["Unimportant", "Glia"]}
+        tree = c.hierarchy or {c.tag or "all": {r: None for r in c.roisets}}
+        elements = read(c.elements)
+        more = {"elements": readers.with_point_ids(elements) if elements is not None else None, "kinds": c.element_kinds, "distances": read(c.element_distances), "sizes": read(c.sizes), "transmitters": bodies, "flags": c.region_flags, "annotated": c.annotated_bodies}
+        for name, df in products.property_graph(points, partners, ann, c.roisets, limits, c.dataset, c.tag, tree, c.primary_rois, c.meta, **more).items():
+            if c.graph_format == "csv":
+                sinks.importer_csv(df, name, f"{c.output}/graph/{name}")
+            else:
+                sinks.parquet(df, f"{c.output}/graph/{name}")
+
+
+def main(args: list[str] | None = None) -> int:
+    from pyspark.sql import SparkSession
+
+    p = argparse.ArgumentParser(description="Write the products of a connectome snapshot.")
+    p.add_argument("config", nargs="?")
+    p.add_argument("-d", "--defaults", action="store_true", help="print the default settings")
+    p.add_argument("-c", "--check", action="store_true", help="check the settings and write nothing")
+    a = p.parse_args(args)
+    if a.defaults or not a.config:
+        print(json.dumps({x.name: getattr(Config(), x.name) for x in fields(Config)}, indent=2))
+        return 0
+    c = Config.load(a.config)
+    if not a.check:
+        write(SparkSession.builder.getOrCreate(), c)
     return 0
 
 

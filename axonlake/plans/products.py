@@ -23,25 +23,49 @@ def flat(points: DataFrame, partners: DataFrame, ann: DataFrame, roiset: str | N
     return out | {"body-stats": stats.ranked(stats.body_stats(points, partners), ann)}
 
 
-def property_graph(points: DataFrame, partners: DataFrame, ann: DataFrame, roisets: list[str], limits: dict, dataset: str, tag: str, tree: dict) -> dict[str, DataFrame]:
-    """Nodes and edges. Totals come before, edges after connections outside the main roiset are left out."""
+def property_graph(
+    points: DataFrame,
+    partners: DataFrame,
+    ann: DataFrame,
+    roisets: list[str],
+    limits: dict,
+    dataset: str,
+    tag: str,
+    tree: dict,
+    primary: list[str] | None = None,
+    meta: dict | None = None,
+    elements: DataFrame | None = None,
+    kinds: list[str] | None = None,
+    distances: DataFrame | None = None,
+    sizes: DataFrame | None = None,
+    transmitters: DataFrame | None = None,
+    flags: list[str] | None = None,
+    annotated: bool = False,
+) -> dict[str, DataFrame]:
+    """Nodes and edges. Totals come before, edges after connections outside the main roiset are left out. Elements and
+    their distances give element nodes, sets and CloseTo edges."""
     points, partners = synapses.drop_body_zero(points, partners)
     by_region = stats.body_region_stats(points, partners, roisets)
-    segments = graph.segments(points, partners, ann, roisets, limits["conf"], limits["neuron"], limits["excluded"])
-    meta = graph.meta(stats.dataset_totals(by_region), stats.region_totals(by_region), dataset, tag, tree, list(tree))
+    segments = graph.segments(points, partners, ann, roisets, limits["conf"], limits["neuron"], limits["excluded"], flags, elements, kinds, sizes, transmitters, annotated)
+    node = graph.meta(stats.dataset_totals(by_region), stats.region_totals(by_region), dataset, tag, tree, primary or list(tree), {n.split(":")[0]: n.split(":")[1] for n in graph.typed_names(segments, {}).values()}, **(meta or {}))
     points, partners = synapses.in_region(points, partners, roisets[0])
-    weights = graph.connects_to(partners, limits["high_accuracy"], limits["high_precision"])
-    return {
+    weights = graph.connects_to(partners, limits["high_accuracy"], limits["high_precision"], roisets)
+    out = {
         "segments": segments,
-        "meta": meta,
+        "meta": node,
         "connections": weights,
         "sets": graph.synapse_sets(weights),
         "set_to_set": graph.set_to_set(weights),
         "neuron_to_set": graph.neuron_to_set(weights),
         "set_to_synapse": graph.set_to_synapse(partners),
-        "synapses": graph.synapses(points, roisets),
+        "synapses": graph.synapses(points, roisets, flags),
         "synapse_connections": partners.select("pre_id", "post_id"),
     }
+    if elements is None:
+        return out
+    sets, body_sets, set_elements = graph.element_sets(elements, segments)
+    out |= {"elements": graph.elements(elements, [r for r in roisets if r in elements.columns]), "element_sets": sets.select("id", "type"), "neuron_to_element_set": body_sets, "element_set_to_element": set_elements}
+    return out if distances is None else out | {"close_to": graph.close_to(distances)}
 
 
 def completeness(points: DataFrame, partners: DataFrame, ann: DataFrame, roi: str, spec: dict[str, list[str]], least: int = SIGNIFICANT) -> dict[str, DataFrame]:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .functions import scalars
 from .functions.constants import SIMPLE_STATUS, STATUSES
 from .operators import annotations, connectome, diff, graph, logs, nt, plotdata, reports, rois, rows, stats, synapses
-from .queries import ANN, CAP, COMP, CONF, ELM, LONG, MODES, NAMES, NT, POINTS, PRED, ROISETS, SIDES, STATS, SYN, TRUTH, _matrix, _pred, _sides, of, query, simple
+from .queries import ANN, CAP, COMP, CONF, ELM, LONG, MODES, NAMES, NT, POINTS, PRED, ROISETS, SIDES, STATS, SYN, TRUTH, _COUNTS, _matrix, _pred, _sides, of, query, simple
 from .sources.adapter import TRANSMITTERS
 
 # Neurotransmitter chain
@@ -129,18 +129,59 @@ simple("p29_local_time", "SELECT o_orderkey, to_timestamp(o_orderkey * 86400) AT
 
 # Composites
 
-simple("g01_segments", "SELECT s.body, s.pre, s.post, s.downstream, s.upstream, s.synweight, rois, type, status_rank, CASE WHEN (s.synweight >= 100 OR type IS NOT NULL) AND NOT coalesce(status = 'Glia', FALSE) THEN 'Segment;Neuron' ELSE 'Segment' END AS label FROM (SELECT body, sum(pre)::BIGINT AS pre, sum(post)::BIGINT AS post, sum(down)::BIGINT AS downstream, sum(post)::BIGINT AS upstream, (sum(post)+sum(down))::BIGINT AS synweight FROM (SELECT body, (kind='PreSyn')::INT AS pre, (kind='PostSyn')::INT AS post, 0 AS down FROM points UNION ALL SELECT body_pre, 0, 0, 1 FROM syn WHERE conf_post >= 4) GROUP BY body) s LEFT JOIN (SELECT body, coalesce(string_agg(roi, ',' ORDER BY roi) FILTER (roi <> '<unspecified>'), '') AS rois FROM (SELECT DISTINCT body, roi FROM (SELECT body, primary_roi AS roi FROM points UNION ALL SELECT body, shell_roi FROM points UNION ALL SELECT body_pre, primary_roi FROM syn WHERE conf_post >= 4 UNION ALL SELECT body_pre, shell_roi FROM syn WHERE conf_post >= 4)) GROUP BY body) r USING (body) LEFT JOIN (SELECT *, " + _SIMPLE + " AS status FROM ann) a USING (body)", SYN, POINTS, ANN)(
-    lambda w: graph.segments(*w.both, w.ann.withColumn("status", scalars.simple_status(F.element_at(F.array(*map(F.lit, STATUSES)), F.col("status_rank") + 1))), ROISETS, 4, {"synweight": 100}, ["Glia"]).drop("status")
-)
+SURE = """sure AS (SELECT * FROM syn WHERE conf_post >= 4),
+ sure_rows AS (SELECT body, 'primary_roi' AS roiset, primary_roi AS roi, CASE WHEN kind='PreSyn' THEN 0 ELSE 1 END AS tag FROM points UNION ALL SELECT body, 'shell_roi', shell_roi, CASE WHEN kind='PreSyn' THEN 0 ELSE 1 END FROM points
+ UNION ALL SELECT body_pre, 'primary_roi', primary_roi, 2 FROM sure UNION ALL SELECT body_pre, 'shell_roi', shell_roi, 2 FROM sure),
+ sure_regional AS (SELECT body, roi, count(*) FILTER (tag=0) AS pre, count(*) FILTER (tag=1) AS post, count(*) FILTER (tag=2) AS downstream, count(*) FILTER (tag=1) AS upstream, count(*) FILTER (tag>0) AS synweight FROM sure_rows WHERE roi <> '<unspecified>' OR roiset = 'primary_roi' GROUP BY body, roi),
+ sure_info AS (SELECT body, '{' || coalesce(string_agg('"' || roi || '":{' || substr(x, 2) || '}', ',' ORDER BY roi) FILTER (roi <> '<unspecified>'), '') || '}' AS "roiInfo", coalesce(string_agg(roi, ',' ORDER BY roi) FILTER (roi <> '<unspecified>'), '') AS rois FROM (SELECT body, roi, """ + _COUNTS + """ AS x FROM sure_regional) GROUP BY body),
+ sure_stats AS (SELECT body, sum(pre)::BIGINT AS pre, sum(post)::BIGINT AS post, sum(down)::BIGINT AS downstream, sum(post)::BIGINT AS upstream, (sum(post)+sum(down))::BIGINT AS synweight FROM (SELECT body, (kind='PreSyn')::INT AS pre, (kind='PostSyn')::INT AS post, 0 AS down FROM points UNION ALL SELECT body_pre, 0, 0, 1 FROM sure) GROUP BY body),
+ counted AS (SELECT body, count(*) AS total, count(*) FILTER (type='O') AS "O", count(*) FILTER (type='F') AS "F" FROM elm GROUP BY body),
+ sized AS (SELECT o_custkey * 100003 AS body, count(*) AS size FROM orders GROUP BY 1)"""
+FLAGS = ["ASIA", "EUROPE", "NATION_1"]
+_FLAGS = ", ".join(f"CASE WHEN list_contains(string_split(rois, ','), '{r}') THEN TRUE END AS \"{r}\"" for r in FLAGS)
+
+
+def _segments(w, **more):
+    ann = w.ann.withColumn("status", scalars.simple_status(F.element_at(F.array(*map(F.lit, STATUSES)), F.col("status_rank") + 1)))
+    sizes = w.table("orders").groupBy((F.col("o_custkey") * 100003).alias("body")).agg(F.count("*").alias("size"))
+    return graph.segments(*w.both, ann, ROISETS, 4, {"synweight": 100}, ["Glia"], FLAGS, w.elements, ["O", "F"], sizes, **more)
+
+
+_SEGMENT = f"""SELECT body, coalesce(s.pre, 0) AS pre, coalesce(s.post, 0) AS post, coalesce(s.downstream, 0) AS downstream, coalesce(s.upstream, 0) AS upstream, coalesce(s.synweight, 0) AS synweight, coalesce(total, 0) AS total, coalesce("O", 0) AS "O", coalesce("F", 0) AS "F", "roiInfo", rois, type, status_rank, nullif(status, '') AS status, size, {_FLAGS},
+ CASE WHEN (coalesce(s.synweight, 0) >= 100 OR type IS NOT NULL) AND NOT coalesce(status = 'Glia', FALSE) THEN 'Segment;Neuron' ELSE 'Segment' END AS label
+ FROM {{}} LEFT JOIN counted USING (body) LEFT JOIN sure_info USING (body) LEFT JOIN (SELECT *, """ + _SIMPLE + """ AS status FROM ann) a USING (body) LEFT JOIN sized USING (body)"""
+simple("g01_segments", _SEGMENT.format("sure_stats s"), SYN, POINTS, ANN, ELM, SURE)(_segments)
+simple("g01_segments_annotated", _SEGMENT.format("(SELECT coalesce(x.body, y.body) AS body, x.* EXCLUDE (body) FROM sure_stats x FULL JOIN (SELECT DISTINCT body FROM ann) y ON x.body = y.body) s"), SYN, POINTS, ANN, ELM, SURE)(lambda w: _segments(w, annotated=True))
 simple("g02_connects_to", f"SELECT body_pre, body_post, count(*) AS \"weightHR\", count(*) FILTER (conf_post >= 5) AS weight, count(*) FILTER (conf_post >= 8) AS \"weightHP\", {COMP} FROM syn WHERE body_pre <> 0 AND body_post <> 0 GROUP BY 1, 2", SYN)(lambda w: graph.connects_to(w.syn, 5, 8))
+simple("g02_connects_to_regions", f"""SELECT w.*, i."roiInfo" FROM (SELECT body_pre, body_post, count(*) AS "weightHR", count(*) FILTER (conf_post >= 5) AS weight, count(*) FILTER (conf_post >= 8) AS "weightHP", {COMP} FROM syn WHERE body_pre <> 0 AND body_post <> 0 GROUP BY 1, 2) w JOIN (SELECT body_pre, body_post, '{{' || coalesce(string_agg('"' || roi || '":{{"post":' || n || '}}', ',' ORDER BY roi) FILTER (roi <> '<unspecified>' AND n > 0), '') || '}}' AS "roiInfo" FROM (SELECT body_pre, body_post, roi, count(*) FILTER (conf_post >= 5) AS n FROM (SELECT body_pre, body_post, conf_post, 'primary_roi' AS roiset, primary_roi AS roi FROM syn UNION ALL SELECT body_pre, body_post, conf_post, 'shell_roi', shell_roi FROM syn) WHERE roi <> '<unspecified>' OR roiset = 'primary_roi' GROUP BY 1, 2, 3) GROUP BY 1, 2) i USING (body_pre, body_post)""", SYN)(lambda w: graph.connects_to(w.syn, 5, 8, ROISETS))
 simple("g03_synapse_sets", "SELECT DISTINCT body_pre || '_' || body_post || u AS id FROM syn, (VALUES ('_pre'), ('_post')) t(u)", SYN)(lambda w: graph.synapse_sets(connectome.weighted(w.syn)))
 simple("g03_set_to_set", "SELECT DISTINCT body_pre || '_' || body_post || '_pre' AS start_id, body_pre || '_' || body_post || '_post' AS end_id FROM syn", SYN)(lambda w: graph.set_to_set(connectome.weighted(w.syn)))
 simple("g03_neuron_to_set", "SELECT DISTINCT body_pre AS body, body_pre || '_' || body_post || '_pre' AS id FROM syn UNION ALL SELECT DISTINCT body_post, body_pre || '_' || body_post || '_post' FROM syn", SYN)(lambda w: graph.neuron_to_set(connectome.weighted(w.syn)))
 simple("g03_set_to_synapse", "SELECT DISTINCT body_pre || '_' || body_post || '_pre' AS id, pre_id AS point_id FROM syn UNION ALL SELECT body_pre || '_' || body_post || '_post', post_id FROM syn", SYN)(lambda w: graph.set_to_synapse(w.syn))
-simple("g04_synapses", "SELECT point_id, CASE kind WHEN 'PreSyn' THEN 'pre' ELSE 'post' END AS type, 'Synapse' AS label, primary_roi, shell_roi FROM points", SYN, POINTS)(lambda w: graph.synapses(w.both[0], ROISETS))
-simple("g05_elements", f"SELECT (z::BIGINT << 42) | (y << 21) | x AS point_id, type, '{{x:' || x || ', y:' || y || ', z:' || z || '}}' AS location FROM elm", ELM)(lambda w: graph.elements(w.elements.withColumn("point_id", scalars.encode_point(F.col("z"), F.col("y"), F.col("x")))))
+_XYZ = "'{x:' || x || ', y:' || y || ', z:' || z || '}' AS location"
+simple("g04_synapses", f"SELECT point_id, CASE kind WHEN 'PreSyn' THEN 'pre' ELSE 'post' END AS type, 'Synapse' AS label, conf AS confidence, body AS \"bodyId\", {_XYZ}, primary_roi, shell_roi, CASE WHEN shell_roi = 'ASIA' THEN TRUE END AS \"ASIA\", CASE WHEN primary_roi = 'NATION_1' THEN TRUE END AS \"NATION_1\" FROM (SELECT *, point_id >> 42 AS z, (point_id >> 21) & 2097151 AS y, point_id & 2097151 AS x FROM points)", SYN, POINTS)(lambda w: graph.synapses(w.both[0], ROISETS, ["ASIA", "NATION_1"]))
+simple("g05_elements", f"SELECT (z::BIGINT << 42) | (y << 21) | x AS point_id, type, {_XYZ}, roi, CASE WHEN roi = 'R7' THEN TRUE END AS \"R7\" FROM elm", ELM)(lambda w: graph.elements(w.elements.withColumn("point_id", scalars.encode_point(F.col("z"), F.col("y"), F.col("x"))), ["roi"], ["R7"]))
+
+
+def _close(w):
+    e = w.elements.withColumn("point_id", scalars.encode_point(F.col("z"), F.col("y"), F.col("x")))
+    return graph.close_to(e.groupBy("body").agg(F.min("point_id").alias("source_id"), F.max("point_id").alias("target_id"))).withColumn("distance", F.round("distance", 4))
+
+
+simple("g05_close_to", "SELECT a AS source_id, b AS target_id, round(sqrt(((a >> 42) - (b >> 42))::DOUBLE ** 2 + (((a >> 21) & 2097151) - ((b >> 21) & 2097151))::DOUBLE ** 2 + ((a & 2097151) - (b & 2097151))::DOUBLE ** 2), 4) AS distance FROM (SELECT min((z::BIGINT << 42) | (y << 21) | x) AS a, max((z::BIGINT << 42) | (y << 21) | x) AS b FROM elm GROUP BY body)", ELM)(_close)
 simple("g06_element_sets", "SELECT DISTINCT body, body || '_' || type AS id FROM elm WHERE body IN (SELECT body FROM ann WHERE status_rank > 10)", ELM, ANN)(lambda w: graph.element_sets(w.elements.withColumn("point_id", F.lit(0)), w.ann.where("status_rank > 10"))[1])
-query("g07_meta", None)(of(lambda w: (lambda r: graph.meta(stats.dataset_totals(r), stats.region_totals(r), "demo", "v1", {"ALL": {"ASIA": None, "AFRICA": None}}, ["ASIA", "AFRICA"]))(stats.body_region_stats(*w.both, ROISETS))))
+_TREE = {"ALL": {"ASIA": None, "AFRICA": None}}
+
+
+def _meta(w):
+    r = stats.body_region_stats(*w.both, ROISETS)
+    shown = [{"id": "bodyId", "choices": None}, {"id": "type", "name": "cell type", "choices": None}]
+    return graph.meta(stats.dataset_totals(r), stats.region_totals(r), "demo", "v1", _TREE, ["ASIA", "AFRICA"], {"bodyId": "long"}, shown, ["AFRICA"], ["AFRICA"], {"ASIA": "the east"}, postHighAccuracyThreshold=0.5, voxelSize=[4, 4, 4])
+
+
+_META = {"hideDataSet": "false", "voxelSize": "'4;4;4'", "voxelUnits": "'nanometers'", "info": "''", "logo": "''", "description": "''", "meshHost": "''", "postHighAccuracyThreshold": "0.5::DOUBLE", "preHPThreshold": "0::DOUBLE", "postHPThreshold": "0::DOUBLE", "nonHierarchicalROIs": "''", "overviewRois": "''", "overviewOrder": "'clustered'", "neuronColumnsVisible": """'["bodyId", "type", "status"]'""", "uuid": "'unknown'", "latestMutationId": "0", "lastDatabaseEdit": "'unknown'", "dataset": "'demo'", "tag": "'v1'", "primaryRois": "'AFRICA;ASIA'", "superLevelRois": "'AFRICA;ASIA'", "neuronProperties": """'{"bodyId": "long"}'""",
+         "roiHierarchy": """'{"name": "ALL", "children": [{"name": "ASIA"}, {"name": "AFRICA"}]}'""", "neuronColumnsOrdered": """'[{"id": "bodyId", "choices": null, "visible": true, "name": "bodyId"}, {"id": "type", "name": "cell type", "choices": null, "visible": true}]'"""}
+simple("g07_meta", f"""SELECT {", ".join(f'{v} AS "{k}"' for k, v in _META.items())}, (SELECT sum(pre)::BIGINT FROM regional) AS "totalPreCount", (SELECT sum(post)::BIGINT FROM regional) AS "totalPostCount", (SELECT '{{' || string_agg('"' || roi || '":{{"description":"' || CASE roi WHEN 'ASIA' THEN 'the east' ELSE '' END || '","excludeFromOverview":' || (roi = 'AFRICA') || ',"isNerve":' || (roi = 'AFRICA') || ',"isPrimary":' || (roi IN ('ASIA', 'AFRICA')) || CASE WHEN roi IN ('ASIA', 'AFRICA') THEN ',"parent":"ALL"' ELSE '' END || ',"post":' || post || ',"pre":' || pre || '}}', ',' ORDER BY roi) || '}}' FROM (SELECT roi, sum(pre)::BIGINT AS pre, sum(post)::BIGINT AS post FROM regional WHERE roi <> '<unspecified>' GROUP BY roi)) AS "roiInfo" """, SYN, POINTS, LONG)(_meta)
 
 
 def _copy(w):

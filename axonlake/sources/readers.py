@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 class ArrowFiles(DataSource):
     """Format arrowfile: Arrow IPC (Feather v2) files, a partition for each record batch. Unsigned 64-bit columns are
-    read as longs. Options: path, a file that the executors can open."""
+    read as longs. Options: path, a file or a folder of files that the executors can open."""
 
     @classmethod
     def name(cls) -> str:
@@ -23,13 +24,18 @@ class ArrowFiles(DataSource):
         import pyarrow as pa
         from pyspark.sql.pandas.types import from_arrow_schema
 
-        with pa.OSFile(self.options["path"]) as f:
+        with pa.OSFile(_files(self.options["path"])[0]) as f:
             return from_arrow_schema(_signed(pa.ipc.open_file(f).schema))
 
     def reader(self, schema):
         return _ArrowReader(self.options["path"])
 
 
+def _files(path: str) -> list[str]:
+    path = path.removeprefix("file://")
+    return sorted(os.path.join(path, n) for n in os.listdir(path) if n.endswith((".arrow", ".feather"))) if os.path.isdir(path) else [path]
+
+
 def _signed(schema):
     import pyarrow as pa
 
@@ -44,15 +50,19 @@ class _ArrowReader(DataSourceReader):
     def partitions(self):
         import pyarrow as pa
 
-        with pa.OSFile(self.path) as f:
-            return [InputPartition(k) for k in range(pa.ipc.open_file(f).num_record_batches)]
+        out = []
+        for file in _files(self.path):
+            with pa.OSFile(file) as f:
+                out += [InputPartition((file, k)) for k in range(pa.ipc.open_file(f).num_record_batches)]
+        return out
 
     def read(self, partition):
         import pyarrow as pa
 
-        with pa.OSFile(self.path) as f:
+        file, k = partition.value
+        with pa.OSFile(file) as f:
             r = pa.ipc.open_file(f)
-            t = pa.Table.from_batches([r.get_batch(partition.value)]).cast(_signed(r.schema))
+            t = pa.Table.from_batches([r.get_batch(k)]).cast(_signed(r.schema))
             yield from t.to_batches()
 
 

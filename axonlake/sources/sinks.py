@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
+import os
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators.graph import for_csv
 
@@ -18,13 +20,16 @@ def csv(df: DataFrame, path: str) -> None:
 
 
 #: Headers of id columns in the importer's files.
-NODE_HEADERS = {"segments": {"body": ":ID(Body-ID)", "label": ":LABEL"}, "synapses": {"point_id": ":ID(Syn-ID)", "label": ":LABEL"}, "sets": {"id": ":ID(SynSet-ID)"}, "elements": {"point_id": ":ID(Element-ID)"}}
+NODE_HEADERS = {"segments": {"body": ":ID(Body-ID)", "label": ":LABEL"}, "synapses": {"point_id": ":ID(Element-ID)", "label": ":LABEL"}, "sets": {"id": ":ID(SynSet-ID)"}, "elements": {"point_id": ":ID(Element-ID)"}, "element_sets": {"id": ":ID(ElementSet-ID)"}, "meta": {}}
 EDGE_HEADERS = {
     "connections": {"body_pre": ":START_ID(Body-ID)", "body_post": ":END_ID(Body-ID)"},
-    "synapse_connections": {"pre_id": ":START_ID(Syn-ID)", "post_id": ":END_ID(Syn-ID)"},
+    "synapse_connections": {"pre_id": ":START_ID(Element-ID)", "post_id": ":END_ID(Element-ID)"},
     "set_to_set": {"start_id": ":START_ID(SynSet-ID)", "end_id": ":END_ID(SynSet-ID)"},
     "neuron_to_set": {"body": ":START_ID(Body-ID)", "id": ":END_ID(SynSet-ID)"},
-    "set_to_synapse": {"id": ":START_ID(SynSet-ID)", "point_id": ":END_ID(Syn-ID)"},
+    "set_to_synapse": {"id": ":START_ID(SynSet-ID)", "point_id": ":END_ID(Element-ID)"},
+    "neuron_to_element_set": {"body": ":START_ID(Body-ID)", "id": ":END_ID(ElementSet-ID)"},
+    "element_set_to_element": {"id": ":START_ID(ElementSet-ID)", "point_id": ":END_ID(Element-ID)"},
+    "close_to": {"source_id": ":START_ID(Element-ID)", "target_id": ":END_ID(Element-ID)"},
 }
 
 
@@ -39,16 +44,26 @@ def by_combination(df: DataFrame, hash_column: str, path: str) -> None:
 
 
 def arrow(df: DataFrame, path: str) -> None:
-    """A table as one Arrow file on the driver, for tables that a single reader wants; streamed a partition at a time."""
+    """A table as Arrow files, one for each partition, written where the rows are. Local paths must be shared ones."""
     import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
 
-    writer = None
-    with pa.OSFile(path, "wb") as f:
-        for row_group in df.toArrow().to_batches():
-            writer = writer or pa.ipc.new_file(f, row_group.schema)
-            writer.write_batch(row_group)
-        if writer:
-            writer.close()
+    schema, folder = to_arrow_schema(df.schema), path.removeprefix("file://")
+    os.makedirs(folder, exist_ok=True)
+
+    def write(batches):
+        from pyspark import TaskContext
+
+        part, n = TaskContext.get().partitionId(), 0
+        name = os.path.join(folder, f"part-{part:05d}.arrow")
+        with pa.OSFile(f"{name}.{TaskContext.get().taskAttemptId()}", "wb") as f, pa.ipc.new_file(f, schema) as w:
+            for b in batches:
+                w.write_batch(pa.RecordBatch.from_arrays(b.columns, schema=schema) if b.schema != schema else b)
+                n += b.num_rows
+        os.replace(f"{name}.{TaskContext.get().taskAttemptId()}", name)  # a repeated task replaces its file whole
+        yield pa.RecordBatch.from_arrays([pa.array([part]), pa.array([n])], ["part", "n"])
+
+    df.mapInArrow(write, "part long, n long").agg(F.sum("n")).collect()
 
 
 def viewer_state(template: str, values: dict[str, str]) -> str:

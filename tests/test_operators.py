@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from axonlake.functions import scalars
 from axonlake.functions.constants import SIMPLE_STATUS, STATUS_RANK, STATUSES
-from axonlake.operators import annotations, connectome, diff, graph, logs, nt, plotdata, reports, rois, stats, synapses
+from axonlake.operators import annotations, connectome, diff, graph, logs, nt, plotdata, reports, rois, stats, synapses, windows
 from axonlake.plans import config, products
 from axonlake.sources import adapter, readers, sinks
 
@@ -114,6 +114,8 @@ def test_arrow_source_and_sinks(spark, tmp_path):
     assert dict(x.dtypes) == {"point_id": "bigint", "kind": "string"} and sorted(r.point_id for r in x.collect()) == [1, 2, 3]
     sinks.arrow(x, str(tmp_path / "q.feather"))
     assert readers.arrow(spark, str(tmp_path / "q.feather")).count() == 3
+    sinks.arrow(spark.range(100, numPartitions=3), str(tmp_path / "r"))
+    assert sorted(r.id for r in readers.arrow(spark, str(tmp_path / "r")).collect()) == list(range(100))
     sinks.importer_csv(spark.createDataFrame([(1, ["a", "b"], True, "Segment")], "body long, tags array<string>, ok boolean, label string"), "segments", str(tmp_path / "csv"))
     y = spark.read.csv(str(tmp_path / "csv"), header=True)
     assert y.columns == [":ID(Body-ID)", "tags:string[]", "ok:boolean", ":LABEL"] and tuple(y.first()) == ("1", "a;b", "true", "Segment")
@@ -154,7 +156,7 @@ def test_snapshot_command(spark, tmp_path):
     c = {"points": f"{tmp_path}/points", "partners": f"{tmp_path}/partners", "annotations": f"{tmp_path}/ann", "output": f"{tmp_path}/out", "roisets": ["primary_roi", "shell_roi"], "products": ["flat", "graph"], "tag": "v1"}
     (tmp_path / "c.json").write_text(json.dumps(c))
     assert config.main([str(tmp_path / "c.json")]) == 0
-    assert spark.read.parquet(f"{tmp_path}/out/flat/weights").count() > 0 and spark.read.parquet(f"{tmp_path}/out/graph/connections").count() > 0
+    assert spark.read.parquet(f"{tmp_path}/out/flat/weights").count() > 0 and spark.read.csv(f"{tmp_path}/out/graph/connections", header=True).columns[:2] == [":START_ID(Body-ID)", ":END_ID(Body-ID)"]
     with pytest.raises(ValueError):
         config.Config(zone="moon")
 
@@ -186,3 +188,55 @@ def test_plot_data_and_diff_edges(spark):
     a = spark.createDataFrame([(1, None, 1.0), (2, "x", None)], "k int, s string, f double")
     assert diff.change_mask(a, a, "k").count() == 0
     assert stats.union_all(a, x).count() == 5 and connectome.weighted(spark.createDataFrame([(None, 1)], "body_pre int, body_post int")).count() == 0
+
+
+def test_all_products_by_command(spark, tmp_path):
+    syn = adapter.partners(spark, FOLDER)
+    adapter.points(syn).write.parquet(f"{tmp_path}/points")
+    syn.select("pre_id", "post_id").write.parquet(f"{tmp_path}/partners")
+    adapter.annotations(spark, FOLDER).withColumn("status", F.lit("Traced")).withColumn("cell_type", F.col("type")).write.parquet(f"{tmp_path}/ann")
+    e = readers.with_point_ids(adapter.elements(spark, FOLDER))
+    e.write.parquet(f"{tmp_path}/elm")
+    e.groupBy("body").agg(F.min("point_id").alias("source_id"), F.max("point_id").alias("target_id")).write.parquet(f"{tmp_path}/far")
+    adapter.nt_points(spark, FOLDER).write.parquet(f"{tmp_path}/nt")
+    truth = spark.createDataFrame([(f"T{i}", adapter.TRANSMITTERS[i % 4]) for i in range(12)], "cell_type string, ground_truth string")
+    truth.write.parquet(f"{tmp_path}/truth")
+    truth.limit(2).select("cell_type", F.col("ground_truth").alias("consensus_nt"), F.lit("a").alias("nt_reference"), F.lit("").alias("other_nt"), F.lit("").alias("other_nt_reference")).write.parquet(f"{tmp_path}/exp")
+    c = {
+        "points": f"{tmp_path}/points", "partners": f"{tmp_path}/partners", "annotations": f"{tmp_path}/ann", "elements": f"{tmp_path}/elm", "element_distances": f"{tmp_path}/far", "element_kinds": ["O", "F"], "output": f"{tmp_path}/out",
+        "transmitters": f"{tmp_path}/nt", "transmitter_names": adapter.TRANSMITTERS, "transmitter_truth": f"{tmp_path}/truth", "transmitter_experimental": f"{tmp_path}/exp",
+        "roisets": ["primary_roi", "shell_roi"], "region_flags": ["ASIA"], "report_roiset": "shell_roi", "reports": {"all": [], "asia": ["ASIA"]}, "products": ["flat", "graph", "reports", "transmitters"], "tag": "v1", "high_accuracy": 5, "high_precision": 8, "graph_format": "parquet",
+    }
+    (tmp_path / "c.json").write_text(json.dumps(c))
+    assert config.main([str(tmp_path / "c.json"), "-c"]) == 0 and not (tmp_path / "out").exists()
+    assert config.main([str(tmp_path / "c.json")]) == 0
+    segments = spark.read.parquet(f"{tmp_path}/out/graph/segments")
+    assert {"roiInfo", "total", "O", "F", "ASIA", "label", "predicted_nt"} <= set(segments.columns) and segments.groupBy("body").count().where("count > 1").count() == 0
+    assert spark.read.parquet(f"{tmp_path}/out/graph/close_to").where("distance >= 0").count() == e.select("body").distinct().count()
+    assert "roiInfo" in spark.read.parquet(f"{tmp_path}/out/graph/connections").columns
+    assert spark.read.parquet(f"{tmp_path}/out/reports/status-asia").count() > 0 and spark.read.parquet(f"{tmp_path}/out/transmitters/confusion").count() == 49
+
+
+def test_ranks_cross_partitions(spark):
+    r = __import__("random").Random(3)
+    rows = [(r.randrange(5), r.randrange(3), r.randrange(10**15)) for _ in range(3000)] + [(None, 1, 5), (2, None, 6)]
+    got = {(x.a, x.b, x.t): x.rank for x in windows.ranked(spark.createDataFrame(rows, "a int, b int, t long"), ["a", "b"], "t").collect()}
+    order = sorted(rows, key=lambda x: (x[0] is None, -(x[0] or 0), x[1] is None, -(x[1] or 0), x[2]))
+    assert got == {x: k + 1 for k, x in enumerate(order)}
+    x = spark.range(1, 2001).select(F.col("id").alias("rnk"), (F.col("id") % 7).alias("n"))
+    block, windows.BLOCK = windows.BLOCK, 64
+    sums = {y.rnk: y.n for y in windows.running(x, "rnk", ["n"]).collect()}
+    windows.BLOCK = block
+    assert sums == {k: sum(j % 7 for j in range(1, k + 1)) for k in range(1, 2001)}
+    assert windows.ranked(spark.createDataFrame([], "a int, b int, t long"), ["a"], "t").collect() == []
+
+
+def test_checks_that_must_fail(spark):
+    points = spark.createDataFrame([(1, 2), (2, 0), (3, 1)], "point_id long, r_label int")
+    assert {x.point_id: x.r for x in rois.named(points, "r", {"ME": 1, "LO": 2}).collect()} == {1: "LO", 2: "<unspecified>", 3: "ME"}
+    with pytest.raises(Exception, match="has no name"):
+        rois.named(points, "r", {"ME": 1}).collect()
+    p = spark.createDataFrame([(1, "gaba"), (1, "gaba"), (1, "x")], "body long, pred1 string")
+    m = spark.createDataFrame([("gaba", "gaba", 0.5)], "ground_truth string, pred1 string, p double")
+    with pytest.raises(Exception, match="lacks a pair"):
+        nt.group_confidence(p, nt.mode(p, "body"), m, "body").collect()
