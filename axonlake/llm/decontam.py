@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from .common import fresh, id_key, saved, ship, words_of
 
 SEED = 3
+#: An item of fewer words is too common to tell a copy by, so it contaminates nothing.
+LEAST_WORDS = 5
+#: A longer item is cut into passages of so many words, of which any copy counts.
+MOST_WORDS = 2000
 SIMILARITY = 0.8
 #: A block of items that goes to every executor has so many bytes of text at most.
 BLOCK_BYTES = 8 << 20
@@ -35,11 +39,10 @@ class Items:
     """A block of test items: word numbers, the items' words as numbers, and the n-grams that may be seeds."""
 
     def __init__(self, rows: list[tuple[int, str | None]], similarity: float):
-        self.similarity, self.words, self.items = similarity, {}, {}
-        for item, text in rows:
-            w = tokens_of(text)
-            if w:
-                self.items[item] = np.array([self.words.setdefault(x, len(self.words)) for x in w], np.int64)
+        self.similarity, self.words, self.items, self.ids = similarity, {}, {}, {}
+        for k, (item, text) in enumerate(rows):
+            if len(w := tokens_of(text)) >= LEAST_WORDS:
+                self.items[k], self.ids[k] = np.array([self.words.setdefault(x, len(self.words)) for x in w], np.int64), item
         self.grams: dict[int, list[int]] = defaultdict(list)  # n-gram -> items
         for item, w in self.items.items():
             for g in set(self.keys(w).tolist()):
@@ -51,7 +54,7 @@ class Items:
         return np.fromiter((get(w, -1) for w in words), np.int64, len(words))
 
     def keys(self, w: np.ndarray) -> np.ndarray:
-        """Of each window of SEED words (a shorter item is one window), in order; unknown words give 2 ** 64 - 1."""
+        """Of each window of SEED words, in order; unknown words give 2 ** 64 - 1."""
         n = max(1, len(w) - SEED + 1)
         k, bad = np.zeros(n, np.uint64), np.zeros(n, bool)
         for i in range(min(SEED, len(w))):
@@ -65,29 +68,9 @@ class Items:
         """(places, n-grams) of the known n-grams in a document."""
         if not len(self.known) or not len(w):
             return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        runs = [self.keys(w)] if len(w) >= SEED else []
-        if self.short():
-            runs += [self._short(w, n) for n in self.short()]
-        places, found = [], []
-        for k in runs:
-            at = np.searchsorted(self.known, k)
-            ok = self.known[np.minimum(at, len(self.known) - 1)] == k
-            places.append(np.flatnonzero(ok))
-            found.append(k[ok])
-        return (np.concatenate(places), np.concatenate(found)) if runs else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
-
-    def short(self) -> list[int]:
-        """Lengths under SEED words that items have."""
-        return sorted({len(w) for w in self.items.values() if len(w) < SEED})
-
-    def _short(self, w: np.ndarray, n: int) -> np.ndarray:
-        k, bad = np.zeros(max(0, len(w) - n + 1), np.uint64), np.zeros(max(0, len(w) - n + 1), bool)
-        for i in range(n):
-            x = w[i : i + len(k)]
-            bad |= x < 0
-            k = k * np.uint64(len(self.words) + 1) + (x + 1).astype(np.uint64)
-        k[bad] = np.uint64(2**64 - 1)
-        return k
+        k = self.keys(w) if len(w) >= SEED else np.zeros(0, np.uint64)
+        ok = self.known[np.minimum(np.searchsorted(self.known, k), len(self.known) - 1)] == k
+        return np.flatnonzero(ok), k[ok]
 
     def seeds(self, counts: dict[int, int]) -> dict[int, list[int]]:
         """n-gram -> items that it is a seed of. A copy that lacks e words of an item lacks SEED * e of its windows at
@@ -169,7 +152,7 @@ def _match(items: Items, seeds: dict[int, list[int]]):
                     wide[k, : len(r[2])] = r[2]
                 for (d, at, _), (score, matched, first, last) in zip(rows, align(w, wide).tolist(), strict=True):
                     if matched >= len(w) - edits(len(w), items.similarity):
-                        out.append((d, item, matched / len(w), score / 2, at + first, at + last - 1))
+                        out.append((d, items.ids[item], matched / len(w), score / 2, at + first, at + last - 1))
 
             for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
                 w = items.numbers(tokens_of(t))
@@ -203,6 +186,18 @@ def _match(items: Items, seeds: dict[int, list[int]]):
     return run
 
 
+def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Items as passages of at most MOST_WORDS words, of like length."""
+    for b in batches:
+        rows = []
+        for item, text in zip(b.column("item_id").to_pylist(), b.column("text").to_pylist(), strict=True):
+            w = tokens_of(text)
+            n = -(-len(w) // MOST_WORDS)
+            cuts = [len(w) * k // n for k in range(n + 1)] if n else []
+            rows += [(item, b" ".join(w[a:z]).decode("utf-8", "replace")) for a, z in zip(cuts[:-1], cuts[1:], strict=True) if z - a >= LEAST_WORDS]
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string())], ["item_id", "text"])
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, item_id, similarity, score, first_word, last_word): documents that hold a copy of a test item, at least
     similarity of whose words the best local alignment matches in order; the best place for each document and item.
@@ -212,21 +207,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     join documents to items; Smith-Waterman aligns the item with the words around them.
 
     The items go to the executors in blocks of at most BLOCK_BYTES, however many there are; the corpus is never
-    shuffled. Null texts and items hold nothing; items of fewer than three words are one seed; repeated rows report
-    once for each doc_id; no rows on either side give none; other columns are ignored.
+    shuffled. Null texts and items hold nothing; items of fewer than LEAST_WORDS words are left out, as chance holds them;
+    items of over MOST_WORDS words are cut into passages of like length, a copy of any of which counts (the best is
+    reported); repeated rows report once for each doc_id; no rows on either side give none; other columns are ignored.
     """
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     tests = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null and text is not null")
+    tests = saved(tests.mapInArrow(_passages, "item_id long, text string"), "passages")
     size = tests.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-size // (BLOCK_BYTES // 2))
     out = spark.createDataFrame([], RESULT)
     for k in range(blocks):
-        mine = tests.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k)
-        block = [tuple(r) for r in mine.select("item_id", "text").toLocalIterator()]
-        if sum(len(t.encode()) for _, t in block) > 4 * BLOCK_BYTES:
-            raise ValueError("one test item is too large to send to every executor")
+        mine = tests.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
+        block = [tuple(r) for r in mine.select("item_id", "text").toLocalIterator()]  # about half of BLOCK_BYTES
         items = Items(block, similarity)
         counts = rows.select("text").mapInArrow(_count(items), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
         by_gram = {int(items.known[r.gram]): r.n for r in counts.toLocalIterator()}  # one number for each n-gram of the block

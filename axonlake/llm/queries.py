@@ -20,7 +20,7 @@ def tokenizer(name: str) -> str:
 
 def op1_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = sharding.shards(table(spark, sf_dir, "documents"), SHARD_BYTES)
-    return x.select("doc_id", "n_bytes", "shard", "depth", "shard_bytes")
+    return x.select("doc_id", "n_bytes", "shard", "depth", "shard_bytes", "part")
 
 
 OP1_SQL = f"""
@@ -28,7 +28,7 @@ WITH h AS (SELECT doc_id, coalesce(strlen(text), 0)::BIGINT AS n_bytes, ('0x' ||
 levels AS (SELECT unnest(range(0, 61))::INT AS depth),
 sizes AS (SELECT depth, h >> (60 - depth) AS p, sum(n_bytes)::BIGINT AS shard_bytes FROM h, levels GROUP BY 1, 2),
 leaf AS (SELECT h.doc_id, min(s.depth) AS depth FROM h, levels l, sizes s WHERE s.depth = l.depth AND s.p = h.h >> (60 - l.depth) AND s.shard_bytes <= {SHARD_BYTES} GROUP BY 1)
-SELECT h.doc_id, h.n_bytes, substr(lpad(bin(h.h), 60, '0'), 1, leaf.depth) AS shard, leaf.depth::INT AS depth, s.shard_bytes
+SELECT h.doc_id, h.n_bytes, substr(lpad(bin(h.h), 60, '0'), 1, leaf.depth) AS shard, leaf.depth::INT AS depth, s.shard_bytes, 0::BIGINT AS part
 FROM h JOIN leaf USING (doc_id) JOIN sizes s ON s.depth = leaf.depth AND s.p = h.h >> (60 - leaf.depth)
 """
 

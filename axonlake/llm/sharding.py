@@ -21,6 +21,21 @@ def _prefix(h: Column, bits: int) -> Column:
     return F.shiftright(h, HASH_BITS - bits)
 
 
+def _parts(rows: DataFrame, limit: int) -> DataFrame:
+    """Rows of equal keys cut into parts of about limit bytes. They are dealt out by ranges of the hash, the size and a
+    random number, so one key fills as many tasks as it needs; each task adds up its own rows, after the bytes of the same
+    key in the tasks before."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    x = saved(rows.withColumn("_r", F.rand(1)).repartitionByRange(n, "_h", "n_bytes", "_r").sortWithinPartitions("_h", "n_bytes", "_r").withColumn("_at", F.monotonically_increasing_id()).withColumn("_t", F.shiftrightunsigned("_at", 33)), "equal-keys")
+    task = Window.partitionBy("_h").orderBy("_t").rowsBetween(Window.unboundedPreceding, -1)
+    before = x.groupBy("_h", "_t").agg(F.sum("n_bytes").alias("b")).select(F.col("_h").alias("_k"), F.col("_t").alias("_u"), F.coalesce(F.sum("b").over(task), F.lit(0)).alias("_before"))
+    here = Window.partitionBy("_h", "_t").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    y = x.withColumn("_here", F.coalesce(F.sum("n_bytes").over(here), F.lit(0))).join(before, (F.col("_h") == F.col("_k")) & (F.col("_t") == F.col("_u")))
+    y = y.withColumn("part", F.floor((F.col("_before") + F.col("_here")) / limit)).drop("_r", "_at", "_t", "_k", "_u", "_before", "_here")
+    sums = y.groupBy(F.col("_h").alias("_k"), F.col("part").alias("_q")).agg(F.sum("n_bytes").alias("shard_bytes"))
+    return y.join(sums, (F.col("_h") == F.col("_k")) & (F.col("part") == F.col("_q"))).select(*rows.columns, F.lit(HASH_BITS).alias("depth"), "shard_bytes", "part")
+
+
 def shards(docs: DataFrame, limit: int, key: str = "doc_id", size: Column | None = None, more_bits: int = 8) -> DataFrame:
     """(key, n_bytes, shard, depth, shard_bytes, part): shard is the bucket's hash prefix in bits, depth its length.
 
@@ -38,25 +53,28 @@ def shards(docs: DataFrame, limit: int, key: str = "doc_id", size: Column | None
     done, left = [], rows
     while True:
         fine = left.groupBy(_prefix(F.col("_h"), high).alias("_p")).agg(F.sum("n_bytes").alias("n"))
-        levels = fine.select("_p", "n", F.explode(F.sequence(F.lit(low), F.lit(high))).alias("depth"))
-        bucket = F.expr(f"shiftright(_p, {high} - depth)")
-        sizes = levels.withColumn("_b", bucket).groupBy("depth", "_b").agg(F.sum("n").alias("shard_bytes"), F.collect_set("_p").alias("_all"))
-        fits = sizes.where(F.col("shard_bytes") <= limit).select(F.explode("_all").alias("_p"), "depth", "shard_bytes")
-        leaf = fits.groupBy("_p").agg(F.min(F.struct("depth", "shard_bytes")).alias("leaf"))
-        directory = saved(fine.select("_p").join(leaf, "_p", "left").select("_p", "leaf.*"), "directory")
-        at = left.withColumn("_p", _prefix(F.col("_h"), high)).join(directory, "_p").drop("_p")
-        done.append(at.where("depth is not null").withColumn("part", F.lit(0).cast("long")))
-        if not directory.where("depth is null").limit(1).count():
+        levels = fine.select("n", F.explode(F.sequence(F.lit(low), F.lit(high))).alias("depth"), "_p")
+        sizes = saved(levels.groupBy("depth", F.expr(f"shiftright(_p, {high} - depth)").alias("_b")).agg(F.sum("n").alias("shard_bytes")), "sizes")
+        above = sizes.select((F.col("depth") + 1).alias("_d"), F.col("_b").alias("_a"), (F.col("shard_bytes") > limit).alias("_full"))
+        leaves = sizes.where(F.col("shard_bytes") <= limit).join(above, (F.col("depth") == F.col("_d")) & (F.shiftright("_b", 1) == F.col("_a")), "left")
+        leaves = saved(leaves.where(F.coalesce("_full", F.lit(True))).select(F.col("depth").alias("_d"), F.col("_b").alias("_a"), "shard_bytes"), "leaves")
+        depths = sorted(r[0] for r in leaves.select("_d").distinct().collect())  # at most one number a bit
+        at = left
+        if depths:
+            by_depth = fine.select("_p", F.explode(F.array(*map(F.lit, depths))).alias("depth"))
+            own = by_depth.join(leaves, (F.col("depth") == F.col("_d")) & (F.expr(f"shiftright(_p, {high} - depth)") == F.col("_a"))).select("_p", "depth", "shard_bytes")
+            at = left.withColumn("_p", _prefix(F.col("_h"), high)).join(own, "_p", "left").drop("_p")
+            done.append(at.where("depth is not null").withColumn("part", F.lit(0).cast("long")))
+            at = at.where("depth is null").drop("depth", "shard_bytes")
+        if not sizes.where((F.col("depth") == high) & (F.col("shard_bytes") > limit)).limit(1).count():
             break
-        left = at.where("depth is null").drop("depth", "shard_bytes")
         if high == HASH_BITS:
-            up_to = Window.partitionBy("_h").orderBy("n_bytes").rowsBetween(Window.unboundedPreceding, -1)
-            x = left.withColumn("part", F.floor(F.coalesce(F.sum("n_bytes").over(up_to), F.lit(0)) / limit))
-            of = Window.partitionBy("_h", "part")
-            done.append(x.select(*left.columns, F.lit(HASH_BITS).alias("depth"), F.sum("n_bytes").over(of).alias("shard_bytes"), "part"))
+            done.append(_parts(at, limit))
             break
-        left = saved(left, "oversized")
-        low, high = high, min(HASH_BITS, high + more_bits)
+        left = saved(at, "oversized")
+        low, high = high + 1, min(HASH_BITS, high + more_bits)
+    if not done:
+        done.append(rows.select("*", F.lit(0).alias("depth"), F.lit(0).cast("long").alias("shard_bytes"), F.lit(0).cast("long").alias("part")))
     bits = F.expr(f"substring(lpad(bin(_h), {HASH_BITS}, '0'), 1, depth)")
     return reduce(DataFrame.unionByName, done).select(F.col(key), "n_bytes", bits.alias("shard"), F.col("depth").cast("int").alias("depth"), "shard_bytes", "part")
 

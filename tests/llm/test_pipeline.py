@@ -62,3 +62,17 @@ def test_empty(spark, tmp_path):
     for _, stage in cp.STAGES:
         docs = stage(spark, docs, str(tmp_path))
         assert docs.collect() == []
+
+
+def test_clashing_columns_pass_through(spark, tmp_path):
+    r = random.Random(4)
+    spark.createDataFrame([(0, prose(r, 30))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    extra = ["_id", "_key", "_base", "_runs", "_nulls", "_spans", "_row", "spans", "component_id", "fp", "kept"]
+    rows = [(i, prose(r) + (" password=hunter2hunter" if i == 3 else ""), "en", "s", 9, *range(len(extra))) for i in range(6)] + [(None, prose(r), "en", None, 9, *range(len(extra)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} int" for c in extra))
+    for _, stage in cp.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns
+        got = out.collect()
+        assert len(got) == 7 and all(tuple(x)[5:] == tuple(range(len(extra))) for x in got)
+        docs = out
