@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, lm, packing, pii, quality, secrets, sharding, simhash, suffix_dedup, tokens
+from . import decontam, lm, oracles, packing, pii, quality, secrets, sharding, simhash, suffix_dedup, tokens
 from .common import table
 
 
@@ -80,4 +80,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_extendible_sharding": OP1_SQL}
+    return {"op1_extendible_sharding": OP1_SQL, "op3_suffix_array_dedup": oracles.SUFFIX_SQL, "op5_line_frequency_quality": oracles.QUALITY_SQL}

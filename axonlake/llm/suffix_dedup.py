@@ -190,17 +190,25 @@ def _earliest(length: int):
         text = np.frombuffer(b"\xff".join(index) + b"\xff\xfe", np.uint8) + np.uint8(2)
         sizes = np.fromiter(map(len, index), np.int64, len(index))
         begin = np.cumsum(sizes + 1) - sizes - 1
-        owner = np.repeat(np.arange(len(index)), sizes + 1)
+        n = int(sizes.sum()) + len(sizes)
         del index
-        places, common = sorted_suffixes(text, length)
-        real = places < len(owner)
-        places, common = places[real], common[real]  # the end of the text comes first, so no prefix is lost
-        group = np.cumsum(common < length) - 1
-        doc_of = doc[owner[places]] if len(places) else places
-        best = np.full(int(group[-1]) + 1 if len(group) else 0, LAST)
-        np.minimum.at(best, group, doc_of)
-        at_place = np.empty(len(owner), np.int64)
-        at_place[places] = best[group]
+        at_place = np.empty(n, np.int64)
+        held, best = [], LAST  # places of the string that is not yet over, and its smallest doc_id
+        for places, common in sorted_suffixes(text, length):
+            real = places < n
+            places, common = places[real], common[real]  # the end of the text comes first, so no prefix is lost
+            docs = doc[np.searchsorted(begin, places, side="right") - 1]
+            heads = np.flatnonzero(common < length)
+            first = int(heads[0]) if len(heads) else len(places)
+            held.append(places[:first])
+            best = min(best, int(docs[:first].min())) if first else best
+            if len(heads):
+                at_place[np.concatenate(held)] = best
+                least = np.minimum.reduceat(docs, heads)
+                at_place[places[first:]] = np.repeat(least, np.diff(np.append(heads, len(places))))
+                held, best = [places[heads[-1] :]], int(least[-1])
+        if held:
+            at_place[np.concatenate(held)] = best
         count = sizes - length + 1
         starts = _ragged(begin, count)
         found = at_place[starts]

@@ -3,57 +3,158 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 
 import numpy as np
 
-#: Suffix tuples that queues may hold in memory; beyond that they go to unnamed files that vanish with the task.
+#: Suffix tuples that a sort may hold in memory; beyond that they go to unnamed files of the task, which vanish with it.
 IN_MEMORY = 1 << 23
+#: Tuples that are handled at once.
+CHUNK = 1 << 20
 TUPLE = np.dtype([("place", "<i8"), ("common", "u1")])
 
 
+class Store:
+    """What all runs of a sort hold in memory together. Beyond limit tuples every run's go to its file."""
+
+    def __init__(self, limit: int = IN_MEMORY):
+        self.limit, self.held, self.most, self.spilled, self.runs = limit, 0, 0, 0, []
+
+    def run(self) -> Run:
+        self.runs.append(Run(self))
+        return self.runs[-1]
+
+    def grown(self, n: int) -> None:
+        self.held += n
+        self.most = max(self.most, self.held)
+        if self.held > self.limit:
+            self.spilled += self.held
+            for r in self.runs:
+                r.spill()
+            self.held = 0
+
+    def array(self, n: int, kind) -> np.ndarray:
+        """An array of zeros that is mapped from a file if it is larger than the limit."""
+        if n <= max(self.limit, 1):
+            return np.zeros(n, kind)
+        f = tempfile.TemporaryFile()
+        f.truncate(n * np.dtype(kind).itemsize)
+        return np.memmap(f, kind, "r+", shape=n)
+
+
+class Run:
+    """Suffix tuples in order, appended to at the end and read from either end, in memory or in a file."""
+
+    def __init__(self, store: Store):
+        self.store, self.parts, self.file, self.n = store, [], None, 0
+
+    def append(self, t: np.ndarray) -> None:
+        if len(t):
+            self.parts.append(t)
+            self.n += len(t)
+            self.store.grown(len(t))
+
+    def spill(self) -> None:
+        if self.parts:
+            self.file = self.file or tempfile.TemporaryFile()
+            self.file.seek(0, 2)
+            for t in self.parts:
+                self.file.write(t.tobytes())
+            self.parts = []
+
+    def close(self) -> None:
+        self.store.held -= sum(map(len, self.parts))
+        self.store.runs.remove(self)
+        if self.file:
+            self.file.close()
+        self.parts, self.file = [], None
+
+    def _held(self) -> np.ndarray:
+        """The tuples in memory, as one array."""
+        if len(self.parts) > 1:
+            self.parts = [np.concatenate(self.parts)]
+        return self.parts[0]
+
+    def _filed(self) -> int:
+        return self.n - sum(map(len, self.parts))
+
+    def _slice(self, a: int, z: int) -> np.ndarray:
+        self.file.seek(a * TUPLE.itemsize)
+        return np.frombuffer(bytearray(self.file.read((z - a) * TUPLE.itemsize)), TUPLE)
+
+    def chunks(self) -> Iterator[np.ndarray]:
+        """From the first tuple on. The run must not grow meanwhile, but may spill."""
+        at = 0
+        while at < self.n:
+            filed, z = self._filed(), min(at + self._size(), self.n)
+            if at < filed:
+                z = min(z, filed)
+                yield self._slice(at, z)
+            else:
+                yield self._held()[at - filed : z - filed]
+            at = z
+
+    def falling(self) -> Iterator[np.ndarray]:
+        """Chunks from the last tuple to the first; common is then that with the tuple before in this order, but for the
+        very first."""
+        z, carried = self.n, None
+        while z > 0:
+            filed, a = self._filed(), max(0, z - self._size())
+            if z > filed:
+                a = max(a, filed)
+                t = self._held()[a - filed : z - filed]
+            else:
+                t = self._slice(a, z)
+            down = np.empty(len(t), TUPLE)
+            down["place"], down["common"][1:], down["common"][0] = t["place"][::-1], t["common"][:0:-1], 0 if carried is None else carried
+            carried, z = int(t["common"][0]), a
+            yield down
+
+    def _size(self) -> int:
+        return max(1, min(CHUNK, self.store.limit))
+
+
 class Queues:
     """A priority queue of suffix tuples (place, common prefix with the tuple before), keyed by first character and rank.
 
     Induction pushes tuples of one character in ascending order of rank, so each character's tuples are a run that is
-    only appended to and taken once, from its front: the heap is an array of files. What does not fit into memory is
-    written to a file for each character.
+    only appended to and taken from its front: the heap is an array of runs, in files as far as memory ends.
     """
 
-    def __init__(self, in_memory: int = IN_MEMORY):
-        self.runs: dict[int, list[np.ndarray]] = {}
-        self.files: dict[int, object] = {}
-        self.held, self.limit, self.spilled = 0, in_memory, 0
+    def __init__(self, store: Store):
+        self.store, self.runs = store, {}
 
     def push(self, char: int, place: np.ndarray, common: np.ndarray) -> None:
         t = np.empty(len(place), TUPLE)
         t["place"], t["common"] = place, common
-        self.runs.setdefault(char, []).append(t)
-        self.held += len(t)
-        if self.held > self.limit:
-            for c, parts in self.runs.items():
-                f = self.files.get(c) or self.files.setdefault(c, tempfile.TemporaryFile())
-                for p in parts:
-                    f.write(p.tobytes())
-            self.spilled, self.held, self.runs = self.spilled + self.held, 0, {}
-
-    def pop(self, char: int) -> np.ndarray | None:
-        """All tuples of a character so far, in order; None if there are none."""
-        parts = self.runs.pop(char, [])
-        self.held -= sum(map(len, parts))
-        if f := self.files.pop(char, None):
-            f.seek(0)
-            parts.insert(0, np.frombuffer(f.read(), TUPLE))
-            f.close()
-        return np.concatenate(parts) if parts else None
-
-
-def kinds(text: np.ndarray) -> np.ndarray:
-    """True where a suffix is smaller than the next one (type S); the last one is."""
-    n = len(text)
-    less, more = text[:-1] < text[1:], text[:-1] > text[1:]
-    decided = np.append(less | more, True)
-    nearest = np.minimum.accumulate(np.where(decided, np.arange(n), n)[::-1])[::-1]
-    return np.append(less, True)[nearest]
+        if char not in self.runs:
+            self.runs[char] = self.store.run()
+        self.runs[char].append(t)
+
+    def taken(self, char: int) -> Iterator[np.ndarray]:
+        """Chunks of a character's tuples in order, also those that are pushed meanwhile."""
+        while char in self.runs:
+            run = self.runs.pop(char)
+            yield from run.chunks()
+            run.close()
+
+
+def kinds(text: np.ndarray, store: Store) -> np.ndarray:
+    """True where a suffix is smaller than the next one (type S); the last one is. Taken in pieces from the end."""
+    out, z, above = store.array(len(text), bool), len(text), True
+    while z > 0:
+        a = max(0, z - max(1, min(CHUNK, store.limit)))
+        own, then = text[a:z], text[a + 1 : z + 1]
+        less, more = np.zeros(z - a, bool), np.zeros(z - a, bool)
+        n = len(then)
+        less[:n], more[:n] = own[:n] < then, own[:n] > then
+        if n < len(own):
+            less[-1] = True
+        decided = less | more
+        nearest = np.minimum.accumulate(np.where(decided, np.arange(z - a), z - a)[::-1])[::-1]
+        out[a:z] = np.append(less, above)[nearest]
+        above, z = bool(out[a]), a
+    return out
 
 
 def _common(text: np.ndarray, a: np.ndarray, b: np.ndarray, limit: int) -> np.ndarray:
@@ -117,6 +218,50 @@ def starred(text: np.ndarray, small: np.ndarray, limit: int) -> tuple[np.ndarray
     return places, np.concatenate(([0], _common(text, places[:-1], places[1:], limit))).astype(np.uint8)
 
 
+def _keys(text: np.ndarray, places: np.ndarray, limit: int) -> np.ndarray:
+    """The first limit characters of suffixes as byte strings."""
+    at = places[:, None] + np.arange(limit)
+    chars = text[np.minimum(at, len(text) - 1)]
+    chars[at >= len(text)] = 0
+    return np.ascontiguousarray(chars).view(f"S{limit}")[:, 0]
+
+
+def merged_stars(text: np.ndarray, small: np.ndarray, limit: int, store: Store) -> Run:
+    """What starred() gives, for texts beyond memory: sorted pieces in files, merged."""
+    piece = max(64, store.limit // 8)
+    pieces, out = [], store.run()
+    for a in range(0, len(text), piece):
+        own = small[a : a + piece] & ~np.append(True if a == 0 else small[a - 1], small[a : a + piece][:-1])
+        t = np.zeros(int(own.sum()), TUPLE)
+        t["place"] = np.flatnonzero(own) + a
+        pieces.append(store.run())
+        pieces[-1].append(t[np.argsort(_keys(text, t["place"], limit), kind="stable")])
+        pieces[-1].spill()
+    streams = [(lambda r, n: (r._slice(k, min(k + n, r._filed())) for k in range(0, r._filed(), n)))(r, max(8, piece // len(pieces))) for r in pieces]
+    heads = [next(s, None) for s in streams]
+    heads = [h if h is None else (h["place"], _keys(text, h["place"], limit)) for h in heads]
+    last = None
+    while any(h is not None for h in heads):
+        edge = min(h[1][-1] for h in heads if h is not None)  # nothing up to here can still come
+        took = []
+        for k, h in enumerate(heads):
+            if h is not None and (n := int(np.searchsorted(h[1], edge, side="right"))):
+                took.append((h[0][:n], h[1][:n]))
+                heads[k] = (h[0][n:], h[1][n:]) if n < len(h[0]) else None
+                if heads[k] is None and (more := next(streams[k], None)) is not None:
+                    heads[k] = (more["place"], _keys(text, more["place"], limit))
+        place = np.concatenate([x[0] for x in took])
+        place = place[np.argsort(np.concatenate([x[1] for x in took]), kind="stable")]
+        t = np.empty(len(place), TUPLE)
+        t["place"], t["common"][1:] = place, _common(text, place[:-1], place[1:], limit)
+        t["common"][0] = 0 if last is None else _common(text, last, place[:1], limit)[0]
+        last = place[-1:]
+        out.append(t)
+    for r in pieces:
+        r.close()
+    return out
+
+
 class _Least:
     """Range minima over a batch's common prefixes."""
 
@@ -137,14 +282,14 @@ class _Least:
         return out
 
 
-def _induce(text, wanted, batch, queues, since, limit):
-    """Pushes the suffixes before those of batch, where wanted; since[c] is the least common prefix that went by after
+def _induce(text, small, kind, batch, queues, since, limit):
+    """Pushes the suffixes before those of batch that are of the kind (small: type S); since[c] is the least common prefix that went by after
     the last push of character c (limit + 1: none was pushed)."""
     place, common = batch["place"], np.minimum(batch["common"], limit)
     since[:] = np.where(since > limit, since, np.minimum(since, common[0]))  # the step into this batch
     before = place - 1
     ok = before >= 0
-    ok[ok] = wanted[before[ok]]
+    ok[ok] = small[before[ok]] if kind else ~small[before[ok]]
     at = np.flatnonzero(ok)
     least = _Least(common)
     if len(at):
@@ -173,78 +318,87 @@ def _induce(text, wanted, batch, queues, since, limit):
     since[:] = now
 
 
-def sorted_suffixes(text: np.ndarray, limit: int, in_memory: int = IN_MEMORY) -> tuple[np.ndarray, np.ndarray]:
-    """(places, common): all suffixes of a byte text in the order of their first limit characters, and each one's common
-    prefix with the one before, at most limit. The text must end with its only 0 and hold no 255.
+def sorted_suffixes(text: np.ndarray, limit: int, in_memory: int = IN_MEMORY, store: Store | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Chunks (places, common): all suffixes of a byte text in the order of their first limit characters, and each one's
+    common prefix with the one before, at most limit. The text must end with its only 0 and hold no 255; it may be mapped
+    from a file.
 
     Leftmost type-S suffixes are sorted first; they induce type L in ascending order, and those type S in descending
-    order. Every step takes a whole run of a character from the queue, and common prefixes are induced with the
-    suffixes: of two that are pushed in turn, one more than the least common prefix between what induced them.
+    order. Every step takes a chunk of a character's run from the queue, and common prefixes are induced with the
+    suffixes: of two that are pushed in turn, one more than the least common prefix between what induced them. Runs,
+    results and the leftmost suffixes' order go to files beyond in_memory tuples.
     """
+    store = store or Store(in_memory)
     if len(text) < 2:
-        return np.arange(len(text)), np.zeros(len(text), np.uint8)
-    small = kinds(text)
-    large = ~small
-    stars, shared = starred(text, small, limit)
-    cuts = np.searchsorted(text[stars], np.arange(257))
-    upper, since = Queues(in_memory), np.full(256, limit + 1, np.int64)
-    ordered: dict[int, np.ndarray] = {}  # type-L runs by character
+        yield np.arange(len(text)), np.zeros(len(text), np.uint8)
+        return
+    small = kinds(text, store)
+    if len(text) <= store.limit:
+        stars, (place, common) = store.run(), starred(text, small, limit)
+        t = np.empty(len(place), TUPLE)
+        t["place"], t["common"] = place, common
+        stars.append(t)
+    else:
+        stars = merged_stars(text, small, limit, store)
+    upper, since = Queues(store), np.full(256, limit + 1, np.int64)
+    ordered: dict[int, Run] = {}  # type-L runs by character
     last = -1  # place of the suffix that was handled last
+    coming, held, heads = stars.chunks(), np.empty(0, TUPLE), text[:0]
     for c in range(256):
-        done = []
-        while (batch := upper.pop(c)) is not None:
-            if not done:
+        for batch in upper.taken(c):
+            if c not in ordered:
                 batch["common"][0] = 0
-            done.append(batch)
-            _induce(text, large, batch, upper, since, limit)
+                ordered[c] = store.run()
+            _induce(text, small, False, batch, upper, since, limit)
+            ordered[c].append(batch)
             last = int(batch["place"][-1])
-        if done:
-            ordered[c] = np.concatenate(done)
-        a, z = int(cuts[c]), int(cuts[c + 1])
-        batch = np.empty(z - a, TUPLE)
-        batch["place"], batch["common"] = stars[a:z], shared[a:z]
-        if len(batch):
-            batch["common"][0] = _common(text, np.array([last]), batch["place"][:1], limit)[0] if last >= 0 and text[last] == c else 0
-            _induce(text, large, batch, upper, since, limit)
+        first = True
+        while True:  # the leftmost type-S suffixes of the character
+            if not len(held):
+                held = next(coming, held)
+                heads = text[held["place"]]
+            n = int(np.searchsorted(heads, c, side="right"))
+            if not n:
+                break
+            batch, held, heads = held[:n], held[n:], heads[n:]
+            if first:
+                batch["common"][0] = _common(text, np.array([last]), batch["place"][:1], limit)[0] if last >= 0 and text[last] == c else 0
+            first = False
+            _induce(text, small, False, batch, upper, since, limit)
             last = int(batch["place"][-1])
-    lower, since = Queues(in_memory), np.full(256, limit + 1, np.int64)
-    falling: dict[int, np.ndarray] = {}  # type-S runs by character, descending
+    stars.close()
+    lower, since = Queues(store), np.full(256, limit + 1, np.int64)
+    falling: dict[int, Run] = {}  # type-S runs by character, descending
     last = -1
     final = np.zeros(1, TUPLE)
     final["place"] = len(text) - 1
     for c in range(255, -1, -1):
-        done = []
-        while (batch := lower.pop(c)) is not None:
-            if not done:
+        for batch in lower.taken(c):
+            if c not in falling:
                 batch["common"][0] = 0
-            done.append(batch)
-            _induce(text, small, batch, lower, since, limit)
+                falling[c] = store.run()
+            _induce(text, small, True, batch, lower, since, limit)
+            falling[c].append(batch)
             last = int(batch["place"][-1])
         if c == 0:
-            done.append(final)
+            falling[c] = falling.get(c) or store.run()
+            falling[c].append(final)
             last = int(final["place"][0])
-            _induce(text, small, final, lower, since, limit)
-        if done:
-            falling[c] = np.concatenate(done)
-        if c in ordered:
-            run = ordered[c]
-            down = np.empty(len(run), TUPLE)
-            down["place"] = run["place"][::-1]
-            down["common"][1:] = run["common"][:0:-1]
-            down["common"][0] = _common(text, np.array([last]), down["place"][:1], limit)[0] if last >= 0 and text[last] == c else 0
-            _induce(text, small, down, lower, since, limit)
+            _induce(text, small, True, final, lower, since, limit)
+        for k, down in enumerate(ordered[c].falling() if c in ordered else ()):
+            if k == 0:
+                down["common"][0] = _common(text, np.array([last]), down["place"][:1], limit)[0] if last >= 0 and text[last] == c else 0
+            _induce(text, small, True, down, lower, since, limit)
             last = int(down["place"][-1])
-    places, common = [], []
+    last = -1
     for c in range(256):
-        if c in ordered:
-            places.append(ordered[c]["place"])
-            common.append(ordered[c]["common"])
-        if c in falling:
-            run = falling[c]
-            places.append(run["place"][::-1])
-            up = np.zeros(len(run), np.uint8)
-            up[1:] = run["common"][:0:-1]
-            if c in ordered:
-                up[0] = _common(text, ordered[c]["place"][-1:], run["place"][-1:], limit)[0]
-            common.append(up)
-    return np.concatenate(places), np.concatenate(common)
+        for batch in ordered[c].chunks() if c in ordered else ():
+            yield batch["place"], batch["common"]
+            last = int(batch["place"][-1])
+        for k, up in enumerate(falling[c].falling() if c in falling else ()):
+            if k == 0 and c in ordered:
+                up["common"][0] = _common(text, np.array([last]), up["place"][:1], limit)[0]
+            yield up["place"], up["common"]
+        for runs in (ordered, falling):
+            if c in runs:
+                runs[c].close()
