@@ -40,6 +40,8 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     if d := sc.getConf().get("spark.checkpoint.dir", None):
         return d.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if sc.applicationId not in _own_dir:
         own = tempfile.mkdtemp(prefix="axonlake-")
         atexit.register(shutil.rmtree, own, ignore_errors=True)
@@ -51,19 +53,30 @@ def _tables(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/axonlake-{spark.sparkContext.applicationId}"
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def clean(spark: SparkSession) -> None:
     """Delete the tables that this application has saved; results that still read them can't be computed any more."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(_tables(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, _tables(spark))
+
+
+def forget(df: DataFrame) -> None:
+    """Delete the table that saved() made, if df is one; what still reads it can't be computed any more."""
+    if path := getattr(df, "_saved_in", None):
+        _delete(df.sparkSession, path)
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
     """df written to a table in the shared folder and read back: cuts lineage, survives lost executors, is computed once."""
     spark = df.sparkSession
-    path = f"{_tables(spark)}/{uuid.uuid4().hex}/{name}.parquet"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = f"{_tables(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/{name}.parquet")
+    out = spark.read.schema(df.schema).parquet(f"{path}/{name}.parquet")
+    out._saved_in = path
+    return out
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
