@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from axonlake.llm import decontam, packing, quality, secrets, simhash
-from axonlake.llm.common import saved, table
+from axonlake.llm.common import forget, saved, table
 from axonlake.llm.queries import tokenizer
 
 #: Near-duplicate stage: words a shingle, and the similarity from which documents are copies.
@@ -45,8 +45,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over documents, each written and read again as the next one's input."""
+    """The stages over documents, each written and read again as the next one's input, then deleted."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = saved(stage(spark, docs, sf_dir), name.replace(" ", "-"))
-    return saved(STAGES[-1][1](spark, docs, sf_dir), "packed")
+    for name, stage in STAGES:
+        done = saved(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        forget(docs)
+        docs = done
+    return docs
