@@ -33,3 +33,42 @@ s AS (SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transf
  FROM d JOIN w USING (r) LEFT JOIN dup USING (r) LEFT JOIN repeats USING (r) LEFT JOIN removed USING (r))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND rest >= 0.3 * n_words AS kept FROM (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM s)
 """
+
+
+def _field(c: str) -> str:
+    return f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+#: Merkle manifest: levels by recursion, siblings by their run of eight, the tampered leaf folded level by level.
+MERKLE_SQL = f"""
+WITH RECURSIVE d AS MATERIALIZED (SELECT doc_id, lang, {_leaf("text")} AS leaf, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n,
+  {_leaf("CASE WHEN c % 3 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END")} AS bad
+  FROM (SELECT *, xor(4294967295::BIGINT, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)), lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda p, z: xor(p >> 1, 3988292384 * (p & 1))))) AS c FROM documents)),
+t AS (SELECT 0 AS lvl, lang, i, n, leaf AS h FROM d UNION ALL SELECT lvl + 1, lang, i // 8, (any_value(n) + 7) // 8, sha256(string_agg(h, '' ORDER BY i)) FROM t WHERE n > 1 GROUP BY lvl, lang, i // 8),
+subs AS MATERIALIZED (SELECT lang, lvl AS top, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS k, count(*) OVER () AS langs FROM t WHERE n = 1),
+u AS (SELECT 0 AS lvl, k AS i, langs AS n, subroot AS h FROM subs UNION ALL SELECT lvl + 1, i // 8, (any_value(n) + 7) // 8, sha256(string_agg(h, '' ORDER BY i)) FROM u WHERE n > 1 GROUP BY lvl, i // 8),
+all_nodes AS MATERIALIZED (SELECT t.lvl, coalesce('=' || t.lang, '') AS g, i, n, h FROM t UNION ALL SELECT lvl, '*', i, n, h FROM u),
+sib AS MATERIALIZED (SELECT a.lvl, a.g, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS before, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS after FROM all_nodes a JOIN all_nodes b ON a.lvl = b.lvl AND a.g = b.g AND a.i // 8 = b.i // 8 WHERE a.n > 1 GROUP BY 1, 2, 3),
+steps AS MATERIALIZED (SELECT d.doc_id, s.lvl AS step, before, after FROM d JOIN sib s ON s.g = coalesce('=' || d.lang, '') AND s.i = d.i // (8 ** s.lvl)::BIGINT
+  UNION ALL SELECT d.doc_id, subs.top + s.lvl, before, after FROM d JOIN subs ON subs.lang IS NOT DISTINCT FROM d.lang JOIN sib s ON s.g = '*' AND s.i = subs.k // (8 ** s.lvl)::BIGINT),
+proofs AS (SELECT doc_id, string_agg(before || after, '' ORDER BY step) AS p FROM steps GROUP BY 1),
+f AS (SELECT doc_id, 0 AS step, bad AS h FROM d UNION ALL SELECT f.doc_id, f.step + 1, sha256(before || f.h || after) FROM f JOIN steps s ON s.doc_id = f.doc_id AND s.step = f.step),
+ends AS (SELECT doc_id, max_by(h, step) AS folded_root FROM f GROUP BY 1)
+SELECT d.doc_id, d.leaf, subs.subroot, u.h AS root, sha256(coalesce(p, '')) AS proof_sha256, folded_root, folded_root = u.h AS verified
+FROM d JOIN subs ON subs.lang IS NOT DISTINCT FROM d.lang JOIN u ON u.n = 1 JOIN ends ON ends.doc_id = d.doc_id LEFT JOIN proofs ON proofs.doc_id = d.doc_id
+"""
+
+#: Hard negatives: the scores of all anchors with all rows, positives and then negatives ranked by window functions.
+NEGATIVES_SQL = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+ WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS MATERIALIZED (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_inner_product(a.e, b.e)::BIGINT AS score FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS r FROM s WHERE same) WHERE r <= 5)
+SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM (
+ SELECT p.anchor_id, p.id AS positive_id, s.id AS negative_id, p.score AS positive_score, s.score AS negative_score, row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id) AS rank
+ FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score) WHERE rank <= 5
+"""

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, lm, oracles, packing, pii, quality, secrets, sharding, simhash, suffix_dedup, tokens
+from . import decontam, hard_negatives, lm, merkle, oracles, packing, pii, quality, secrets, sharding, simhash, suffix_dedup, tokens, winnowing
 from .common import table
 
 
@@ -75,9 +77,30 @@ def op10_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), spaced=False, end=2, size=4096)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    text = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, F.translate("text", string.ascii_uppercase, string.ascii_lowercase)).otherwise(F.col("text"))
+    tampered = merkle.leaf(*(text if c == "text" else F.col(c) for c in fields))
+    x = merkle.manifest(table(spark, sf_dir, "documents"), F.col("lang"), F.col("doc_id"), merkle.leaf(*map(F.col, fields)), {"doc_id": F.col("doc_id"), "found": tampered})
+    x = x.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.proof(F.col("path")), 256).alias("proof_sha256"), merkle.folded(F.col("found"), F.col("path")).alias("folded_root"))
+    return x.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_winnowing_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = winnowing.against_edits(table(spark, sf_dir, "documents"))
+    entries = lambda c: F.array_join(F.transform(c, lambda e: F.concat_ws(":", e["place"].cast("string"), F.lower(F.hex(e["hash"])))), ",").alias(c)
+    return x.select("doc_id", "n_chars", "edited_sha256", entries("fingerprint"), entries("edited_fingerprint"), "near_edited", "near_next")
+
+
+def op13_hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = table(spark, sf_dir, "embeddings").where(hard_negatives.usable(F.col("embedding")))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mined(x.select(F.col("vec_id").alias("id"), label.alias("label"), hard_negatives.integers(F.col("embedding"), 256).alias("v")), F.col("id") % 100 == 0)
+
+
 def queries() -> dict:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_extendible_sharding": OP1_SQL, "op3_suffix_array_dedup": oracles.SUFFIX_SQL, "op5_line_frequency_quality": oracles.QUALITY_SQL}
+    return {"op1_extendible_sharding": OP1_SQL, "op3_suffix_array_dedup": oracles.SUFFIX_SQL, "op5_line_frequency_quality": oracles.QUALITY_SQL, "op11_merkle_manifest": oracles.MERKLE_SQL, "op13_hard_negative_mining": oracles.NEGATIVES_SQL}

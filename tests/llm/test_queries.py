@@ -27,6 +27,9 @@ TYPES = {
     "op8": {"doc_id": "bigint", "start": "bigint", "n_tokens": "bigint", "ids_crc32": "bigint"},
     "op9": {"doc_id": "bigint", "item_id": "bigint"},
     "op10": {"doc_id": "bigint", "start": "bigint", "length": "bigint", "ids_crc32": "bigint", "doc_tokens": "bigint", "sequence_id": "bigint", "offset": "bigint"},
+    "op11": {"doc_id": "bigint", "leaf": "string", "subroot": "string", "root": "string", "proof_sha256": "string", "folded_root": "string", "verified": "boolean"},
+    "op12": {"doc_id": "bigint", "n_chars": "bigint", "edited_sha256": "string", "fingerprint": "string", "edited_fingerprint": "string", "near_edited": "double", "near_next": "double"},
+    "op13": {"anchor_id": "bigint", "positive_id": "bigint", "rank": "int", "negative_id": "bigint", "positive_score": "bigint", "negative_score": "bigint"},
 }
 
 
@@ -35,6 +38,7 @@ def folder(spark, tmp_path_factory):
     d = str(tmp_path_factory.mktemp("tables"))
     docs(spark).repartition(2).write.parquet(f"{d}/documents.parquet")
     spark.createDataFrame([(0, "w1x7 " * 3), (1, None)], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+    spark.createDataFrame([(i, [0.1 * (i % 5), 0.3], i % 3) for i in range(201)], "vec_id long, embedding array<float>, label int").write.parquet(f"{d}/embeddings.parquet")
     return d
 
 
