@@ -160,10 +160,10 @@ def typed_names(df: DataFrame, special: dict[str, str], measured: bool = False)
     return {c: special.get(c, f"{c}:{k}") for c, k in kinds.items()}
 
 
-def for_csv(df: DataFrame, special: dict[str, str]) -> DataFrame:
-    """df with importer headers and arrays joined by semicolons."""
-    names, kinds = typed_names(df, special), dict(df.dtypes)
-    value = lambda c: F.array_join(F.col(c).cast("array<string>"), ";") if kinds[c].startswith("array") else F.col(c)
+def for_csv(df: DataFrame, special: dict[str, str], measured: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """df with importer headers and arrays joined by semicolons, but for the columns in keep."""
+    names, kinds = typed_names(df, special, measured), dict(df.dtypes)
+    value = lambda c: F.array_join(F.col(c).cast("array<string>"), ";") if kinds[c].startswith("array") and c not in keep else F.col(c)
     return df.select(*(value(c).alias(n) for c, n in names.items()))
 
 

@@ -45,6 +45,12 @@ class Config:
     replace_values: dict[str, dict[str, str]] = field(default_factory=dict)
     report_roiset: str = ""
     reports: dict[str, list[str]] = field(default_factory=dict)
+    report_subsets: dict[str, list[str]] = field(default_factory=dict)
+    report_bodies: str = "none"
+    report_stop_at: int = 1_000_000
+    report_points: int = 20_000
+    property_names: dict[str, str] = field(default_factory=dict)
+    node_files: int = 100
     graph_format: str = "csv"
     products: list[str] = field(default_factory=lambda: ["flat"])
 
@@ -55,6 +61,12 @@ class Config:
             raise ValueError(f"no such products: {sorted(unknown)}")
         if self.graph_format not in ("csv", "parquet"):
             raise ValueError(f"no such format: {self.graph_format}")
+        if self.report_bodies not in ("all", "element-presence", "none"):
+            raise ValueError(f"no such choice of bodies: {self.report_bodies}")
+        if unknown := {r for rs in self.report_subsets.values() for r in rs} - set(self.reports):
+            raise ValueError(f"subsets of unknown reports: {sorted(unknown)}")
+        if self.node_files < 1:
+            raise ValueError("node_files is at least 1")
         if "reports" in self.products and not (self.report_roiset and self.reports):
             raise ValueError("reports need report_roiset and reports")
         if "transmitters" in self.products and not (self.transmitters and self.transmitter_names and self.transmitter_truth):
@@ -104,30 +116,39 @@ def prepared(spark, c: Config):
 
 
 def write(spark, c: Config) -> None:
-    from ..sources import readers, sinks
+    from ..operators import annotations
+    from ..sources import readers, shared, sinks
     from . import products
 
     points, partners, ann = prepared(spark, c)
     read = lambda p: spark.read.parquet(p) if p else None
-    bodies = None
+    bodies = by_point = None
+    elements = read(c.elements)
+    elements = readers.with_point_ids(elements) if elements is not None else None
     if "transmitters" in c.products:
         out = products.neurotransmitters(read(c.transmitters), ann, read(c.transmitter_truth), read(c.transmitter_experimental), c.transmitter_names, c.transmitter_override)
         for name, df in out.items():
             sinks.parquet(df, f"{c.output}/transmitters/{name}")
         bodies = spark.read.parquet(f"{c.output}/transmitters/bodies").drop("cell_type")
+        by_point = spark.read.parquet(f"{c.output}/transmitters/points")
+        by_point = by_point.select("point_id", *c.transmitter_names) if "point_id" in by_point.columns else None
     if "flat" in c.products:
         for name, df in products.flat(points, partners, ann, c.roiset or None).items():
             sinks.parquet(df, f"{c.output}/flat/{name}")
+        for name, df in products.annotations_of(ann, c.property_names).items():
+            sinks.parquet(df, f"{c.output}/flat/{name}")
     if "reports" in c.products:
-        for name, df in products.completeness(points, partners, ann, c.report_roiset, c.reports).items():
+        present = annotations.presence(elements.withColumnRenamed("type", "element"), [c.report_roiset]) if elements is not None and c.report_roiset in elements.columns else None
+        for name, df in products.completeness(points, partners, ann, c.report_roiset, c.reports, mode=c.report_bodies, present=present, subsets=c.report_subsets, stop_at=c.report_stop_at, plotted=c.report_points).items():
             sinks.parquet(df, f"{c.output}/reports/{name}")
     if "graph" in c.products:
         limits = {"conf": c.high_accuracy, "high_accuracy": c.high_accuracy, "high_precision": c.high_precision, "neuron": {"synweight": 100, "pre": 100, "post": 100}, "excluded": ["Unimportant", "Glia"]}
         tree = c.hierarchy or {c.tag or "all": {r: None for r in c.roisets}}
-        elements = read(c.elements)
-        more = {"elements": readers.with_point_ids(elements) if elements is not None else None, "kinds": c.element_kinds, "distances": read(c.element_distances), "sizes": read(c.sizes), "transmitters": bodies, "flags": c.region_flags, "annotated": c.annotated_bodies}
+        more = {"point_transmitters": by_point, "elements": elements, "kinds": c.element_kinds, "distances": read(c.element_distances), "sizes": read(c.sizes), "transmitters": bodies, "flags": c.region_flags, "annotated": c.annotated_bodies}
         for name, df in products.property_graph(points, partners, ann, c.roisets, limits, c.dataset, c.tag, tree, c.primary_rois, c.meta, **more).items():
-            if c.graph_format == "csv":
+            if c.graph_format == "csv" and name == "segments":
+                sinks.node_batches(shared.saved(df, "segments"), "rois", "segments", f"{c.output}/graph/{name}", c.node_files, measured=True)
+            elif c.graph_format == "csv":
                 sinks.importer_csv(df, name, f"{c.output}/graph/{name}")
             else:
                 sinks.parquet(df, f"{c.output}/graph/{name}")

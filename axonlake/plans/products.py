@@ -1,7 +1,8 @@
 """The four products of a snapshot: flat connectome, property graph, completeness reports, neurotransmitters.
 
-Each function returns named DataFrames; nothing runs until they are written. Outputs that share labelled points and
-partners read the same frames, which a caller may persist.
+Each function returns named DataFrames that run when they are written, but for ranks, which are taken by ranges of a
+table that is saved when the function is called. Outputs that share labelled points and partners read the same frames,
+which a caller may persist.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame
 
 from ..functions.constants import SIGNIFICANT, TRACED
 from ..operators import annotations, connectome, graph, nt, reports, stats, synapses
+from ..sources import shared
 
 
 def flat(points: DataFrame, partners: DataFrame, ann: DataFrame, roiset: str | None = None) -> dict[str, DataFrame]:
@@ -41,9 +43,11 @@ def property_graph(
     transmitters: DataFrame | None = None,
     flags: list[str] | None = None,
     annotated: bool = False,
+    point_transmitters: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Nodes and edges. Totals come before, edges after connections outside the main roiset are left out. Elements and
-    their distances give element nodes, sets and CloseTo edges."""
+    their distances give element nodes, sets and CloseTo edges; transmitters are columns of bodies, point_transmitters of
+    synapses (by point_id)."""
     points, partners = synapses.drop_body_zero(points, partners)
     by_region = stats.body_region_stats(points, partners, roisets)
     segments = graph.segments(points, partners, ann, roisets, limits["conf"], limits["neuron"], limits["excluded"], flags, elements, kinds, sizes, transmitters, annotated)
@@ -58,7 +62,7 @@ def property_graph(
         "set_to_set": graph.set_to_set(weights),
         "neuron_to_set": graph.neuron_to_set(weights),
         "set_to_synapse": graph.set_to_synapse(partners),
-        "synapses": graph.synapses(points, roisets, flags),
+        "synapses": graph.synapses(points, roisets, flags, point_transmitters),
         "synapse_connections": partners.select("pre_id", "post_id"),
     }
     if elements is None:
@@ -68,15 +72,34 @@ def property_graph(
     return out if distances is None else out | {"close_to": graph.close_to(distances)}
 
 
-def completeness(points: DataFrame, partners: DataFrame, ann: DataFrame, roi: str, spec: dict[str, list[str]], least: int = SIGNIFICANT) -> dict[str, DataFrame]:
-    """Counts, downstream capture and, for each report, the curve and its value at each status."""
-    points = reports.in_reports(points, spec, roi)
-    partners = reports.in_reports(reports.with_capture(partners, ann, least), spec, roi)
-    out = {"syn-counts": reports.syn_counts(points, "report"), "capture": reports.downstream_capture(partners)}
-    for name in spec:
-        curve = reports.completeness(points.where(f"report = '{name}'"), partners.where(f"report = '{name}'"), ann)
-        out |= {f"curve-{name}": curve, f"status-{name}": reports.by_status(curve)}
-    return out
+def completeness(
+    points: DataFrame,
+    partners: DataFrame,
+    ann: DataFrame,
+    roi: str,
+    spec: dict[str, list[str]],
+    least: int = SIGNIFICANT,
+    mode: str = "none",
+    present: DataFrame | None = None,
+    subsets: dict[str, list[str]] | None = None,
+    stop_at: int = 1_000_000,
+    plotted: int = 20_000,
+) -> dict[str, DataFrame]:
+    """Of all reports together, each table keyed by report: synapse counts, downstream capture, the curves (whole and at
+    most `plotted` points of each), their values at each status, and the summaries of all reports and of subsets in
+    their order. The curves are saved once, as three outputs read them."""
+    inside = reports.in_reports(points, spec, roi)
+    captured = reports.in_reports(reports.with_capture(partners, ann, least), spec, roi)
+    counts = reports.syn_counts(inside, "report")
+    curves = shared.saved(reports.forecast(points, partners, ann, spec, roi, mode, present, stop_at), "curves")
+    return {
+        "syn-counts": counts,
+        "capture": reports.downstream_capture(captured, "report"),
+        "curves": curves,
+        "curves-plotted": reports.decimated(curves, plotted),
+        "status": reports.by_status(curves, "report"),
+        "summaries": reports.summaries(curves, counts, {roi: list(spec), **(subsets or {})}),
+    }
 
 
 def neurotransmitters(points: DataFrame, ann: DataFrame, truth: DataFrame, experimental: DataFrame, names: list[str], override: dict[str, str]) -> dict[str, DataFrame]:
@@ -89,4 +112,6 @@ def neurotransmitters(points: DataFrame, ann: DataFrame, truth: DataFrame, exper
 
 
 def annotations_of(ann: DataFrame, explicit: dict[str, str]) -> dict[str, DataFrame]:
-    return {"annotations": annotations.graph_annotations(ann, explicit), "status-counts": annotations.status_counts(ann)}
+    """Annotations under export names; with status, the bodies by status."""
+    out = {"body-annotations": annotations.graph_annotations(ann, explicit)}
+    return out | ({"status-counts": annotations.status_counts(ann)} if {"status", "status_rank"} <= set(ann.columns) else {})

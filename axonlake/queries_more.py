@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .functions import scalars
 from .functions.constants import SIMPLE_STATUS, STATUSES
-from .operators import annotations, connectome, diff, graph, logs, nt, plotdata, reports, rois, rows, stats, synapses
+from .operators import annotations, batches, connectome, diff, graph, logs, nt, plotdata, reports, rois, rows, stats, synapses
 from .queries import ANN, CAP, COMP, CONF, ELM, LONG, MODES, NAMES, NT, POINTS, PRED, ROISETS, SIDES, STATS, SYN, TRUTH, _COUNTS, _matrix, _pred, _sides, of, query, simple
 from .sources.adapter import TRANSMITTERS
 
@@ -214,3 +214,112 @@ def _log(w):
 
 simple("log02_repair", "SELECT '/u' || user_id AS uri, floor(epoch(ts))::DOUBLE AS time, CASE event_id % 3 WHEN 0 THEN 'a' || chr(10) || 'b' WHEN 1 THEN 'c\\d' ELSE 'x' END AS debug FROM events WHERE event_type = 'error'")(lambda w: logs.parsed(_log(w)).select("uri", "time", "debug"))
 simple("log04_last_request", "SELECT user_id::VARCHAR AS \"user\", max(floor(epoch(ts)))::DOUBLE AS time, count(*) AS requests FROM events WHERE event_type = 'error' GROUP BY 1")(lambda w: logs.last_per_user(logs.parsed(_log(w)).select("user", "time"), "user", ("time",)))
+
+# Node files by region combination
+
+GROUPED = """named AS (SELECT body, coalesce(string_agg(roi, ',' ORDER BY roi) FILTER (roi <> '<unspecified>'), '') AS rois FROM regional GROUP BY body),
+ combos AS (SELECT rois, count(*) AS size FROM named GROUP BY 1),
+ share0 AS (SELECT (sum(size)::BIGINT + {n} - 1) // {n} AS s0, sum(size)::BIGINT AS total FROM combos),
+ alone AS (SELECT count(*) AS k, coalesce(sum(size), 0)::BIGINT AS big FROM combos, share0 WHERE size >= s0),
+ share AS (SELECT greatest(1, (total - big + {n} - 1) // greatest(1, {n} - k)) AS s FROM share0, alone),
+ dealt AS (SELECT rois, size, (sum(size) OVER (ORDER BY size DESC, rois DESC ROWS UNBOUNDED PRECEDING)::BIGINT - size) // s AS raw FROM combos, share),
+ batched AS (SELECT rois, size, (dense_rank() OVER (ORDER BY raw) - 1)::INT AS batch FROM dealt)"""
+FILES = 12
+
+
+def _named(w):
+    return stats.region_names(stats.body_region_stats(*w.both, ROISETS))
+
+
+def _batched(w):
+    x = _named(w)
+    return batches.with_batch(x, "rois", batches.of_groups(x, "rois", FILES))
+
+
+simple("w07_batches", "SELECT body, rois, batch FROM named JOIN batched USING (rois)", SYN, POINTS, LONG, GROUPED.format(n=FILES))(lambda w: _batched(w).select("body", "rois", "batch"))
+simple("w07_batch_sizes", "SELECT rois, size, batch FROM batched", SYN, POINTS, LONG, GROUPED.format(n=FILES))(lambda w: batches.of_groups(_named(w), "rois", FILES))
+simple("w07_few_files", "SELECT rois, size, batch FROM batched", SYN, POINTS, LONG, GROUPED.format(n=2))(lambda w: batches.of_groups(_named(w), "rois", 2))
+simple(
+    "snk02_batch_regions",
+    "SELECT batch, sum(size)::BIGINT AS rows, count(*) AS combinations, coalesce((SELECT string_agg(DISTINCT r, ';' ORDER BY r) FROM (SELECT batch AS b, unnest(string_split(rois, ',')) AS r FROM batched) WHERE b = batch AND r <> ''), '') AS regions FROM batched GROUP BY batch",
+    SYN, POINTS, LONG, GROUPED.format(n=FILES),
+)(lambda w: batches.regions(batches.of_groups(_named(w), "rois", FILES), "rois").withColumn("regions", F.array_join("regions", ";")))
+simple(
+    "snk02_batch_flags",
+    "SELECT body, batch, array_to_string(list_transform(list_sort(list_distinct(flatten((SELECT list(string_split(rois, ',')) FROM batched b WHERE b.batch = x.batch)))), lambda r: CASE WHEN list_contains(string_split(x.rois, ','), r) THEN r || '=true' ELSE r || '=' END), ';') AS flags FROM named x0 JOIN batched x USING (rois) WHERE x.batch > 0",
+    SYN, POINTS, LONG, GROUPED.format(n=FILES),
+)(lambda w: _flags(w))
+
+
+def _flags(w):
+    x = _named(w)
+    plan = batches.of_groups(x, "rois", FILES)
+    y = batches.with_batch(x, "rois", plan).join(batches.regions(plan, "rois"), "batch").where("batch > 0")
+    return y.select("body", "batch", F.array_join(F.zip_with("regions", batches.flags(F.col("rois"), F.col("regions")), lambda r, f: F.concat(r, F.lit("="), f)), ";").alias("flags"))
+
+
+# All reports in one plan: pre points lie in regions by their number
+
+RPOINTS = """rpoints AS (SELECT point_id, body, kind, CASE WHEN kind = 'PreSyn' THEN list_extract(['AFRICA', 'AMERICA', 'ASIA', 'EUROPE'], (point_id // 64 % 4 + 1)::INT) ELSE shell_roi END AS roi FROM points),
+ rsyn AS (SELECT *, shell_roi AS roi FROM syn)"""
+SPEC = {"east": ["ASIA", "EUROPE"], "all": [], "south": ["AFRICA", "AMERICA", "ASIA"], "nowhere": ["ATLANTIS"]}
+SUBSETS = {"whole": ["all", "east", "south", "nowhere"], "halves": ["south", "east"]}
+PRESENT = "present AS (SELECT DISTINCT body, CASE roi WHEN 'R7' THEN 'ASIA' WHEN 'R8' THEN 'AFRICA' ELSE '<unspecified>' END AS roi FROM elm)"
+
+
+def _in(table: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{n}' AS report, * FROM {table} WHERE " + (f"roi IN ({', '.join(map(repr, rs))})" if rs else "roi <> '<unspecified>'") for n, rs in SPEC.items())
+
+
+def _forecast_sql(more: str = "") -> str:
+    return f"""rp AS ({_in("rpoints")}), rs AS ({_in("rsyn")}),
+ rb AS (SELECT report, body, sum(pre)::BIGINT AS pre, sum(post)::BIGINT AS post, (sum(post) + sum(down))::BIGINT AS synweight, sum(down)::BIGINT AS down FROM (SELECT report, body, (kind = 'PreSyn')::INT AS pre, (kind = 'PostSyn')::INT AS post, 0 AS down FROM rp UNION ALL SELECT report, body_pre, 0, 0, 1 FROM rs {more}) GROUP BY 1, 2),
+ rr AS (SELECT rb.*, status_rank, row_number() OVER (PARTITION BY report ORDER BY status_rank DESC NULLS LAST, synweight DESC, pre DESC, post DESC, rb.body) AS rnk FROM rb LEFT JOIN ann USING (body)),
+ rc AS (SELECT rs.report, greatest(a.rnk, b.rnk) AS rnk, count(*) AS conn FROM rs JOIN rr a ON a.report = rs.report AND a.body = body_pre JOIN rr b ON b.report = rs.report AND b.body = body_post GROUP BY 1, 2),
+ rt AS (SELECT report, sum(pre) AS t_pre, sum(post) AS t_post, sum(down) AS t_conn FROM rb GROUP BY 1),
+ rcurve AS (SELECT report, rnk, body, status_rank, pre, post, synweight, coalesce(conn, 0) AS conn, sum(pre) OVER w / nullif(t_pre, 0) AS traced_presyn_frac, sum(post) OVER w / nullif(t_post, 0) AS traced_postsyn_frac, sum(synweight) OVER w / nullif(t_post + t_conn, 0) AS traced_synweight_frac, sum(coalesce(conn, 0)) OVER w / nullif(t_conn, 0) AS traced_conn_frac
+  FROM rr LEFT JOIN rc USING (report, rnk) JOIN rt USING (report) WINDOW w AS (PARTITION BY report ORDER BY rnk ROWS UNBOUNDED PRECEDING))"""
+
+
+RWORLD = (SYN, POINTS, ANN, RPOINTS)
+RCOUNTS = "rcounts AS (SELECT report, count(*) FILTER (kind = 'PreSyn') AS \"PreSyn\", count(*) FILTER (kind = 'PostSyn') AS \"PostSyn\" FROM rp GROUP BY 1)"
+
+
+def _region_world(w):
+    p, s = w.both
+    place = F.element_at(F.array(*map(F.lit, ("AFRICA", "AMERICA", "ASIA", "EUROPE"))), (F.floor(F.col("point_id") / 64) % 4 + 1).cast("int"))
+    return p.select("point_id", "body", "kind", F.when(F.col("kind") == "PreSyn", place).otherwise(F.col("shell_roi")).alias("roi")), s.withColumn("roi", F.col("shell_roi"))
+
+
+def _present(w):
+    return w.elements.select("body", F.when(F.col("roi") == "R7", F.lit("ASIA")).when(F.col("roi") == "R8", F.lit("AFRICA")).otherwise(F.lit("<unspecified>")).alias("roi"))
+
+
+def _forecast(w, mode="none", stop=1_000_000):
+    return reports.forecast(*_region_world(w), w.ann, SPEC, "roi", mode, _present(w), stop)
+
+
+_CURVE = f"SELECT report, rnk, body, status_rank, pre, post, synweight, conn, {_ROUNDED} FROM rcurve"
+_curve_of = lambda x: x.select("report", F.col("rnk").cast("long").alias("rnk"), "body", "status_rank", "pre", "post", "synweight", "conn", *map(ROUND, FRACS))
+simple("x01_reports", _CURVE, *RWORLD, _forecast_sql())(lambda w: _curve_of(_forecast(w)))
+simple("x01_reports_presence", _CURVE, *RWORLD, ELM, PRESENT, _forecast_sql("UNION ALL SELECT report, body, 0, 0, 0 FROM (" + _in("present") + ") WHERE body IN (SELECT body FROM ann)"))(lambda w: _curve_of(_forecast(w, "element-presence")))
+simple("x01_reports_all", _CURVE, *RWORLD, _forecast_sql("UNION ALL SELECT report, body, 0, 0, 0 FROM ann, (VALUES " + ", ".join(f"('{n}')" for n in SPEC) + ") v(report)"))(lambda w: _curve_of(_forecast(w, "all")))
+simple("w08_reports_stop", "SELECT report, rnk, body FROM rr WHERE rnk <= 30", *RWORLD, _forecast_sql())(lambda w: _forecast(w, stop=30).select("report", F.col("rnk").cast("long").alias("rnk"), "body"))
+simple("w03_reports_by_status", f"SELECT report, status_rank, {_ROUNDED} FROM rcurve c WHERE rnk = (SELECT max(rnk) FROM rcurve d WHERE d.report = c.report AND d.status_rank IS NOT DISTINCT FROM c.status_rank)", *RWORLD, _forecast_sql())(lambda w: reports.by_status(_forecast(w), "report").select("report", "status_rank", *map(ROUND, FRACS)))
+_FAMILY = " UNION ALL ".join(f"SELECT report, '{f}' AS family, status_rank, coalesce({f}, 0) AS value FROM last" for f in FRACS)
+_SUBSETS = ", ".join(f"('{n}', {k}, '{r}')" for n, rs in SUBSETS.items() for k, r in enumerate(rs))
+simple(
+    "r02_summaries",
+    "SELECT subset, report_index, report, family, cumulative, status_rank, round(value, 6) AS value, \"PreSyn\", \"PostSyn\" FROM (SELECT *, TRUE AS cumulative FROM whole UNION ALL SELECT report, family, status_rank, value - lag(value, 1, 0) OVER (PARTITION BY report, family ORDER BY status_rank DESC), FALSE FROM whole) JOIN listed USING (report) LEFT JOIN rcounts USING (report)",
+    *RWORLD, _forecast_sql(), RCOUNTS,
+    "last AS (SELECT * FROM rcurve c WHERE status_rank > 9 AND rnk = (SELECT max(rnk) FROM rcurve d WHERE d.report = c.report AND d.status_rank = c.status_rank))",
+    f"long AS ({_FAMILY})",
+    "whole AS (SELECT k.report, k.family, s.status_rank, coalesce(last_value(value IGNORE NULLS) OVER (PARTITION BY k.report, k.family ORDER BY s.status_rank DESC ROWS UNBOUNDED PRECEDING), 0) AS value FROM (SELECT DISTINCT report, family FROM long) k, (SELECT DISTINCT status_rank FROM long) s LEFT JOIN long l ON l.report = k.report AND l.family = k.family AND l.status_rank = s.status_rank)",
+    f"listed AS (SELECT * FROM (VALUES {_SUBSETS}) t(subset, report_index, report))",
+)(lambda w: reports.summaries(_forecast(w), reports.syn_counts(reports.in_reports(_region_world(w)[0], SPEC), "report"), SUBSETS).withColumn("value", F.round("value", 6)))
+simple("a20_capture_by_report", "SELECT report, body_pre, count(*) FILTER (captured_post) AS captured, count(*) FILTER (NOT captured_post) AS not_captured, count(*) AS downstream, count(DISTINCT pre_id) AS presyn, round(count(*) FILTER (captured_post) / count(*), 6) AS capture_frac FROM (" + _in("(SELECT *, shell_roi AS roi FROM cap)") + ") WHERE captured_pre GROUP BY ALL", SYN, ANN, CAP)(
+    lambda w: reports.downstream_capture(reports.in_reports(reports.with_capture(w.syn, w.ann, 15), SPEC, "shell_roi"), "report").withColumn("capture_frac", F.round("capture_frac", 6))
+)
+simple("x06_decimated", "SELECT DISTINCT report, rnk, body, round(traced_conn_frac, 6) AS traced_conn_frac FROM rcurve c JOIN (SELECT report AS r, max(rnk) AS n FROM rcurve GROUP BY 1) ON r = report WHERE rnk = 1 OR rnk = n OR floor((rnk - 1) * 40 / greatest(n, 40)) <> floor(rnk * 40 / greatest(n, 40)) OR rnk IN (SELECT max(rnk) FROM rcurve d WHERE d.report = c.report GROUP BY status_rank)", *RWORLD, _forecast_sql())(
+    lambda w: reports.decimated(_forecast(w), 40).select("report", F.col("rnk").cast("long").alias("rnk"), "body", ROUND("traced_conn_frac"))
+)

@@ -8,7 +8,9 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import batches
 from ..operators.graph import for_csv
+from . import shared
 
 
 def parquet(df: DataFrame, path: str, by: tuple[str, ...] = ()) -> None:
@@ -33,14 +35,40 @@ EDGE_HEADERS = {
 }
 
 
-def importer_csv(df: DataFrame, kind: str, path: str) -> None:
-    """Node or edge files with the importer's headers."""
-    csv(for_csv(df, {**NODE_HEADERS, **EDGE_HEADERS}[kind]), path)
-
-
-def by_combination(df: DataFrame, hash_column: str, path: str) -> None:
-    """One folder for each combination of regions, so that flag columns are alike within it."""
-    df.repartition(hash_column).write.mode("overwrite").partitionBy(hash_column).parquet(path)
+def importer_csv(df: DataFrame, kind: str, path: str, measured: bool = False) -> None:
+    """Node or edge files with the importer's headers; measured as in typed_names()."""
+    csv(for_csv(df, {**NODE_HEADERS, **EDGE_HEADERS}[kind], measured), path)
+
+
+#: Rows of a file of nodes; a batch with more rows has more files.
+ROWS_A_FILE = 1_000_000
+
+
+def node_batches(df: DataFrame, rois: str, kind: str, path: str, files: int, rows_a_file: int = ROWS_A_FILE, measured: bool = False) -> DataFrame:
+    """Node files by region combination: rows of one combination stand together, and a batch has a flag column only for
+    regions that its combinations have. Returns the batches as batches.regions() lists them.
+
+    rois is a column of comma-joined region names; it isn't written. There are at most `files` batches and those that
+    are too big to share one. Lines go to {path}/rows/batch=N and the header to {path}/headers/batch=N, as the importer
+    takes a header file and any number of files of rows. A batch's rows are dealt out by their hash to as many tasks as
+    it fills files, so a combination of a third of all rows is written by many tasks.
+    """
+    plan = shared.saved(batches.of_groups(df, rois, files), "batches")
+    told = shared.saved(batches.regions(plan, rois), "batch_regions")
+    x = batches.with_batch(df, rois, plan)
+    x = x.join(told.select("batch", F.col("rows").alias("_rows"), F.col("regions").alias("_regions")), "batch")
+    own = [c for c in df.columns if c != rois]
+    typed = for_csv(x.select(*own, "batch", "_rows", "_regions", F.col(rois).alias("_rois")), {**{**NODE_HEADERS, **EDGE_HEADERS}[kind], "batch": "batch", "_rows": "_rows", "_regions": "_regions", "_rois": "_rois"}, measured, ("_regions",))
+    names = [c for c in typed.columns if c not in ("batch", "_rows", "_regions", "_rois")]
+    line = F.to_csv(F.struct(*(F.col(f"`{c}`") for c in names)), {"escape": '"', "emptyValue": "", "nullValue": ""})
+    flags = F.when(F.size("_regions") > 0, F.concat(F.lit(","), F.array_join(batches.flags(F.col("_rois"), F.col("_regions")), ","))).otherwise(F.lit(""))
+    part = F.pmod(F.xxhash64(line), F.ceil(F.col("_rows") / rows_a_file))
+    lines = typed.select(F.concat(line, flags).alias("value"), "batch", part.alias("_part")).repartition("batch", "_part").drop("_part")
+    lines.write.mode("overwrite").option("maxRecordsPerFile", rows_a_file).partitionBy("batch").text(f"{path}/rows")
+    first = ",".join(f'"{n}"' if "," in n or '"' in n else n for n in names)
+    head = F.concat(F.lit(first), F.array_join(F.transform("regions", lambda r: F.concat(F.lit(","), r, F.lit(":boolean"))), ""))
+    told.select(head.alias("value"), "batch").repartition("batch").write.mode("overwrite").partitionBy("batch").text(f"{path}/headers")
+    return told
 
 
 def arrow(df: DataFrame, path: str) -> None:

@@ -144,7 +144,7 @@ def test_products(spark):
     assert g["set_to_synapse"].join(ids, "id", "left_anti").count() == 0
     assert g["meta"].count() == 1 and json.loads(g["meta"].first().roiHierarchy)["name"] == "ALL"
     c = products.completeness(points, syn, ann, "shell_roi", {"all": [], "asia": ["ASIA"]})
-    assert {r.report for r in c["syn-counts"].collect()} == {"all", "asia"} and c["status-asia"].count() > 0
+    assert {r.report for r in c["syn-counts"].collect()} == {"all", "asia"} and c["status"].where("report = 'asia'").count() > 0
 
 
 def test_curve_ends_at_one(spark):
@@ -205,14 +205,14 @@ def test_all_products_by_command(spark, tmp_path):
     e = readers.with_point_ids(adapter.elements(spark, FOLDER))
     e.write.parquet(f"{tmp_path}/elm")
     e.groupBy("body").agg(F.min("point_id").alias("source_id"), F.max("point_id").alias("target_id")).write.parquet(f"{tmp_path}/far")
-    adapter.nt_points(spark, FOLDER).write.parquet(f"{tmp_path}/nt")
+    adapter.nt_points(spark, FOLDER).withColumn("point_id", F.col("vec_id") * 64).write.parquet(f"{tmp_path}/nt")
     truth = spark.createDataFrame([(f"T{i}", adapter.TRANSMITTERS[i % 4]) for i in range(12)], "cell_type string, ground_truth string")
     truth.write.parquet(f"{tmp_path}/truth")
     truth.limit(2).select("cell_type", F.col("ground_truth").alias("consensus_nt"), F.lit("a").alias("nt_reference"), F.lit("").alias("other_nt"), F.lit("").alias("other_nt_reference")).write.parquet(f"{tmp_path}/exp")
     c = {
         "points": f"{tmp_path}/points", "partners": f"{tmp_path}/partners", "annotations": f"{tmp_path}/ann", "elements": f"{tmp_path}/elm", "element_distances": f"{tmp_path}/far", "element_kinds": ["O", "F"], "output": f"{tmp_path}/out",
         "transmitters": f"{tmp_path}/nt", "transmitter_names": adapter.TRANSMITTERS, "transmitter_truth": f"{tmp_path}/truth", "transmitter_experimental": f"{tmp_path}/exp",
-        "roisets": ["primary_roi", "shell_roi"], "region_flags": ["ASIA"], "report_roiset": "shell_roi", "reports": {"all": [], "asia": ["ASIA"]}, "products": ["flat", "graph", "reports", "transmitters"], "tag": "v1", "high_accuracy": 5, "high_precision": 8, "graph_format": "parquet",
+        "roisets": ["primary_roi", "shell_roi"], "region_flags": ["ASIA"], "report_roiset": "shell_roi", "reports": {"all": [], "asia": ["ASIA"]}, "report_subsets": {"one": ["asia"]}, "report_points": 50, "report_bodies": "all", "products": ["flat", "graph", "reports", "transmitters"], "tag": "v1", "high_accuracy": 5, "high_precision": 8, "graph_format": "parquet",
     }
     (tmp_path / "c.json").write_text(json.dumps(c))
     assert config.main([str(tmp_path / "c.json"), "-c"]) == 0 and not (tmp_path / "out").exists()
@@ -221,7 +221,13 @@ def test_all_products_by_command(spark, tmp_path):
     assert {"roiInfo", "total", "O", "F", "ASIA", "label", "predicted_nt"} <= set(segments.columns) and segments.groupBy("body").count().where("count > 1").count() == 0
     assert spark.read.parquet(f"{tmp_path}/out/graph/close_to").where("distance >= 0").count() == e.select("body").distinct().count()
     assert "roiInfo" in spark.read.parquet(f"{tmp_path}/out/graph/connections").columns
-    assert spark.read.parquet(f"{tmp_path}/out/reports/status-asia").count() > 0 and spark.read.parquet(f"{tmp_path}/out/transmitters/confusion").count() == 49
+    status = spark.read.parquet(f"{tmp_path}/out/reports/status")
+    assert {r.report for r in status.select("report").distinct().collect()} == {"all", "asia"} and spark.read.parquet(f"{tmp_path}/out/reports/summaries").select("subset").distinct().count() == 2
+    assert spark.read.parquet(f"{tmp_path}/out/reports/curves-plotted").groupBy("report").count().agg(F.max("count")).first()[0] <= 50 + 30 + 1
+    assert spark.read.parquet(f"{tmp_path}/out/flat/status-counts").collect() and "bodyType" not in spark.read.parquet(f"{tmp_path}/out/flat/body-annotations").columns
+    nodes = spark.read.parquet(f"{tmp_path}/out/graph/synapses")
+    assert set(adapter.TRANSMITTERS) <= set(nodes.columns) and nodes.where("gaba IS NOT NULL").count() > 0
+    assert spark.read.parquet(f"{tmp_path}/out/transmitters/confusion").count() == 49
 
 
 def test_ranks_cross_partitions(spark):
