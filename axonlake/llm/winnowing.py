@@ -144,7 +144,8 @@ def against_edits(docs: DataFrame) -> DataFrame:
     edited_sha256, fingerprint and edited_fingerprint (entries), near_edited, near_next.
 
     Texts are dealt out once, by doc_id and md5; to each goes the head of its next one. Fingerprints are saved without
-    the texts; their hashes meet the document before.
+    the texts, places and hashes apart, as arrays of numbers take a third of the room of arrays of structs; then only the
+    hashes go to the document before.
     """
     k, h = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), F.md5(F.coalesce("text", F.lit("")))
     docs = docs.select(k.alias("k"), F.when(F.col("doc_id").isNull(), F.concat(F.lit("-"), h)).otherwise(h).alias("h"), F.coalesce("text", F.lit("")).alias("text"))
@@ -157,9 +158,13 @@ def against_edits(docs: DataFrame) -> DataFrame:
     heads = texts.join(keys.select("k", "h", "k_", "h_", "third"), ["k", "h"]).select(F.col("k_").alias("k"), F.col("h_").alias("h"), F.substring("text", F.lit(1), F.col("third").cast("int")).alias("head"))
     x = texts.join(keys.select("k", "h", "i", "n", "c"), ["k", "h"]).join(heads, ["k", "h"])
     keep = (F.col("n") - F.floor(F.col("n") / 3)).cast("int")
-    prints = saved(x.select("k", "h", "i", "n", "c", F.sha2(F.concat(F.substring("text", F.lit(1), keep), "head"), 256).alias("edited_sha256"), fingerprint(F.col("text")).alias("fingerprint"), respliced(F.col("text"), keep, F.col("head")).alias("splice")), "fingerprints")
-    after = prints.select(F.pmod(F.col("i") - 1, F.lit(total)).alias("i"), F.col("fingerprint").alias("next"))
-    x = prints.join(after, "i").withColumn("edited_fingerprint", spliced(F.col("fingerprint"), F.col("splice")))
+    prints = x.select("k", "h", "i", "n", "c", F.sha2(F.concat(F.substring("text", F.lit(1), keep), "head"), 256).alias("edited_sha256"), fingerprint(F.col("text")).alias("fingerprint"), respliced(F.col("text"), keep, F.col("head")).alias("splice"))
+    apart = lambda c, name: [F.col(f"{c}.place").alias(f"{name}_places"), F.col(f"{c}.hash").alias(f"{name}_hashes")]
+    prints = saved(prints.select("k", "h", "i", "n", "c", "edited_sha256", *apart("fingerprint", "own"), F.col("splice.whole").alias("whole"), *apart("splice.part", "part")), "fingerprints")
+    after = prints.select(F.pmod(F.col("i") - 1, F.lit(total)).alias("i"), F.col("own_hashes").alias("next"))
+    together = lambda name: F.zip_with(f"{name}_places", f"{name}_hashes", lambda p, h: F.struct(p.alias("place"), h.alias("hash")))
+    x = prints.join(after, "i").withColumn("fingerprint", together("own")).withColumn("splice", F.struct("whole", together("part").alias("part")))
+    x = x.withColumn("edited_fingerprint", spliced(F.col("fingerprint"), F.col("splice"))).withColumn("next", F.transform("next", lambda h: F.struct(h.alias("hash"))))
     doc_id = F.when(~F.col("h").startswith("-"), F.col("k")).alias("doc_id")
     out = x.select(doc_id, F.col("n").alias("n_chars"), "edited_sha256", "fingerprint", "edited_fingerprint", likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"), likeness(F.col("fingerprint"), F.col("next")).alias("near_next"), "c")
     return out.withColumn("c", F.explode(F.sequence(F.lit(1).cast("long"), "c"))).drop("c")
