@@ -79,6 +79,18 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def saved_alone(df: DataFrame, name: str) -> DataFrame:
+    """saved(), with the shuffle files that the write has made deleted once the table stands: nothing reads them again,
+    and they are as large as what was shuffled."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, "false")
+    conf.set(key, "true")
+    try:
+        return saved(df, name)
+    finally:
+        conf.set(key, before)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, saved
+from .common import saved_alone
 
 K, W = 5, 16
 #: Words: runs of at most 64 characters of scripts that space their words, else single characters; A-Z count as a-z.
@@ -124,7 +124,7 @@ def _ordered(docs: DataFrame) -> tuple[DataFrame, int]:
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [F.desc("k"), F.asc("h")]
     x = docs.groupBy("k", "h", F.length("text").cast("long").alias("n")).agg(F.count("*").alias("c"))
-    x = saved(x.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id()), "order")
+    x = saved_alone(x.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id()), "order")
     part = F.shiftrightunsigned("at", 33)
     sizes = x.groupBy(part.alias("part")).agg(F.count("*").alias("m")).collect()  # one number a range
     starts, total = [], 0
@@ -153,14 +153,14 @@ def against_edits(docs: DataFrame) -> DataFrame:
     if not total:
         total = 1
     before = order.select(F.pmod(F.col("i") + 1, F.lit(total)).alias("i"), F.col("k").alias("k_"), F.col("h").alias("h_"), F.floor(F.col("n") / 3).alias("third"))
-    keys = saved(order.join(before, "i"), "keys")
+    keys = saved_alone(order.join(before, "i"), "keys")
     texts = docs.groupBy("k", "h").agg(F.max("text").alias("text"))
     heads = texts.join(keys.select("k", "h", "k_", "h_", "third"), ["k", "h"]).select(F.col("k_").alias("k"), F.col("h_").alias("h"), F.substring("text", F.lit(1), F.col("third").cast("int")).alias("head"))
     x = texts.join(keys.select("k", "h", "i", "n", "c"), ["k", "h"]).join(heads, ["k", "h"])
     keep = (F.col("n") - F.floor(F.col("n") / 3)).cast("int")
     prints = x.select("k", "h", "i", "n", "c", F.sha2(F.concat(F.substring("text", F.lit(1), keep), "head"), 256).alias("edited_sha256"), fingerprint(F.col("text")).alias("fingerprint"), respliced(F.col("text"), keep, F.col("head")).alias("splice"))
     apart = lambda c, name: [F.col(f"{c}.place").alias(f"{name}_places"), F.col(f"{c}.hash").alias(f"{name}_hashes")]
-    prints = saved(prints.select("k", "h", "i", "n", "c", "edited_sha256", *apart("fingerprint", "own"), F.col("splice.whole").alias("whole"), *apart("splice.part", "part")), "fingerprints")
+    prints = saved_alone(prints.select("k", "h", "i", "n", "c", "edited_sha256", *apart("fingerprint", "own"), F.col("splice.whole").alias("whole"), *apart("splice.part", "part")), "fingerprints")
     after = prints.select(F.pmod(F.col("i") - 1, F.lit(total)).alias("i"), F.col("own_hashes").alias("next"))
     together = lambda name: F.zip_with(f"{name}_places", f"{name}_hashes", lambda p, h: F.struct(p.alias("place"), h.alias("hash")))
     x = prints.join(after, "i").withColumn("fingerprint", together("own")).withColumn("splice", F.struct("whole", together("part").alias("part")))
