@@ -146,3 +146,12 @@ def snake_case(name: str) -> str:
 def lower_boolean(c: Column) -> Column:
     """true or false as the importer spells them; null stays null."""
     return F.when(c, F.lit("true")).when(~c, F.lit("false"))
+
+
+def range_of(key: Column, lows: list[int]) -> Column:
+    """Which of the ranges that begin at lows (ascending) holds the key, from 0: a binary search by halving steps. Keys
+    below the first are in it; null for null."""
+    steps = [1 << k for k in range(max(1, len(lows)).bit_length() - 1, -1, -1)]
+    table = F.lit(list(lows))
+    place = F.aggregate(F.lit(steps), F.lit(0), lambda at, step: F.when(F.get(table, at + step) <= key, at + step).otherwise(at))
+    return F.when(key.isNotNull(), place)

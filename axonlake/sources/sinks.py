@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import os
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -72,23 +71,34 @@ def node_batches(df: DataFrame, rois: str, kind: str, path: str, files: int, row
 
 
 def arrow(df: DataFrame, path: str) -> None:
-    """A table as Arrow files, one for each partition, written where the rows are. Local paths must be shared ones."""
+    """A table as Arrow files, one for each partition, written where the rows are, to a folder that all executors share
+    (a path as readers.ArrowFiles takes it). Beside each file stand the least and greatest values of its batches' integer
+    columns, by which a reader skips batches."""
     import pyarrow as pa
+    import pyarrow.compute as pc
+    from pyarrow import fs as pafs
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    schema, folder = to_arrow_schema(df.schema), path.removeprefix("file://")
-    os.makedirs(folder, exist_ok=True)
+    schema = to_arrow_schema(df.schema)
 
     def write(batches):
         from pyspark import TaskContext
 
-        part, n = TaskContext.get().partitionId(), 0
-        name = os.path.join(folder, f"part-{part:05d}.arrow")
-        with pa.OSFile(f"{name}.{TaskContext.get().taskAttemptId()}", "wb") as f, pa.ipc.new_file(f, schema) as w:
+        fs, folder = pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pafs.LocalFileSystem(), path)
+        fs.create_dir(folder, recursive=True)
+        part, n, stats = TaskContext.get().partitionId(), 0, []
+        name = f"{folder}/part-{part:05d}"
+        own = f"{name}.{TaskContext.get().taskAttemptId()}"
+        with fs.open_output_stream(own) as f, pa.ipc.new_file(f, schema) as w:
             for b in batches:
                 w.write_batch(pa.RecordBatch.from_arrays(b.columns, schema=schema) if b.schema != schema else b)
+                whole = [c for c in schema if pa.types.is_integer(c.type)]
+                stats.append({c.name: [x.as_py() for x in pc.min_max(b.column(schema.get_field_index(c.name))).values()] for c in whole})
                 n += b.num_rows
-        os.replace(f"{name}.{TaskContext.get().taskAttemptId()}", name)  # a repeated task replaces its file whole
+        with fs.open_output_stream(f"{own}.json") as f:
+            f.write(json.dumps(stats).encode())
+        fs.move(f"{own}.json", f"{name}.stats.json")
+        fs.move(own, f"{name}.arrow")  # a repeated task replaces its file whole
         yield pa.RecordBatch.from_arrays([pa.array([part]), pa.array([n])], ["part", "n"])
 
     df.mapInArrow(write, "part long, n long").agg(F.sum("n")).collect()

@@ -2,7 +2,7 @@
 
 import pytest
 
-from axonlake import queries_more  # noqa: F401
+from axonlake import queries_more, queries_tables  # noqa: F401
 from axonlake.queries import QUERIES, SQL
 
 from .oracle import connect, difference
