@@ -52,7 +52,7 @@ def segments(
     has, with zero counts."""
     sure = partners.where(F.col("conf_post") >= min_conf)
     by_region = stats.body_region_stats(points, sure, roisets)
-    regions = stats.region_info(by_region).drop("roiset_hash").join(stats.region_names(by_region), "body")
+    regions = stats.regions(by_region)
     x = stats.body_stats(points, sure)
     if annotated:
         x = x.join(ann.select("body").distinct(), "body", "full").na.fill(0, list(stats.COUNTS))

@@ -110,3 +110,19 @@ def kept_if_same_type(bodies: DataFrame, ann: DataFrame) -> DataFrame:
     """Predictions of bodies whose type changed since are erased."""
     x = bodies.join(ann.select("body", "type"), "body", "left")
     return x.withColumn("predicted_nt", F.when(F.col("cell_type") != F.col("type"), None).otherwise(F.col("predicted_nt"))).drop("type")
+
+
+def prediction_counts(points: DataFrame, group: str) -> DataFrame:
+    """(group, n): points with a prediction; a null group is one."""
+    return points.groupBy(group).agg(F.count("pred1").alias("n"))
+
+
+def of_points(points: DataFrame, predictions: DataFrame) -> DataFrame:
+    """Pre points with the columns of their predictions (by point_id), null where there is none."""
+    return points.where("kind = 'PreSyn'").join(predictions, "point_id", "left")
+
+
+def multi_split(points: DataFrame) -> DataFrame:
+    """(body, splits): bodies whose points are in more than one part of the split for training; unsplit points don't
+    count."""
+    return points.groupBy("body").agg(F.countDistinct("split").alias("splits")).where("splits > 1")

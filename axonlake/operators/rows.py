@@ -50,3 +50,19 @@ def first_of(df: DataFrame, keys: list[str], tie: str, n: int) -> DataFrame:
 def once_each(df: DataFrame, *columns: str) -> DataFrame:
     """Distinct combinations of columns."""
     return df.select(*columns).dropDuplicates()
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """left joined with right on a key for which null equals null; one column of it stays."""
+    r = right.withColumnRenamed(key, "_key")
+    return left.join(r, F.col(key).eqNullSafe(F.col("_key")), how).drop("_key")
+
+
+def distinct_counts(df: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:
+    """By key, how many different values each column has: name -> column."""
+    return df.groupBy(key).agg(*(F.countDistinct(c).alias(n) for n, c in columns.items()))
+
+
+def latest(df: DataFrame, *columns: str) -> DataFrame:
+    """One row: the latest value of any of the columns."""
+    return df.agg(F.max(F.greatest(*columns) if len(columns) > 1 else F.col(columns[0])).alias("latest"))

@@ -84,6 +84,26 @@ def ranked(stats: DataFrame, ann: DataFrame) -> DataFrame:
     return windows.ranked(stats, ["synweight", "pre", "post"], "body").join(ann, "body", "left")
 
 
+def regions(by_region: DataFrame) -> DataFrame:
+    """(body, roiInfo, rois): region_info() and region_names() from one aggregation."""
+    counts = F.struct(*(F.when(F.col(c) != 0, F.col(c)).alias(c) for c in COUNTS))
+    entry = F.when(F.col("roi") != UNSPECIFIED, F.struct("roi", counts.alias("counts")))
+    found = by_region.groupBy("body").agg(F.sort_array(F.collect_list(entry)).alias("e"))
+    return found.select("body", F.to_json(F.map_from_entries("e")).alias("roiInfo"), F.array_join(F.transform("e", lambda x: x["roi"]), ",").alias("rois"))
+
+
+def counts_of(tables: dict[str, tuple[DataFrame, str]], key: str) -> DataFrame:
+    """(key, a count for each name): rows of each table by a column of it, 0 where a key is in other tables only. Tables
+    are one stream of keys and tags, so there is one shuffle instead of an aggregation and an outer join for each."""
+    rows = [df.select(F.col(c).alias(key), F.lit(k).alias("tag")) for k, (df, c) in enumerate(tables.values())]
+    return union_all(*rows).groupBy(key).agg(*(F.count_if(F.col("tag") == k).alias(n) for k, n in enumerate(tables)))
+
+
+def with_properties(counts: DataFrame, *tables: DataFrame, key: str = "body") -> DataFrame:
+    """counts with the columns of tables that have a row or none for a key."""
+    return reduce(lambda a, b: a.join(b, key, "left"), tables, counts)
+
+
 def flags(by_region: DataFrame, rois: list[str]) -> DataFrame:
     """One boolean column for each region that a body is in (null elsewhere)."""
     return by_region.groupBy("body").pivot("roi", rois).agg(F.first(F.lit(True)))

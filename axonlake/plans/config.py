@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
 from dataclasses import dataclass, field, fields
 
 PRODUCTS = ("flat", "graph", "reports", "transmitters")
@@ -37,6 +38,7 @@ class Config:
     roiset: str = ""
     roisets: list[str] = field(default_factory=list)
     roi_labels: dict[str, dict[str, int]] = field(default_factory=dict)
+    roi_templates: dict[str, str] = field(default_factory=dict)
     parent_rois: dict[str, list] = field(default_factory=dict)
     region_flags: list[str] = field(default_factory=list)
     hierarchy: dict = field(default_factory=dict)
@@ -73,17 +75,24 @@ class Config:
             raise ValueError("transmitters need transmitters, transmitter_names and transmitter_truth")
 
     @classmethod
-    def load(cls, path: str) -> Config:
-        """From JSON, or from YAML where that library is present."""
+    def load(cls, path: str, overrides: list[str] | None = None) -> Config:
+        """From JSON, or from YAML where that library is present: sections as in settings.SCHEMA, or all fields flat.
+        overrides are section.name=value texts, for sections only."""
+        from . import settings
+
         with open(path) as f:
             if path.endswith((".yaml", ".yml")):
                 try:
                     import yaml
                 except ImportError as x:
                     raise ValueError("YAML settings need the yaml library; give JSON") from x
-                given = yaml.safe_load(f)
+                given = yaml.safe_load(f) or {}
             else:
                 given = json.load(f)
+        if not isinstance(given, dict):
+            raise ValueError("settings must be a section")
+        if overrides or set(given) <= set(settings.SCHEMA):
+            return settings.config(settings.override(given, overrides or []), os.path.dirname(os.path.abspath(path)))
         if unknown := set(given) - {x.name for x in fields(cls)}:
             raise ValueError(f"unknown settings: {sorted(unknown)}")
         return cls(**given)
@@ -93,17 +102,23 @@ def prepared(spark, c: Config):
     """(points, partners, annotations) as the products take them: filtered, self-consistent, with bodies, confidences,
     compartments and regions at both ends. Partners take all columns from points in one join a side, and the result is
     saved once, as every output reads it."""
-    from ..operators import annotations, rois, synapses
+    from ..operators import annotations, labels, rois, synapses
     from ..sources import readers, shared
 
     points, partners = readers.with_point_ids(spark.read.parquet(c.points)), spark.read.parquet(c.partners)
     ann = readers.required(spark.read.parquet(c.annotations), "body")
     points, partners = synapses.drop_fake(synapses.check_kinds(points), partners)
     points, partners = synapses.in_zone(points, partners, c.zone)
-    for roiset, labels in c.roi_labels.items():
-        points = rois.named(points, roiset, labels)
-    if c.parent_rois:
-        points = rois.with_parents(points, {k: (parent, names) for k, (parent, names) in c.parent_rois.items()})
+    tables = {}
+    for roiset in dict.fromkeys([*c.roi_labels, *c.roi_templates]):
+        points, tables[roiset] = labels.loaded(points, roiset, c.roi_labels.get(roiset), c.roi_templates.get(roiset))
+    if tables:
+        labels.distinct_across(tables)
+    parents = {k: (parent, names) for k, (parent, names) in c.parent_rois.items()}
+    if parents and set(parents) <= set(tables):
+        points, tables = labels.with_parent_labels(points, tables, parents)
+    elif parents:
+        points = rois.with_parents(points, parents)
     own = [x for x in ("conf", "body", "compartment") if x in points.columns]
     partners = synapses.with_ends(partners, points, *own, regions=[r for r in c.roisets if r in points.columns])
     points, partners = synapses.confident(points, partners, c.min_confidence)
@@ -120,6 +135,9 @@ def write(spark, c: Config) -> None:
     from ..sources import readers, shared, sinks
     from . import products
 
+    from . import settings
+
+    spark.createDataFrame([(settings.resolved(c),)], "value string").coalesce(1).write.mode("overwrite").text(f"{c.output}/settings")
     points, partners, ann = prepared(spark, c)
     read = lambda p: spark.read.parquet(p) if p else None
     bodies = by_point = None
@@ -160,14 +178,31 @@ def main(args: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(description="Write the products of a connectome snapshot.")
     p.add_argument("config", nargs="?")
     p.add_argument("-d", "--defaults", action="store_true", help="print the default settings")
+    p.add_argument("-y", "--commented", action="store_true", help="print the default settings as YAML with what they are")
+    p.add_argument("-m", "--meta", action="store_true", help="print the default properties of the Meta node")
+    p.add_argument("-r", "--resolved", action="store_true", help="print the settings with all defaults, and write nothing")
+    p.add_argument("-t", "--tag", action="store_true", help="print the snapshot's tag, and write nothing")
+    p.add_argument("-f", "--folder", action="store_true", help="print the folder of the products, and write nothing")
     p.add_argument("-c", "--check", action="store_true", help="check the settings and write nothing")
+    p.add_argument("-s", "--set", action="append", default=[], metavar="SECTION.NAME=VALUE", help="set one setting, as JSON or text")
     a = p.parse_args(args)
-    if a.defaults or not a.config:
-        print(json.dumps({x.name: getattr(Config(), x.name) for x in fields(Config)}, indent=2))
-        return 0
-    c = Config.load(a.config)
-    if not a.check:
-        write(SparkSession.builder.getOrCreate(), c)
+    from ..operators.graph import META
+    from . import settings
+
+    if a.commented:
+        print(settings.commented())
+    elif a.meta:
+        print(json.dumps(META, indent=2))
+    elif a.defaults or not a.config:
+        print(settings.resolved(Config()))
+    else:
+        c = Config.load(a.config, a.set)
+        if a.resolved:
+            print(settings.resolved(c))
+        elif a.tag or a.folder:
+            print(c.tag if a.tag else c.output)
+        elif not a.check:
+            write(SparkSession.builder.getOrCreate(), c)
     return 0
 
 

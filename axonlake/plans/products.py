@@ -103,12 +103,12 @@ def completeness(
 
 
 def neurotransmitters(points: DataFrame, ann: DataFrame, truth: DataFrame, experimental: DataFrame, names: list[str], override: dict[str, str]) -> dict[str, DataFrame]:
-    """Confusion matrix and the predictions of bodies with consensus."""
+    """Confusion matrix, the predictions of points and of bodies with consensus, and bodies in several parts of the split."""
     p = nt.predicted(points, names, names)
     matrix = nt.confusion(nt.not_training(p), truth, names)
     bodies, types = (nt.group_predictions(p, ann, matrix, g) for g in ("body", "cell_type"))
     bodies, types = nt.erased(bodies, types)
-    return {"confusion": matrix, "points": p, "bodies": nt.with_consensus(nt.with_type_predictions(bodies, types), override, experimental)}
+    return {"confusion": matrix, "points": p, "multi-split-bodies": nt.multi_split(points), "bodies": nt.with_consensus(nt.with_type_predictions(bodies, types), override, experimental)}
 
 
 def annotations_of(ann: DataFrame, explicit: dict[str, str]) -> dict[str, DataFrame]:

@@ -110,9 +110,9 @@ simple("f06_self_consistency", "SELECT point_id FROM points WHERE point_id IN (S
 )
 simple("f07_restrict_roi", "SELECT pre_id, post_id, shell_roi FROM syn WHERE shell_roi = 'ASIA'", SYN)(lambda w: synapses.in_region(*w.both, "shell_roi", "ASIA")[1].select("pre_id", "post_id", "shell_roi"))
 simple("f07_restrict_roi_points", "SELECT point_id FROM points WHERE point_id IN (SELECT pre_id FROM syn WHERE shell_roi <> '<unspecified>' UNION SELECT post_id FROM syn WHERE shell_roi <> '<unspecified>')", SYN, POINTS)(lambda w: synapses.in_region(*w.both, "shell_roi")[0].select("point_id"))
-BOUNDS = "inb AS (SELECT body_pre AS b FROM syn WHERE primary_roi IN ('NATION_3','NATION_7') UNION SELECT body_post FROM syn WHERE primary_roi IN ('NATION_3','NATION_7'))"
-simple("f08_in_bounds", "SELECT pre_id, post_id FROM syn WHERE body_pre IN (SELECT b FROM inb) OR body_post IN (SELECT b FROM inb)", SYN, BOUNDS)(
-    lambda w: synapses.in_bounds(w.both[0], w.syn, "primary_roi", ["NATION_3", "NATION_7"])[1].select("pre_id", "post_id")
+BOUNDS = "sure AS (SELECT * FROM syn WHERE conf_post >= 9), inb AS (SELECT body_pre AS b FROM sure WHERE primary_roi = 'NATION_3' UNION SELECT body_post FROM sure WHERE primary_roi = 'NATION_3')"
+simple("f08_in_bounds", "SELECT pre_id, post_id FROM sure WHERE body_pre IN (SELECT b FROM inb) OR body_post IN (SELECT b FROM inb)", SYN, BOUNDS)(
+    lambda w: synapses.in_bounds(*synapses.confident(w.both[0], w.syn.withColumn("conf_pre", F.lit(10)), 9, "int"), "primary_roi", ["NATION_3"])[1].select("pre_id", "post_id")
 )
 ELM_ID = "(z::BIGINT << 42) | (y << 21) | x"
 
@@ -123,7 +123,12 @@ def _distances(w):
     return annotations.elements_in(e, "roi", d.select("source_id", "target_id"), w.both[0])[1]
 
 
-simple("f09_elements", f"SELECT source_id, target_id FROM (SELECT body, min({ELM_ID}) AS source_id, max({ELM_ID}) AS target_id FROM elm GROUP BY body) d SEMI JOIN kept k ON source_id = k.id SEMI JOIN kept m ON target_id = m.id", SYN, POINTS, ELM, f"kept AS MATERIALIZED (SELECT {ELM_ID} AS id FROM elm WHERE roi <> '<unspecified>' UNION SELECT point_id FROM points)")(_distances)
+simple(
+    "f09_elements",
+    f"""SELECT a.id AS source_id, b.id AS target_id FROM (SELECT body, min({ELM_ID}) AS s, max({ELM_ID}) AS t FROM elm GROUP BY body) d JOIN ids a ON a.id = d.s JOIN ids b ON b.id = d.t""",
+    ELM,
+    f"ids AS (SELECT DISTINCT id FROM (SELECT {ELM_ID} AS id FROM elm WHERE roi <> '<unspecified>' UNION ALL SELECT l_orderkey * 64 + unnest(range(0, n + 1)) FROM (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1)))",
+)(lambda w: _distances(w).select("source_id", "target_id"))
 for _n, _least in (("significant", 15), ("traced", 20)):
     simple(f"f10_{_n}", f"SELECT pre_id, post_id FROM syn WHERE body_pre IN (SELECT body FROM ann WHERE status_rank >= {_least}) AND body_post IN (SELECT body FROM ann WHERE status_rank >= {_least})", SYN, ANN)(
         lambda w, k=_least: connectome.of_status(w.syn, w.ann, k).select("pre_id", "post_id")
@@ -146,10 +151,10 @@ simple("j03_partner_rois", "SELECT pre_id, post_id, primary_roi, shell_roi FROM
 simple("j04_compartments", "SELECT pre_id, post_id, compartment_pre, compartment_post FROM syn", SYN)(lambda w: synapses.with_ends(w.syn, w.both[0], "compartment").select("pre_id", "post_id", "compartment_pre", "compartment_post"))
 simple("j05_types", "SELECT c.*, a.type AS type_pre, b.type AS type_post FROM (SELECT body_pre, body_post, count(*) AS weight FROM syn GROUP BY ALL) c LEFT JOIN ann a ON a.body = body_pre LEFT JOIN ann b ON b.body = body_post", SYN, ANN)(lambda w: connectome.with_types(connectome.weighted(w.syn), w.ann).select("body_pre", "body_post", "weight", "type_pre", "type_post"))
 simple("j06_segment_wide", "SELECT s.body, synweight, type, status_rank, size FROM body_stats s LEFT JOIN ann USING (body) LEFT JOIN (SELECT o_custkey * 100003 AS body, count(*) AS size FROM orders GROUP BY 1) z USING (body)", SYN, POINTS, ANN, STATS)(
-    lambda w: stats.body_stats(*w.both).join(w.ann, "body", "left").join(w.table("orders").groupBy((F.col("o_custkey") * 100003).alias("body")).agg(F.count("*").alias("size")), "body", "left").select("body", "synweight", "type", "status_rank", "size")
+    lambda w: stats.with_properties(stats.body_stats(*w.both), w.ann, w.table("orders").groupBy((F.col("o_custkey") * 100003).alias("body")).agg(F.count("*").alias("size"))).select("body", "synweight", "type", "status_rank", "size")
 )
-simple("j07_outer_concat", "SELECT coalesce(a.body, b.body) AS body, coalesce(na, 0) AS n_in, coalesce(nb, 0) AS n_out FROM (SELECT body_post AS body, count(*) AS na FROM syn WHERE body_post > 10000300 GROUP BY 1) a FULL JOIN (SELECT body_pre AS body, count(*) AS nb FROM syn GROUP BY 1) b ON a.body = b.body", SYN)(
-    lambda w: w.syn.select(F.explode(F.array(F.struct(F.col("body_post").alias("body"), F.lit(0).alias("t")), F.struct(F.col("body_pre").alias("body"), F.lit(1).alias("t")))).alias("e")).select("e.*").where("t = 1 OR body > 10000300").groupBy("body").agg(F.count_if(F.col("t") == 0).alias("n_in"), F.count_if(F.col("t") == 1).alias("n_out"))
+simple("j07_outer_concat", "SELECT coalesce(a.body, b.body) AS body, coalesce(na, 0) AS n_in, coalesce(nb, 0) AS n_out FROM (SELECT body_post AS body, count(*) AS na FROM syn GROUP BY 1) a FULL JOIN (SELECT body_pre AS body, count(*) AS nb FROM syn WHERE compartment_pre = 'axon' GROUP BY 1) b ON a.body = b.body", SYN)(
+    lambda w: stats.counts_of({"n_in": (w.syn, "body_post"), "n_out": (w.syn.where("compartment_pre = 'axon'"), "body_pre")}, "body")
 )
 simple("j08_combine_first", "SELECT coalesce(a.body, b.body) AS body, coalesce(a.size, b.size) AS size FROM (SELECT o_custkey AS body, count(*) AS size FROM orders WHERE o_orderstatus = 'P' GROUP BY 1) a FULL JOIN (SELECT c_custkey AS body, 1000::BIGINT AS size FROM customer) b ON a.body = b.body")(
     lambda w: annotations.combined(w.table("orders").where("o_orderstatus = 'P'").groupBy(F.col("o_custkey").alias("body")).agg(F.count("*").alias("size")), w.table("customer").select(F.col("c_custkey").alias("body"), F.lit(1000).cast("long").alias("size")), "body", "size")
@@ -161,14 +166,14 @@ simple("j10_point_annotations", "SELECT coalesce(a.body, p.body) AS body, p.y AS
     lambda w: annotations.with_point_annotations(w.ann, w.elements.where("type = 'O'"), "y").select("body", F.col("y").alias("type"), "status_rank") if "y" in w.ann.columns else annotations.with_point_annotations(w.ann.withColumn("y", F.lit(None).cast("long")).drop("type"), w.elements.where("type = 'O'"), "y").select("body", F.col("y").alias("type"), "status_rank")
 )
 simple("j11_align", "SELECT coalesce(u.body, d.body) AS body, coalesce(up, 0) + coalesce(down, 0) AS synweight FROM (SELECT body_post AS body, count(*) AS up FROM syn GROUP BY 1) u FULL JOIN (SELECT body_pre AS body, count(*) AS down FROM syn GROUP BY 1) d ON u.body = d.body", SYN)(
-    lambda w: w.syn.groupBy(F.col("body_post").alias("body")).agg(F.count("*").alias("up")).join(w.syn.groupBy(F.col("body_pre").alias("body")).agg(F.count("*").alias("down")), "body", "full").na.fill(0).select("body", (F.col("up") + F.col("down")).alias("synweight"))
+    lambda w: stats.counts_of({"up": (w.syn, "body_post"), "down": (w.syn, "body_pre")}, "body").select("body", (F.col("up") + F.col("down")).alias("synweight"))
 )
 simple("j12_null_safe", "SELECT b.body, b.cell_type, t.n FROM (SELECT DISTINCT body, cell_type FROM nt) b LEFT JOIN (SELECT cell_type, count(*) AS n FROM nt GROUP BY 1) t ON b.cell_type IS NOT DISTINCT FROM t.cell_type", NT)(
-    lambda w: (lambda b, t: b.join(t, b["cell_type"].eqNullSafe(t["cell_type"]), "left").select("body", b["cell_type"], "n"))(w.nt.select("body", "cell_type").distinct(), w.nt.groupBy("cell_type").agg(F.count("*").alias("n")))
+    lambda w: rows.join_null_safe(w.nt.select("body", "cell_type").distinct(), w.nt.groupBy("cell_type").agg(F.count("*").alias("n")), "cell_type")
 )
 simple("j13_map", "SELECT primary_roi, CASE primary_roi WHEN 'NATION_1' THEN 'one' WHEN 'NATION_2' THEN 'two' END AS label, count(*) AS n FROM syn GROUP BY ALL", SYN)(lambda w: w.syn.groupBy("primary_roi", scalars.literal_map({"NATION_1": "one", "NATION_2": "two"}, F.col("primary_roi")).alias("label")).agg(F.count("*").alias("n")))
 simple("j15_synset_ids", "SELECT DISTINCT body_pre || '_' || body_post || '_pre' AS pre, body_pre || '_' || body_post || '_post' AS post FROM syn", SYN)(lambda w: connectome.weighted(w.syn).select(graph.synset_ids()[0].alias("pre"), graph.synset_ids()[1].alias("post")))
-simple("j16_presyn_nt", "SELECT point_id, vec_id FROM points LEFT JOIN nt ON vec_id * 64 = point_id WHERE kind = 'PreSyn'", SYN, POINTS, NT)(lambda w: w.both[0].where("kind = 'PreSyn'").join(w.nt.select("vec_id", (F.col("vec_id") * 64).alias("point_id")), "point_id", "left").select("point_id", "vec_id"))
+simple("j16_presyn_nt", "SELECT point_id, vec_id FROM points LEFT JOIN nt ON vec_id * 64 = point_id WHERE kind = 'PreSyn'", SYN, POINTS, NT)(lambda w: nt.of_points(w.both[0], w.nt.select("vec_id", (F.col("vec_id") * 64).alias("point_id"))).select("point_id", "vec_id"))
 simple("j17_report_join", "SELECT shell_roi AS name, count(*) FILTER (kind='PreSyn') AS PreSyn, count(*) FILTER (kind='PostSyn') AS PostSyn, CASE shell_roi WHEN 'ASIA' THEN 0 WHEN 'AFRICA' THEN 1 END AS report_index FROM points GROUP BY shell_roi", SYN, POINTS)(
     lambda w: reports.syn_counts(w.both[0].withColumnRenamed("shell_roi", "name"), "name").withColumn("report_index", scalars.literal_map({"ASIA": 0, "AFRICA": 1}, F.col("name")))
 )
@@ -225,12 +230,12 @@ simple("a15_confusion", "SELECT ground_truth, pred1, round(p, 6) AS p FROM conf"
 simple("a16_group_confidence", "SELECT body, round(avg(p), 6) AS confidence, count(pred.pred1) AS num_tbar_nt_predictions FROM pred JOIN modes USING (body) LEFT JOIN conf ON conf.ground_truth = group_pred AND conf.pred1 = pred.pred1 GROUP BY body", NT, PRED, MODES, TRUTH, CONF)(
     lambda w: (lambda p: nt.group_confidence(p, nt.mode(p, "body"), _matrix(w, p), "body").withColumn("confidence", F.round("confidence", 6)))(_pred(w))
 )
-simple("a17_prediction_counts", "SELECT cell_type, count(pred1) AS n FROM pred GROUP BY cell_type", NT, PRED)(lambda w: _pred(w).groupBy("cell_type").agg(F.count("pred1").alias("n")))
-simple("a19_distinct", "SELECT body_pre, count(DISTINCT pre_id) AS presyn, count(DISTINCT shell_roi) AS regions FROM syn GROUP BY 1", SYN)(lambda w: w.syn.groupBy("body_pre").agg(F.countDistinct("pre_id").alias("presyn"), F.countDistinct("shell_roi").alias("regions")))
+simple("a17_prediction_counts", "SELECT cell_type, count(pred1) AS n FROM pred GROUP BY cell_type", NT, PRED)(lambda w: nt.prediction_counts(_pred(w), "cell_type"))
+simple("a19_distinct", "SELECT body_pre, count(DISTINCT pre_id) AS presyn, count(DISTINCT shell_roi) AS regions FROM syn GROUP BY 1", SYN)(lambda w: rows.distinct_counts(w.syn, "body_pre", {"presyn": "pre_id", "regions": "shell_roi"}))
 CAP = "cap AS (SELECT s.*, body_pre IN (SELECT body FROM ann WHERE status_rank >= 15) AS captured_pre, body_post IN (SELECT body FROM ann WHERE status_rank >= 15) AS captured_post FROM syn s)"
 simple("a20_downstream_capture", "SELECT body_pre, count(*) FILTER (captured_post) AS captured, count(*) FILTER (NOT captured_post) AS not_captured, count(*) AS downstream, count(DISTINCT pre_id) AS presyn, round(count(*) FILTER (captured_post) / count(*), 6) AS capture_frac FROM cap WHERE captured_pre GROUP BY body_pre", SYN, ANN, CAP)(lambda w: reports.downstream_capture(reports.with_capture(w.syn, w.ann, 15)).withColumn("capture_frac", F.round("capture_frac", 6)))
 simple("a21_syn_counts", "SELECT primary_roi, count(*) FILTER (kind='PreSyn') AS \"PreSyn\", count(*) FILTER (kind='PostSyn') AS \"PostSyn\" FROM points GROUP BY 1", SYN, POINTS)(lambda w: reports.syn_counts(w.both[0], "primary_roi"))
-simple("a22_latest", "SELECT max(greatest(l_shipdate, o_orderdate)) AS latest FROM lineitem JOIN orders ON l_orderkey = o_orderkey")(lambda w: w.table("lineitem").join(w.table("orders"), F.col("l_orderkey") == F.col("o_orderkey")).agg(F.max(F.greatest("l_shipdate", "o_orderdate")).alias("latest")))
+simple("a22_latest", "SELECT max(greatest(l_shipdate, o_orderdate)) AS latest FROM lineitem JOIN orders ON l_orderkey = o_orderkey")(lambda w: w.table("lineitem").join(w.table("orders"), F.col("l_orderkey") == F.col("o_orderkey")).transform(rows.latest, "l_shipdate", "o_orderdate"))
 simple("a23_mean_scores", "SELECT body, " + ", ".join(f"round(avg(scores[{k + 1}]::DOUBLE), 5) AS {n}" for k, n in enumerate(TRANSMITTERS)) + " FROM nt GROUP BY body", NT)(lambda w: nt.mean_scores(w.nt, TRANSMITTERS).select("body", *(F.round(n, 5).alias(n) for n in TRANSMITTERS)))
 SIDES = "sides AS (SELECT p_name || CASE p_partkey % 3 WHEN 0 THEN '(L)' WHEN 1 THEN '(R)' ELSE '' END AS name, max(p_size) AS v FROM part GROUP BY 1)"
 
@@ -252,3 +257,6 @@ simple("a26_choices", "SELECT string_agg(DISTINCT type, ';' ORDER BY type) AS ch
 simple("a27_last_per_user", "SELECT event_id, user_id, event_type, value, n AS requests FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r, count(*) OVER (PARTITION BY user_id) AS n FROM events) WHERE r = 1")(lambda w: logs.last_per_user(w.table("events"), "user_id", ("ts", "event_id")).select("event_id", "user_id", "event_type", "value", "requests"))
 simple("a27_first_per_user", "SELECT event_id, user_id, n AS requests FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS r, count(*) OVER (PARTITION BY user_id) AS n FROM events) WHERE r = 1")(lambda w: logs.last_per_user(w.table("events"), "user_id", ("ts", "event_id"), "first").select("event_id", "user_id", "requests"))
 simple("a28_duplicates", "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")(lambda w: rois.duplicates(w.table("lineitem"), "l_orderkey", "l_linenumber"))
+simple("snk06_multi_split", "SELECT body, count(DISTINCT part) AS splits FROM (SELECT body, CASE vec_id % 3 WHEN 0 THEN 'train' WHEN 1 THEN CASE WHEN body % 4 = 0 THEN 'test' ELSE 'train' END END AS part FROM nt) GROUP BY body HAVING count(DISTINCT part) > 1", NT)(
+    lambda w: nt.multi_split(w.nt.select("body", F.when(F.col("vec_id") % 3 == 0, F.lit("train")).when((F.col("vec_id") % 3 == 1) & (F.col("body") % 4 == 0), F.lit("test")).when(F.col("vec_id") % 3 == 1, F.lit("train")).alias("split")))
+)

@@ -207,13 +207,13 @@ simple("r02_status_matrix", "SELECT name, max(d) FILTER (status_rank = 28) AS s2
 
 
 def _log(w):
-    e = w.table("events").where("event_type = 'error'")
+    e = w.table("events")
     debug = F.when(F.col("event_id") % 3 == 0, F.lit("a\nb")).when(F.col("event_id") % 3 == 1, F.lit("c\\d")).otherwise(F.lit("x"))
     return e.select(F.concat(F.lit('{"uri": "/u'), F.col("user_id"), F.lit('", "status": 200, "time": '), F.unix_timestamp("ts"), F.lit(', "user": "'), F.col("user_id"), F.lit('", "debug": "'), debug, F.lit('"}')).alias("value"))
 
 
-simple("log02_repair", "SELECT '/u' || user_id AS uri, floor(epoch(ts))::DOUBLE AS time, CASE event_id % 3 WHEN 0 THEN 'a' || chr(10) || 'b' WHEN 1 THEN 'c\\d' ELSE 'x' END AS debug FROM events WHERE event_type = 'error'")(lambda w: logs.parsed(_log(w)).select("uri", "time", "debug"))
-simple("log04_last_request", "SELECT user_id::VARCHAR AS \"user\", max(floor(epoch(ts)))::DOUBLE AS time, count(*) AS requests FROM events WHERE event_type = 'error' GROUP BY 1")(lambda w: logs.last_per_user(logs.parsed(_log(w)).select("user", "time"), "user", ("time",)))
+simple("log02_repair", "SELECT '/u' || user_id AS uri, floor(epoch(ts))::DOUBLE AS time, CASE event_id % 3 WHEN 0 THEN 'a' || chr(10) || 'b' WHEN 1 THEN 'c\\d' ELSE 'x' END AS debug FROM events")(lambda w: logs.parsed(_log(w)).select("uri", "time", "debug"))
+simple("log04_last_request", "SELECT user_id::VARCHAR AS \"user\", max(floor(epoch(ts)))::DOUBLE AS time, count(*) AS requests FROM events GROUP BY 1")(lambda w: logs.last_per_user(logs.parsed(_log(w)).select("user", "time"), "user", ("time",)))
 
 # Node files by region combination
 

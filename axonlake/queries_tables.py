@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from .functions import scalars
-from .operators import annotations, logs, rois
+from .operators import annotations, labels, logs, rois
 from .plans import refresh
 from .queries import ELM, POINTS, STATS, SYN, VOX, simple
 from .sources import adapter, readers, shared, sinks, versions, volumes
@@ -106,3 +106,36 @@ def _log_tail(w, share):
 
 
 simple("log03_whole_log", "SELECT '/u' || user_id AS uri, event_id::DOUBLE AS time, CASE event_id % 3 WHEN 0 THEN 'a' || chr(10) || 'b {' || chr(10) || 'c' ELSE 'x' END AS debug FROM events")(lambda w: _log_tail(w, 0).select("uri", "time", "debug"))
+
+# Region labels
+
+GIVEN = {"NATION_21": 4, "NATION_3": 9, "NATION_12": 2}
+simple(
+    "p03_stable_labels",
+    "SELECT roi, label FROM (VALUES ('NATION_21', 4), ('NATION_3', 9), ('NATION_12', 2)) t(roi, label) UNION ALL SELECT roi, (9 + row_number() OVER (ORDER BY roi))::INT FROM (SELECT DISTINCT primary_roi AS roi FROM points) WHERE roi NOT IN ('NATION_21', 'NATION_3', 'NATION_12', '<unspecified>') UNION ALL SELECT '<unspecified>', 0",
+    SYN, POINTS,
+)(lambda w: labels.allocated(labels.names_in(w.both[0], "primary_roi"), labels.table_of(w.spark, GIVEN)))
+_LABELS = "lab AS (SELECT roi, label FROM (SELECT roi, (9 + row_number() OVER (ORDER BY roi))::INT AS label FROM (SELECT DISTINCT primary_roi AS roi FROM points) WHERE roi NOT IN ('NATION_21', 'NATION_3', 'NATION_12', '<unspecified>')) UNION ALL SELECT * FROM (VALUES ('NATION_21', 4), ('NATION_3', 9), ('NATION_12', 2), ('<unspecified>', 0)) t)"
+simple("p03_labelled_points", "SELECT point_id, primary_roi, label AS primary_roi_label FROM points JOIN lab ON roi = primary_roi", SYN, POINTS, _LABELS)(
+    lambda w: (lambda p: labels.labelled(p, "primary_roi", labels.allocated(labels.names_in(p, "primary_roi"), labels.table_of(w.spark, GIVEN))))(w.both[0].select("point_id", "primary_roi"))
+)
+simple("p03_template_names", "SELECT p_partkey, CASE WHEN p_size % 11 = 0 THEN '<unspecified>' ELSE 'col_' || p_size % 11 // 3 || '_' || p_size % 11 % 3 END AS column, (p_size % 11)::INT AS column_label FROM part")(
+    lambda w: labels.loaded(w.table("part").select("p_partkey", (F.col("p_size") % 11).cast("int").alias("column_label")), "column", template="col_{x // 3}_{x % 3}")[0].select("p_partkey", "column", "column_label")
+)
+
+
+def _parent_labels(w):
+    p = w.syn.select(F.col("post_id").alias("point_id"), "primary_roi", F.when(F.col("shell_roi") == "AFRICA", F.lit("AFRICA(R)")).otherwise(F.col("shell_roi")).alias("shell_roi"))
+    p, own = labels.loaded(p, "primary_roi")
+    p, shell = labels.loaded(p, "shell_roi")
+    return labels.with_parent_labels(p, {"primary_roi": own, "shell_roi": shell}, {"primary_roi": ("shell_roi", ["ASIA", "AFRICA(R)"])})
+
+
+simple(
+    "p07_parent_labels",
+    "SELECT x.post_id AS point_id, x.p AS primary_roi, label AS primary_roi_label FROM filled x JOIN plab ON plab.roi = x.p",
+    SYN,
+    "filled AS (SELECT post_id, CASE WHEN primary_roi = '<unspecified>' AND shell_roi = 'ASIA' THEN 'ASIA-unspecified' WHEN primary_roi = '<unspecified>' AND shell_roi = 'AFRICA' THEN 'AFRICA-unspecified(R)' ELSE primary_roi END AS p FROM syn)",
+    "first AS (SELECT roi, (row_number() OVER (ORDER BY roi))::INT AS label FROM (SELECT DISTINCT primary_roi AS roi FROM syn WHERE primary_roi <> '<unspecified>'))",
+    "plab AS (SELECT * FROM first UNION ALL SELECT roi, ((SELECT max(label) FROM first) + row_number() OVER (ORDER BY roi))::INT FROM (SELECT DISTINCT p AS roi FROM filled WHERE p LIKE '%-unspecified%') UNION ALL SELECT '<unspecified>', 0)",
+)(lambda w: _parent_labels(w)[0].select("point_id", "primary_roi", "primary_roi_label"))
