@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.constants import STATUS_RANK, UNSPECIFIED
+from ..sources import shared
 from . import stats, windows
 from .stats import body_stats
 
@@ -91,19 +92,22 @@ def forecast(points: DataFrame, partners: DataFrame, ann: DataFrame, spec: dict[
     synweight, pre and post, ties by body, as far as rank stop_at. A connection is captured at the later of its bodies'
     ranks. Shares are of all of the report; null where it has none. Reports share every shuffle: ranks restart and sums
     start anew at a report's edge, wherever ranges and blocks are cut, so the number of reports adds rows but no jobs.
+    Two tables are saved when this is called, with a row for each body of a report: the ranks, and then what is captured
+    at them; points and partners are read once for each.
     """
     p, q = in_reports(points, spec, roi), in_reports(partners, spec, roi)
     own = stats._tagged(p, q, "report").unionByName(present_in_reports(ann, present, spec, mode).withColumn("tag", F.lit(3)))
     counts = stats._counts(own, "report", "body").drop("upstream")
     x = counts.join(ann.select("body", "status_rank"), "body", "left")
-    r = windows.ranked_within(x, ["report"], ["status_rank", "synweight", "pre", "post"], "body", "rnk").where(F.col("rnk") <= stop_at)
+    every = windows.ranked_within(x, ["report"], ["status_rank", "synweight", "pre", "post"], "body", "rnk")
+    r = every.where(F.col("rnk") <= stop_at)
     both = q.select("report", "body_pre", "body_post")
     for side in ("pre", "post"):
         both = both.join(r.select("report", F.col("body").alias(f"body_{side}"), F.col("rnk").alias(f"r_{side}")), ["report", f"body_{side}"])
     captured = both.groupBy("report", F.greatest("r_pre", "r_post").alias("rnk")).agg(F.count("*").alias("conn"))
-    x = r.join(captured, ["report", "rnk"], "left").na.fill(0, ["conn"])
+    x = shared.saved(r.join(captured, ["report", "rnk"], "left").na.fill(0, ["conn"]), "captured")
     sums = windows.running_within(x.select("*", *(F.col(c).alias(f"upto_{c}") for c in FAMILIES.values())), ["report"], "rnk", [f"upto_{c}" for c in FAMILIES.values()])
-    totals = counts.groupBy("report").agg(F.sum("pre").alias("all_pre"), F.sum("post").alias("all_post"), F.sum("downstream").alias("all_conn"))
+    totals = every.groupBy("report").agg(F.sum("pre").alias("all_pre"), F.sum("post").alias("all_post"), F.sum("downstream").alias("all_conn"))
     totals = totals.withColumn("all_synweight", F.col("all_post") + F.col("all_conn"))
     share = lambda c: F.try_divide(F.col(f"upto_{c}").cast("double"), F.col(f"all_{c}"))
     return sums.join(totals, "report").select("report", "rnk", "body", "status_rank", *FAMILIES.values(), *(share(c).alias(f) for f, c in FAMILIES.items()))
