@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import decode_point, literal_map, point_string
+from ..functions.scalars import camel_case, decode_point, literal_map, point_string
 from . import connectome, stats, windows
 
 
@@ -66,6 +67,26 @@ def segments(
     return x.select("*", *region_flags(F.col("rois"), flags or []), F.when(neuron, F.lit("Segment;Neuron")).otherwise(F.lit("Segment")).alias("label"))
 
 
+def dataset_labels(label: Column, dataset: str) -> Column:
+    """Labels joined by semicolons, each followed by the dataset's own form of it."""
+    return F.array_join(F.transform(F.split(label, ";"), lambda x: F.concat(x, F.lit(f";{dataset}_"), x)), ";")
+
+
+def exported(nodes: DataFrame, dataset: str, names: dict[str, str] | None = None, fixed: tuple[str, ...] = ()) -> DataFrame:
+    """Nodes as the importer gets them: labels with the dataset's own, bodyId beside the key body, and properties in camel
+    case; names override that (an empty one drops the column), and fixed columns, such as regions, keep theirs. Two
+    columns can't get one name."""
+    given, key = names or {}, [c for c in ("body", "point_id") if c in nodes.columns][:1]
+    as_is = {*fixed, *key, "label"}
+    out = {c: given.get(c, c if c in as_is else camel_case(c)) for c in nodes.columns}
+    kept = [n for n in out.values() if n]
+    if twice := sorted({n for n in kept if kept.count(n) > 1}):
+        raise ValueError(f"several columns would be {twice}")
+    own = [F.col("body").alias("bodyId")] if key == ["body"] and "bodyId" not in kept else []
+    value = lambda c: dataset_labels(F.col(c), dataset) if c == "label" else F.col(c)
+    return nodes.select(*(value(c).alias(n) for c, n in out.items() if n), *own)
+
+
 def connects_to(partners: DataFrame, high_accuracy: float, high_precision: float, roisets: list[str] | None = None) -> DataFrame:
     """ConnectsTo edges between bodies other than 0, with confidence and compartment weights; with roisets also roiInfo,
     the counts by region of connections from high_accuracy on."""
@@ -177,6 +198,24 @@ def hierarchy(tree: dict) -> dict:
     return node(*next(iter(tree.items())))
 
 
+def loaded_hierarchy(tree, regions: Callable[[str], list[str]], read: Callable[[str], object]) -> dict | None:
+    """A tree of regions from what settings may give: nested dicts, a list of leaves, roiset://NAME for all regions of a
+    roiset, or the name of a .json file that holds any of these. Empty ones are None."""
+    if tree is None or tree == {}:
+        return None
+    if isinstance(tree, str):
+        if tree.startswith("roiset://"):
+            return {r: None for r in regions(tree.removeprefix("roiset://"))}
+        if tree.endswith(".json"):
+            return loaded_hierarchy(read(tree), regions, read)
+        raise ValueError(f"no such hierarchy: {tree}")
+    if isinstance(tree, dict):
+        return {k: loaded_hierarchy(v, regions, read) for k, v in tree.items()}
+    if isinstance(tree, list):
+        return {k: None for k in tree}
+    raise ValueError(f"no such hierarchy: {tree!r}")
+
+
 def parents(tree: dict, above: str | None = None) -> dict[str, str | None]:
     out = {}
     for name, children in tree.items():

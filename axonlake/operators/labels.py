@@ -26,6 +26,11 @@ def names_in(points: DataFrame, roiset: str) -> DataFrame:
     return points.select(F.coalesce(roiset, F.lit(UNSPECIFIED)).alias("roi")).distinct()
 
 
+def region_list(points: DataFrame, roiset: str) -> list[str]:
+    """The named regions of a roiset in order: a short list, for settings."""
+    return [r.roi for r in names_in(points, roiset).where(F.col("roi") != UNSPECIFIED).orderBy("roi").collect()]
+
+
 def allocated(names: DataFrame, given: DataFrame) -> DataFrame:
     """Labels for all names: given ones stay, whether their region occurs or not, new names come after the greatest in
     their order. The unspecified region has 0 if it occurs or is given."""

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import side_of
+from . import windows
 
 
 def by_side(stats: DataFrame, name: str, value: str) -> DataFrame:
@@ -24,5 +25,6 @@ def weighted_mean(stats: DataFrame, value: str, weight: str) -> DataFrame:
 
 
 def bar_edges(stats: DataFrame, order: str, width: str) -> DataFrame:
-    """Running right edges of bars of a given width."""
-    return stats.withColumn("edge", F.sum(width).over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)))
+    """Running right edges of bars of a given width, in an order of different values; summed up by ranges."""
+    x = windows.ranked(stats.withColumn("edge", F.col(width)), [], order, "_rank")
+    return windows.running(x, "_rank", ["edge"]).drop("_rank")

@@ -131,7 +131,7 @@ def prepared(spark, c: Config):
 
 
 def write(spark, c: Config) -> None:
-    from ..operators import annotations
+    from ..operators import annotations, graph, labels
     from ..sources import readers, shared, sinks
     from . import products
 
@@ -161,8 +161,8 @@ def write(spark, c: Config) -> None:
             sinks.parquet(df, f"{c.output}/reports/{name}")
     if "graph" in c.products:
         limits = {"conf": c.high_accuracy, "high_accuracy": c.high_accuracy, "high_precision": c.high_precision, "neuron": {"synweight": 100, "pre": 100, "post": 100}, "excluded": ["Unimportant", "Glia"]}
-        tree = c.hierarchy or {c.tag or "all": {r: None for r in c.roisets}}
-        more = {"point_transmitters": by_point, "elements": elements, "kinds": c.element_kinds, "distances": read(c.element_distances), "sizes": read(c.sizes), "transmitters": bodies, "flags": c.region_flags, "annotated": c.annotated_bodies}
+        tree = graph.loaded_hierarchy(c.hierarchy, lambda r: labels.region_list(points, r), readers.json_file) or {c.tag or "all": {r: None for r in c.roisets}}
+        more = {"names": c.property_names, "point_transmitters": by_point, "elements": elements, "kinds": c.element_kinds, "distances": read(c.element_distances), "sizes": read(c.sizes), "transmitters": bodies, "flags": c.region_flags, "annotated": c.annotated_bodies}
         for name, df in products.property_graph(points, partners, ann, c.roisets, limits, c.dataset, c.tag, tree, c.primary_rois, c.meta, **more).items():
             if c.graph_format == "csv" and name == "segments":
                 sinks.node_batches(shared.saved(df, "segments"), "rois", "segments", f"{c.output}/graph/{name}", c.node_files, measured=True)
@@ -170,6 +170,7 @@ def write(spark, c: Config) -> None:
                 sinks.importer_csv(df, name, f"{c.output}/graph/{name}")
             else:
                 sinks.parquet(df, f"{c.output}/graph/{name}")
+    shared.clean(spark)
 
 
 def main(args: list[str] | None = None) -> int:

@@ -8,6 +8,7 @@ which a caller may persist.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..functions.constants import SIGNIFICANT, TRACED
 from ..operators import annotations, connectome, graph, nt, reports, stats, synapses
@@ -44,31 +45,34 @@ def property_graph(
     flags: list[str] | None = None,
     annotated: bool = False,
     point_transmitters: DataFrame | None = None,
+    names: dict[str, str] | None = None,
 ) -> dict[str, DataFrame]:
     """Nodes and edges. Totals come before, edges after connections outside the main roiset are left out. Elements and
     their distances give element nodes, sets and CloseTo edges; transmitters are columns of bodies, point_transmitters of
-    synapses (by point_id)."""
+    synapses (by point_id). Node properties are in camel case but for names, which override that."""
     points, partners = synapses.drop_body_zero(points, partners)
     by_region = stats.body_region_stats(points, partners, roisets)
     segments = graph.segments(points, partners, ann, roisets, limits["conf"], limits["neuron"], limits["excluded"], flags, elements, kinds, sizes, transmitters, annotated)
-    node = graph.meta(stats.dataset_totals(by_region), stats.region_totals(by_region), dataset, tag, tree, primary or list(tree), {n.split(":")[0]: n.split(":")[1] for n in graph.typed_names(segments, {}).values()}, **(meta or {}))
+    as_nodes = lambda df, *fixed: graph.exported(df, dataset, names, (*fixed, *roisets, *(flags or []), "rois"))
+    nodes = as_nodes(segments, *(kinds or []))
+    node = graph.meta(stats.dataset_totals(by_region), stats.region_totals(by_region), dataset, tag, tree, primary or list(tree), {n.split(":")[0]: n.split(":")[1] for n in graph.typed_names(nodes, {}).values()}, **(meta or {}))
     points, partners = synapses.in_region(points, partners, roisets[0])
     weights = graph.connects_to(partners, limits["high_accuracy"], limits["high_precision"], roisets)
     out = {
-        "segments": segments,
+        "segments": nodes,
         "meta": node,
         "connections": weights,
         "sets": graph.synapse_sets(weights),
         "set_to_set": graph.set_to_set(weights),
         "neuron_to_set": graph.neuron_to_set(weights),
         "set_to_synapse": graph.set_to_synapse(partners),
-        "synapses": graph.synapses(points, roisets, flags, point_transmitters),
+        "synapses": as_nodes(graph.synapses(points, roisets, flags, point_transmitters).withColumn("label", F.lit("Synapse;Element"))),
         "synapse_connections": partners.select("pre_id", "post_id"),
     }
     if elements is None:
         return out
     sets, body_sets, set_elements = graph.element_sets(elements, segments)
-    out |= {"elements": graph.elements(elements, [r for r in roisets if r in elements.columns]), "element_sets": sets.select("id", "type"), "neuron_to_element_set": body_sets, "element_set_to_element": set_elements}
+    out |= {"elements": as_nodes(graph.elements(elements, [r for r in roisets if r in elements.columns]).withColumn("label", F.lit("Element"))), "element_sets": sets.select("id", "type"), "neuron_to_element_set": body_sets, "element_set_to_element": set_elements}
     return out if distances is None else out | {"close_to": graph.close_to(distances)}
 
 

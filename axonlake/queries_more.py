@@ -152,6 +152,14 @@ _SEGMENT = f"""SELECT body, coalesce(s.pre, 0) AS pre, coalesce(s.post, 0) AS po
  FROM {{}} LEFT JOIN counted USING (body) LEFT JOIN sure_info USING (body) LEFT JOIN (SELECT *, """ + _SIMPLE + """ AS status FROM ann) a USING (body) LEFT JOIN sized USING (body)"""
 simple("g01_segments", _SEGMENT.format("sure_stats s"), SYN, POINTS, ANN, ELM, SURE)(_segments)
 simple("g01_segments_annotated", _SEGMENT.format("(SELECT coalesce(x.body, y.body) AS body, x.* EXCLUDE (body) FROM sure_stats x FULL JOIN (SELECT DISTINCT body FROM ann) y ON x.body = y.body) s"), SYN, POINTS, ANN, ELM, SURE)(lambda w: _segments(w, annotated=True))
+simple(
+    "g01_exported",
+    f"""SELECT body, body AS "bodyId", pre, post, downstream, upstream, synweight, type AS "cellType", status_rank AS "statusRank", status, CASE label WHEN 'Segment' THEN 'Segment;demo_Segment' ELSE 'Segment;demo_Segment;Neuron;demo_Neuron' END AS label FROM ({_SEGMENT.format("sure_stats s")})""",
+    SYN, POINTS, ANN, ELM, SURE,
+)(lambda w: graph.exported(_segments(w).select("body", *stats.COUNTS, "type", "status_rank", "status", "rois", "label"), "demo", {"type": "cellType", "rois": ""}))
+simple("p13_typed_headers", """SELECT unnest(['o_orderkey:' || CASE WHEN max(abs(o_orderkey)) < 2147483648 THEN 'int' ELSE 'long' END, 'big:' || CASE WHEN max(abs(o_custkey)) * 100003 * 1000 < 2147483648 THEN 'int' ELSE 'long' END, 'o_totalprice:float', ':LABEL', 'o_orderpriority:string', 'tags:string[]']) AS header FROM orders""")(
+    lambda w: w.spark.createDataFrame([(h,) for h in graph.typed_names(w.table("orders").select("o_orderkey", (F.col("o_custkey") * 100003000).alias("big"), "o_totalprice", F.col("o_orderstatus").alias("label"), "o_orderpriority", F.array("o_clerk").alias("tags") if "o_clerk" in w.table("orders").columns else F.array("o_orderpriority").alias("tags")), {"label": ":LABEL"}, measured=True).values()], "header string")
+)
 simple("g02_connects_to", f"SELECT body_pre, body_post, count(*) AS \"weightHR\", count(*) FILTER (conf_post >= 5) AS weight, count(*) FILTER (conf_post >= 8) AS \"weightHP\", {COMP} FROM syn WHERE body_pre <> 0 AND body_post <> 0 GROUP BY 1, 2", SYN)(lambda w: graph.connects_to(w.syn, 5, 8))
 simple("g02_connects_to_regions", f"""SELECT w.*, i."roiInfo" FROM (SELECT body_pre, body_post, count(*) AS "weightHR", count(*) FILTER (conf_post >= 5) AS weight, count(*) FILTER (conf_post >= 8) AS "weightHP", {COMP} FROM syn WHERE body_pre <> 0 AND body_post <> 0 GROUP BY 1, 2) w JOIN (SELECT body_pre, body_post, '{{' || coalesce(string_agg('"' || roi || '":{{"post":' || n || '}}', ',' ORDER BY roi) FILTER (roi <> '<unspecified>' AND n > 0), '') || '}}' AS "roiInfo" FROM (SELECT body_pre, body_post, roi, count(*) FILTER (conf_post >= 5) AS n FROM (SELECT body_pre, body_post, conf_post, 'primary_roi' AS roiset, primary_roi AS roi FROM syn UNION ALL SELECT body_pre, body_post, conf_post, 'shell_roi', shell_roi FROM syn) WHERE roi <> '<unspecified>' OR roiset = 'primary_roi' GROUP BY 1, 2, 3) GROUP BY 1, 2) i USING (body_pre, body_post)""", SYN)(lambda w: graph.connects_to(w.syn, 5, 8, ROISETS))
 simple("g03_synapse_sets", "SELECT DISTINCT body_pre || '_' || body_post || u AS id FROM syn, (VALUES ('_pre'), ('_post')) t(u)", SYN)(lambda w: graph.synapse_sets(connectome.weighted(w.syn)))

@@ -255,6 +255,12 @@ def csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema=schema)
 
 
+def json_file(path: str):
+    """What a small JSON file of settings holds."""
+    with open(path) as f:
+        return json.load(f)
+
+
 def region_ids(path: str) -> dict[str, int]:
     """A small JSON map of region names to labels."""
     with open(path) as f:

@@ -25,8 +25,18 @@ def folder(spark: SparkSession) -> str:
     return f"file://{_own[sc.applicationId]}"
 
 
+def _tables(spark: SparkSession) -> str:
+    return f"{folder(spark)}/axonlake-{spark.sparkContext.applicationId}"
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete the tables that this application has saved; what still reads them can't be computed any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_tables(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """df written to the shared folder and read back: computed once, whatever reads it, and safe from lost executors."""
-    path = f"{folder(df.sparkSession)}/axonlake-{df.sparkSession.sparkContext.applicationId}/{uuid.uuid4().hex}/{name}.parquet"
+    path = f"{_tables(df.sparkSession)}/{uuid.uuid4().hex}/{name}.parquet"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

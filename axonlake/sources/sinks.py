@@ -21,7 +21,7 @@ def csv(df: DataFrame, path: str) -> None:
 
 
 #: Headers of id columns in the importer's files.
-NODE_HEADERS = {"segments": {"body": ":ID(Body-ID)", "label": ":LABEL"}, "synapses": {"point_id": ":ID(Element-ID)", "label": ":LABEL"}, "sets": {"id": ":ID(SynSet-ID)"}, "elements": {"point_id": ":ID(Element-ID)"}, "element_sets": {"id": ":ID(ElementSet-ID)"}, "meta": {}}
+NODE_HEADERS = {"segments": {"body": ":ID(Body-ID)", "label": ":LABEL"}, "synapses": {"point_id": ":ID(Element-ID)", "label": ":LABEL"}, "sets": {"id": ":ID(SynSet-ID)"}, "elements": {"point_id": ":ID(Element-ID)", "label": ":LABEL"}, "element_sets": {"id": ":ID(ElementSet-ID)"}, "meta": {}}
 EDGE_HEADERS = {
     "connections": {"body_pre": ":START_ID(Body-ID)", "body_post": ":END_ID(Body-ID)"},
     "synapse_connections": {"pre_id": ":START_ID(Element-ID)", "post_id": ":END_ID(Element-ID)"},

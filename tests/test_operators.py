@@ -218,7 +218,7 @@ def test_all_products_by_command(spark, tmp_path):
     assert config.main([str(tmp_path / "c.json"), "-c"]) == 0 and not (tmp_path / "out").exists()
     assert config.main([str(tmp_path / "c.json")]) == 0
     segments = spark.read.parquet(f"{tmp_path}/out/graph/segments")
-    assert {"roiInfo", "total", "O", "F", "ASIA", "label", "predicted_nt"} <= set(segments.columns) and segments.groupBy("body").count().where("count > 1").count() == 0
+    assert {"roiInfo", "total", "O", "F", "ASIA", "label", "predictedNt", "bodyId", "cellType"} <= set(segments.columns) and segments.where("label LIKE '%Neuron;snapshot_Neuron'").count() > 0 and segments.groupBy("body").count().where("count > 1").count() == 0
     assert spark.read.parquet(f"{tmp_path}/out/graph/close_to").where("distance >= 0").count() == e.select("body").distinct().count()
     assert "roiInfo" in spark.read.parquet(f"{tmp_path}/out/graph/connections").columns
     status = spark.read.parquet(f"{tmp_path}/out/reports/status")
@@ -230,6 +230,25 @@ def test_all_products_by_command(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/out/transmitters/confusion").count() == 49
 
 
+def test_loaded_hierarchy(tmp_path):
+    (tmp_path / "h.json").write_text('{"A": ["B", "C"], "D": {}}')
+    regions = {"primary": ["ME", "LO"]}.__getitem__
+    tree = graph.loaded_hierarchy({"ALL": {"x": "roiset://primary", "y": str(tmp_path / "h.json"), "z": None}}, regions, readers.json_file)
+    assert tree == {"ALL": {"x": {"ME": None, "LO": None}, "y": {"A": {"B": None, "C": None}, "D": None}, "z": None}}
+    assert graph.parents(tree)["B"] == "A" and graph.loaded_hierarchy({}, regions, readers.json_file) is None
+    for bad in ("h.txt", 5):
+        with pytest.raises(ValueError):
+            graph.loaded_hierarchy({"ALL": bad}, regions, readers.json_file)
+
+
+def test_exported_names(spark):
+    x = spark.createDataFrame([(1, 2, "a", "Segment;Neuron")], "body long, status_rank int, ME_R string, label string")
+    y = graph.exported(x, "d", {"status_rank": "rank"}, ("ME_R",))
+    assert y.columns == ["body", "rank", "ME_R", "label", "bodyId"] and y.first().label == "Segment;d_Segment;Neuron;d_Neuron"
+    with pytest.raises(ValueError, match="bodyId|statusRank"):
+        graph.exported(x.withColumn("statusRank", F.lit(1)), "d")
+
+
 def test_ranks_cross_partitions(spark):
     r = random.Random(3)
     rows = [(r.randrange(5), r.randrange(3), r.randrange(10**15)) for _ in range(3000)] + [(None, 1, 5), (2, None, 6)]
