@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from ..functions.constants import UNSPECIFIED
 from ..functions.scalars import label_template, literal_map
+from ..sources import shared
 from . import windows
-from .rois import with_parents
+from .rois import unpivoted, with_parents
 
 
 def table_of(spark: SparkSession, ids: dict[str, int]) -> DataFrame:
@@ -95,7 +96,7 @@ def loaded(points: DataFrame, roiset: str, ids: dict[str, int] | None = None, te
     elif ids:
         table = table_of(points.sparkSession, {UNSPECIFIED: 0, **ids})
     elif has_name:
-        table = allocated(names_in(points, roiset), table_of(points.sparkSession, {}))
+        table = shared.saved(allocated(names_in(points, roiset), table_of(points.sparkSession, {})), "labels")
     else:
         raise ValueError(f"{roiset}_label has no names: give ids or a template")
     return (labelled if has_name else named)(points, roiset, table), table
@@ -109,12 +110,12 @@ def renamed(points: DataFrame, roiset: str, table: DataFrame, names: dict[str, s
 
 def with_parent_labels(points: DataFrame, tables: dict[str, DataFrame], parents: dict[str, tuple[str, list[str]]]) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Unspecified regions filled from parent roisets, as with_parents() does, and the regions that this makes labelled
-    after the roiset's greatest label, in the order of names; if no point is unspecified any more, that region goes."""
-    filled = with_parents(points, parents)
-    out = dict(tables)
+    after the roiset's greatest label, in the order of names; if no point is unspecified any more, that region goes. The
+    regions of all roisets are found in one pass over the points; they and the new tables are saved."""
+    filled, out = with_parents(points, parents), dict(tables)
+    names = shared.saved(unpivoted(filled, list(parents)).select("roiset", F.coalesce("roi", F.lit(UNSPECIFIED)).alias("roi")).distinct(), "names")
     for roiset in parents:
-        names = names_in(filled, roiset)
-        made = allocated(names, tables[roiset].where(F.col("roi") != UNSPECIFIED))
-        out[roiset] = made
-        filled = labelled(filled, roiset, made)
+        out[roiset] = shared.saved(allocated(names.where(F.col("roiset") == roiset).select("roi"), tables[roiset].where(F.col("roi") != UNSPECIFIED)), "labels")
+    for roiset in parents:
+        filled = labelled(filled, roiset, out[roiset])
     return filled, out
