@@ -19,8 +19,10 @@ KINDS = ("email", "ip", "card", "phone", "general", "removed")
 REACH = 8
 #: Documents without the entity that a term's estimate starts from, so that little evidence discloses less.
 PRIOR = 1.0
-#: A term is generalised if its mutual information with an entity is this share of the entity's information; removed at the second.
-GENERALISE, REMOVE = 0.8, 0.95
+#: A term discloses an entity if its mutual information with it is this share of the entity's information ...
+GENERALISE = 0.8
+#: ... and the entity is at least so probable where the term is: generalised from the first, removed from the second.
+PROBABLE, CERTAIN = 0.5, 0.9
 #: Distinct terms that a task counts in memory before it passes the counts on.
 HELD_TERMS = 600_000
 EDGE = b".,;:!?\"'()[]{}<>"
@@ -141,26 +143,31 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out()
 
 
-def disclosing(pairs: DataFrame, counts: DataFrame, entities: DataFrame, n_docs: int, generalise: float) -> DataFrame:
-    """(entity, term, share): terms whose mutual information with an entity is a share of at least generalise of the
-    entity's information -log p(e). PMI = log(p(e | t) / p(e)), with p(e | t) = documents with both / documents with t in
-    the term's independent documents, of which the pair has one for each of its surroundings, and PRIOR more without e."""
+def disclosing(pairs: DataFrame, counts: DataFrame, entities: DataFrame, n_docs: int, generalise: float, probable: float = PROBABLE) -> DataFrame:
+    """(entity, term, share, p): terms that disclose an entity. p is the probability of the entity where the term is:
+    documents with both / documents with the term in the term's independent documents, of which the pair has one for each
+    of its surroundings, and PRIOR more without the entity, so that p is lower the less evidence there is. It must be
+    probable at least, whatever the size of the corpus. The pair's mutual information log(p / p(e)) must be a share of at
+    least generalise of the entity's information -log p(e): an entity that is everywhere is disclosed by no term. Where
+    one document in so many as probable ** (-1 / (1 - generalise)) (32) or fewer hold the entity, p alone decides."""
     both = pairs.groupBy("entity", "term", "around").agg(F.countDistinct("row").alias("d")).groupBy("entity", "term").agg(F.sum("d").alias("both"), F.count("*").alias("seen"))
     x = both.join(counts, "term").join(entities, "entity")
     information = -F.log(F.col("n_entity") / F.lit(float(max(1, n_docs))))
-    pmi = information + F.log(F.col("seen") / (F.col("seen") * F.greatest(F.lit(1.0), F.col("n") / F.col("both")) + F.lit(PRIOR)))
-    return x.where(information > 0).withColumn("share", pmi / information).where(F.col("share") >= generalise).select("entity", "term", "share")
+    p = F.col("seen") / (F.col("seen") * F.greatest(F.lit(1.0), F.col("n") / F.col("both")) + F.lit(PRIOR))
+    x = x.where(information > 0).withColumn("p", p).withColumn("share", (information + F.log("p")) / information)
+    return x.where((F.col("share") >= generalise) & (F.col("p") >= probable)).select("entity", "term", "share", "p")
 
 
-def scan(docs: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE, row: str | None = None) -> DataFrame:
+def scan(docs: DataFrame, generalise: float = GENERALISE, probable: float = PROBABLE, certain: float = CERTAIN, row: str | None = None) -> DataFrame:
     """(doc_id, spans), and row if named, a column of docs that numbers its rows: array of (start, k, end) in code points by start, then kind; k indexes KINDS.
 
     Base kinds are the four fixed patterns; their values are the protected entities. A term near an entity is generalised
-    or removed if it discloses the entity: its pointwise mutual information, from how many documents of the whole corpus
-    hold the term, the entity and both near each other, is at least the set share of the entity's information. The
-    estimate is smoothed by the number of different surroundings of a pair, so copies of a document are one piece of
-    evidence, and an entity that occurs once or twice is judged too: the rarer it is in the corpus, the less evidence
-    a term needs.
+    or removed if it discloses the entity: from how many documents of the whole corpus hold the term, the entity and both
+    near each other, the entity is probable (generalised) or certain (removed) where the term is, and their pointwise
+    mutual information is at least the set share of the entity's information. The estimate is smoothed by the number of
+    different surroundings of a pair, so copies of a document are one piece of evidence: one piece makes an entity just
+    probable, nine without a counterexample certain. Verdicts on the same counts don't change with the corpus's size once
+    the entity is in one document of 32 or fewer.
 
     Null text is empty; repeated rows are scanned each (as evidence they count once, as documents each); an empty table
     gives no rows; other columns are ignored. Counts are added up in tasks before they are shuffled; only the terms near
@@ -174,10 +181,10 @@ def scan(docs: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE
     pairs = found.where(F.size("pairs") > 0).select("row", F.explode("pairs").alias("p")).select("row", "p.*")
     counts = x.select("text").mapInArrow(_term_counts, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     entities = pairs.groupBy("entity", "row").agg(F.lit(1).alias("one")).groupBy("entity").agg(F.count("*").alias("n_entity"))
-    known = disclosing(pairs, counts, entities, found.count(), generalise)
-    known = saved(known, "disclosing").select(F.col("entity").alias("e"), F.col("term").alias("t"), "share")
+    known = disclosing(pairs, counts, entities, found.count(), generalise, probable)
+    known = saved(known, "disclosing").select(F.col("entity").alias("e"), F.col("term").alias("t"), "p")
     hit = pairs.join(known.hint("shuffle_merge"), (F.col("entity") == F.col("e")) & (F.col("term") == F.col("t")))
-    k = F.when(F.max("share") >= remove, F.lit(KINDS.index("removed"))).otherwise(F.lit(KINDS.index("general")))
+    k = F.when(F.max("p") >= certain, F.lit(KINDS.index("removed"))).otherwise(F.lit(KINDS.index("general")))
     terms = hit.groupBy("row", "start", "end").agg(k.alias("k")).groupBy(F.col("row").alias("r")).agg(F.collect_list(F.struct("start", "k", "end")).alias("terms"))
     y = found.select("row", "doc_id", "base").join(terms, F.col("row") == F.col("r"), "left")
     return y.select(*([F.col("row").alias(row)] if row else []), "doc_id", F.when(F.col("terms").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", "terms"))).alias("spans"))

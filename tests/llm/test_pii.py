@@ -1,6 +1,8 @@
 import random
 import re
 
+import numpy as np
+
 from axonlake.llm import pii
 
 from .helpers import corpus, docs
@@ -90,3 +92,62 @@ def test_eight_words_on_either_side_however_long():
     t = " ".join(long) + "  mail:a@b.example, " + "\n".join(long)
     got = [t[a:z] for _, _, _, a, z in pii.nearby(t, pii.base_spans(t))]
     assert got == [*long[2:], "mail:", *long[:7]]
+
+
+def test_same_counts_same_verdict_at_any_size(spark):
+    # (term, documents with both, different surroundings, documents with the term)
+    cases = [(1, 1, 1, 1), (2, 1, 1, 2), (3, 1, 1, 62), (4, 6, 6, 8), (5, 6, 6, 14), (6, 9, 9, 9), (7, 5, 1, 5), (8, 20, 20, 20)]
+    pairs = spark.createDataFrame([(7, t, i % seen, t * 1000 + i) for t, both, seen, _ in cases for i in range(both)], "entity long, term long, around long, row long")
+    counts = spark.createDataFrame([(t, n) for t, _, _, n in cases], "term long, n long")
+    entities = spark.createDataFrame([(7, 25)], "entity long, n_entity long")
+    verdicts = []
+    for n_docs in (10**3, 10**5, 10**7, 10**9):
+        got = {x.term: x.p for x in pii.disclosing(pairs, counts, entities, n_docs, pii.GENERALISE).collect()}
+        verdicts.append({t: p >= pii.CERTAIN for t, p in got.items()})
+    assert verdicts == [{1: False, 4: False, 6: True, 7: False, 8: True}] * 4
+    assert pii.disclosing(pairs, counts, entities, 25, pii.GENERALISE).count() == 0
+
+
+def slow_spans(texts):
+    """The method's spans from counts over all texts: (document, start, end) -> whether the term is removed."""
+    found = [pii.base_spans(t) for t in texts]
+    near, docs_of, held = {}, {}, {}
+    for d, t in enumerate(texts):
+        for w in {pii.term_of(w) for w in t.encode().lower().split()} - {None}:
+            docs_of[w] = docs_of.get(w, 0) + 1
+        words = [(m.start(), m.end()) for m in re.finditer(r"\S+", t)]
+        for s, k, e, value in found[d]:
+            held.setdefault((k, value), set()).add(d)
+            mine = [(a, z) for a, z in words if z <= s][-8:] + [(a, z) for a, z in words if a >= e][:8]
+            mine = [(a, z) for a, z in mine if all(z <= x or a >= y for x, _, y, _ in found[d])]
+            around = " ".join(t[a:z] for a, z in mine)
+            for a, z in mine:
+                if w := pii.term_of(t[a:z].lower().encode()):
+                    near.setdefault(((k, value), w), []).append((around, d, a, z))
+    out = {}
+    for (entity, w), places in near.items():
+        both, seen = len({x[:2] for x in places}), len({x[0] for x in places})
+        p_entity = len(held[entity]) / len(texts)
+        p = seen / (seen * max(1, docs_of[w] / both) + 1)
+        if p_entity < 1 and p >= 0.5 and np.log(p / p_entity) / -np.log(p_entity) >= 0.8:
+            for _, d, a, z in places:
+                out[d, a, z] = out.get((d, a, z), False) or p >= 0.9
+    return out
+
+
+def test_spans_of_terms_match_brute_force(spark):
+    r = random.Random(8)
+    vocab = [f"term{k}" for k in range(60)]
+    texts = []
+    for i in range(300):
+        w = [vocab[int(60 * r.random() ** 2)] for _ in range(r.randrange(5, 30))]
+        for _ in range(r.randrange(0, 3)):
+            p = r.randrange(12)
+            w.insert(r.randrange(len(w)), f"p{p}@mail.example")
+            if r.random() < 0.7:
+                w.insert(w.index(f"p{p}@mail.example"), f"alias{p}")
+        texts.append(" ".join(w))
+    texts += [texts[0]] * 5 + [f"{texts[k]} alias3" for k in range(4)] + ["alone once@mail.example here"]
+    got = {(x.doc_id, s.start, s.end): s.k == 5 for x in pii.scan(docs(spark, texts)).collect() for s in x.spans if s.k >= 4}
+    want = slow_spans(texts)
+    assert got == want and True in want.values() and False in want.values()
