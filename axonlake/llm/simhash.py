@@ -16,6 +16,8 @@ from .components import connected_components
 
 SEED = 42
 CHUNK = 1 << 15
+#: A posting key of more fingerprints is split by one more byte, then into blocks of about so many.
+HOT = 1 << 13
 
 
 def fingerprint(text: str | None, width: int = 4) -> int:
@@ -102,7 +104,7 @@ def _links(positions: list[tuple[int, ...]], max_bits: int):
             keep = tally >= 8 - max_bits
             left, x, same = left[keep], x[keep], same[keep]
             mask = np.packbits(same, axis=1, bitorder="little")[:, 0] if len(left) else np.zeros(0, np.uint8)
-            ok = (agree[mask] == key[left] >> 24) & (np.bitwise_count(x.view(np.uint64)) <= max_bits)
+            ok = (agree[mask] == key[left] >> 24 & 255) & (np.bitwise_count(x.view(np.uint64)) <= max_bits)
             for i in left[ok].tolist():  # a spanning forest of the links is enough, so the output is linear
                 p, q = top(i), top(i + gap)
                 if p != q:
@@ -132,7 +134,42 @@ def _links(positions: list[tuple[int, ...]], max_bits: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, width: int = 4, max_bits: int = 4) -> DataFrame:
+def _code(*parts):
+    """A key of its own for the values of the parts, of which the first is a key: its tuple's number stays in place. Equal
+    codes of different values would only have more pairs verified."""
+    place = F.lit(255 << 24).cast("long")
+    return F.xxhash64(*parts).bitwiseAND(F.bitwise_not(place)).bitwiseOR(parts[0].bitwiseAND(place))
+
+
+def _split(postings: DataFrame, positions: list[tuple[int, ...]], max_bits: int, hot: int) -> DataFrame:
+    """postings (key, fp, root) with no key of much more than hot fingerprints. Linked fingerprints share 8 - max_bits
+    bytes, so if that is more than a key's own, the pairs of a large key share one more byte: its postings get a key for
+    each other position and byte. A key that is still large is cut into blocks by hash, with a key for each two blocks."""
+
+    def large(x: DataFrame) -> DataFrame:
+        n = x.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > hot)
+        return saved(n.select(F.col("key").alias("large"), F.ceil(F.col("n") / F.lit(hot)).alias("m")), "hot-keys")
+
+    first = large(postings)
+    if first.isEmpty():
+        return postings
+    cold = postings.join(first, F.col("key") == F.col("large"), "left_anti")
+    x = postings.join(first, F.col("key") == F.col("large"))
+    if 8 - max_bits > len(positions[0]):
+        tuples = F.array(*(F.array(*(F.lit(p in t) for p in range(8))) for t in positions))
+        own = F.element_at(tuples, (F.shiftright("key", 24).bitwiseAND(F.lit(255)) + 1).cast("int"))
+        byte = lambda p: F.shiftrightunsigned("fp", 8 * p).bitwiseAND(F.lit(255))
+        codes = F.array(*(F.when(~own[p], _code(F.col("key"), F.lit(p), byte(p))) for p in range(8)))
+        x = saved(x.select(F.explode(F.filter(codes, lambda c: c.isNotNull())).alias("key"), "fp", "root"), "split")
+        second = large(x)
+        cold = cold.union(x.join(second, F.col("key") == F.col("large"), "left_anti"))
+        x = x.join(second, F.col("key") == F.col("large"))
+    block = F.pmod(F.xxhash64("fp"), F.col("m"))
+    x = x.select("key", "fp", "root", "m", block.alias("b")).select("key", "fp", "root", "b", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1)).alias("c"))
+    return cold.union(x.select(_code(F.col("key"), F.least("b", "c"), F.greatest("b", "c")).alias("key"), "fp", "root"))
+
+
+def near_duplicates(docs: DataFrame, width: int = 4, max_bits: int = 4, hot: int = HOT) -> DataFrame:
     """(doc_id, fingerprint, component_id): documents linked, directly or through others, by fingerprints that differ in
     at most max_bits bits; component_id is the smallest doc_id of the group.
 
@@ -140,7 +177,8 @@ def near_duplicates(docs: DataFrame, width: int = 4, max_bits: int = 4) -> DataF
     least 8 - max_bits postings, so intersections of posting lists at a few sets of positions meet every such pair; the
     shared positional bytes of a met pair are tallied, pairs under the guaranteed minimum dropped, and the rest verified
     by their bits. Copies are one entry of the index, so a large group of copies costs nothing; a large intersection
-    gives a spanning forest of its links, never all pairs.
+    gives a spanning forest of its links, never all pairs. A key of more than hot fingerprints is split over tasks by one
+    more byte that its links share, and by pairs of blocks if that isn't enough; no link is lost.
 
     Null text is empty; texts without words have fingerprint 0 and link like others. Rows with a null doc_id keep a
     fingerprint and join by it. Repeated rows stay. No rows give no rows. Other columns are ignored.
@@ -157,7 +195,7 @@ def near_duplicates(docs: DataFrame, width: int = 4, max_bits: int = 4) -> DataF
 
     index = saved(index, "index")
     postings = index.where(F.col("root").isNotNull()).select(F.explode(F.array(*(key(k, p) for k, p in enumerate(positions)))).alias("key"), "fp", "root")
-    links = postings.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(_links(positions, max_bits), "a long, b long")
+    links = _split(postings, positions, max_bits, hot).repartition("key").sortWithinPartitions("key", "fp").mapInArrow(_links(positions, max_bits), "a long, b long")
     groups = connected_components(links)
     named = index.join(groups.hint("shuffle_merge"), F.col("root") == F.col("node"), "left").select(F.col("fp").alias("of"), F.coalesce("component", "root").alias("component_id"))
     return fps.join(named.hint("shuffle_merge"), F.col("fp").bitwiseXOR(F.lit(0)) == F.col("of").bitwiseXOR(F.lit(0)), "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

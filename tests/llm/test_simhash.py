@@ -121,3 +121,30 @@ def test_saved_tables_can_be_deleted(spark):
     assert os.listdir(folder)
     common.clean(spark)
     assert not os.path.exists(folder)
+
+
+def test_hot_keys_are_split_without_losing_links(spark):
+    from pyspark.sql import functions as F
+
+    r = np.random.default_rng(6)
+    top = 0x1122334400000000
+    fps = {top | int(x) for x in r.integers(0, 2**32, 150)}  # agree in four bytes: hot keys even with one more byte
+    fps |= {f ^ 1 << int(a) ^ 1 << int(b) ^ (1 << int(c)) for f in sorted(fps)[:60] for a, b, c in r.integers(0, 63, (3, 3))}
+    fps |= {0x55AA660000000000 | int(x) for x in r.integers(0, 2**40, 80)} | {int(x) for x in r.integers(0, 2**63, 80)}
+    fps = sorted(fps)
+    df = spark.createDataFrame([(f, i) for i, f in enumerate(fps)], "fp long, root long")
+    want = classes(list(range(len(fps))), fps)
+    assert len(set(want.values())) < len(fps) - 50
+    for bits in (4, 5):  # a key shares one more byte of its links, or none
+        positions = simhash.key_positions(bits)
+        code = lambda k, p: F.lit(k << 24).bitwiseOR(sum(((F.shiftrightunsigned("fp", 8 * x).bitwiseAND(F.lit(255))) * (1 << 8 * (2 - i)) for i, x in enumerate(p)), F.lit(0)))
+        postings = df.select(F.explode(F.array(*(code(k, p).cast("long") for k, p in enumerate(positions)))).alias("key"), "fp", "root")
+        split = simhash._split(postings, positions, bits, 10)
+        assert postings.groupBy("key").count().agg(F.max("count")).first()[0] > 150
+        assert split.groupBy("key").count().agg(F.max("count")).first()[0] <= 40
+        links = split.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(simhash._links(positions, bits), "a long, b long")
+        got = {x.node: x.component for x in connected_components(links).collect()}
+        assert {i: got.get(i, i) for i in want} == classes(list(range(len(fps))), fps, bits)
+    texts = corpus()
+    a, b = (sorted(map(tuple, simhash.near_duplicates(docs(spark), hot=h).collect())) for h in (1, simhash.HOT))
+    assert a == b and len(a) == len(texts)
