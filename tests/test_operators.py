@@ -154,6 +154,24 @@ def test_curve_ends_at_one(spark):
     assert all(abs(last[c] - 1) < 1e-9 for c in last.asDict() if c.startswith("traced_"))
 
 
+def test_curves_have_all_bodies(spark):
+    """More bodies than the command's default stop: without one no rank is left out."""
+    n = 1_000_003
+    points = spark.range(n).select(F.col("id").alias("point_id"), F.col("id").alias("body"), F.lit("PreSyn").alias("kind"), F.lit("A").alias("roi"))
+    ann, syn = points.select("body", F.lit(5).alias("status_rank")), spark.createDataFrame([(1, 2, 1, n - 1, "A")], "pre_id long, post_id long, body_pre long, body_post long, roi string")
+    for curve in (reports.completeness(points, syn, ann), reports.forecast(points, syn, ann, {"all": []})):
+        assert curve.agg(F.count("*"), F.max("rnk"), F.max("traced_conn_frac")).first()[:] == (n, n, 1.0)
+
+
+def test_rounding_is_that_of_sql(spark):
+    import duckdb
+
+    for k in (6_000_000, 36_000_000):
+        got = spark.range(k // 60).select(scalars.rounded(F.col("id") / k, 6).alias("x")).collect()
+        want = duckdb.connect().execute(f"SELECT round(i / {k}, 6) FROM range({k // 60}) t(i) ORDER BY i").fetchall()
+        assert [r.x for r in got] == [w[0] for w in want]
+
+
 def test_snapshot_command(spark, tmp_path):
     syn = adapter.partners(spark, FOLDER)
     adapter.points(syn).write.parquet(f"{tmp_path}/points")
