@@ -163,6 +163,16 @@ def test_curves_have_all_bodies(spark):
         assert curve.agg(F.count("*"), F.max("rnk"), F.max("traced_conn_frac")).first()[:] == (n, n, 1.0)
 
 
+def test_in_bounds_takes_all_connections(spark):
+    """Against brute force, without a limit on confidence."""
+    from axonlake.queries import QUERIES
+
+    syn = adapter.partners(spark, FOLDER).collect()
+    bodies = {b for r in syn if r.primary_roi in ("NATION_3", "NATION_7") for b in (r.body_pre, r.body_post)}
+    want = {(r.pre_id, r.post_id) for r in syn if r.body_pre in bodies or r.body_post in bodies}
+    assert {tuple(r) for r in QUERIES["f08_in_bounds"](spark, FOLDER).collect()} == want
+
+
 def test_rounding_is_that_of_sql(spark):
     import duckdb
 
