@@ -145,3 +145,12 @@ def test_modes_and_empty_reports(spark):
     with pytest.raises(ValueError):
         reports.forecast(points, partners, ann, spec, "roi", "some")
     assert reports.forecast(points.where("false"), partners.where("false"), ann, spec).count() == 0
+
+
+def test_batch_queries_read_the_tables_once(spark):
+    """Names are saved: what groups them and what joins them doesn't shuffle connections twice."""
+    from axonlake import queries_more  # noqa: F401  registers them
+    from axonlake.queries import QUERIES
+
+    for name in ("w07_batches", "snk02_batch_flags"):
+        assert not [f for f in QUERIES[name](spark, "/root/testdata/sf0.001").inputFiles() if "lineitem" in f]
