@@ -20,8 +20,10 @@ OPEN, MID, CLOSE = "\x01", "\x02", "\x04"
 ALPHABETS = {"hex": "0123456789abcdef", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"}
 #: Length classes; parts of an alphabet whose shares are tested; steps of a p-value's logarithm between 1e-12 and 1.
 CLASSES, PARTS, STEPS = 50, 8, 120
-#: Lengths of the natural runs that texts give, one for each encoding, and the characters that they are taken from.
-NATURAL, REACH = (20, 24, 28, 34, 40, 48, 64, 96), 1500
+#: Lengths of the natural runs that texts are cut into; the least is that of candidate runs.
+NATURAL = (20, 24, 28, 34, 40, 48, 64, 96)
+#: Names of the parts; of an alphabet's halves.
+PART, HALF = "abcdefgh", "LH"
 #: Length classes below a run's own whose natural runs it is compared with.
 NEAR = 2
 #: Matches whose places are added up at once.
@@ -79,13 +81,15 @@ def _normal_tail(z: Column) -> Column:
     return 1 / (1 + F.exp(1.5976 * z + 0.070566 * z * z * z))
 
 
-def _with(runs: Column, keep: tuple[str, ...], **fields) -> Column:
-    """The array of structs with the fields in keep and more, each a function of the struct."""
+def _with(runs: Column | DataFrame, keep: tuple[str, ...], **fields):
+    """The array of structs (or the table of rows) with the fields in keep and more, each a function of the struct (row)."""
+    if isinstance(runs, DataFrame):
+        return runs.select(*keep, *(f(runs).alias(n) for n, f in fields.items()))
     return F.transform(runs, lambda r: F.struct(*(r[n].alias(n) for n in keep), *(f(r).alias(n) for n, f in fields.items())))
 
 
-def _sum(pairs: Column, f) -> Column:
-    return F.aggregate(pairs, F.lit(0.0), lambda s, x: s + f(x).cast("double"))
+def _sum(numbers: Column, f=lambda x: x) -> Column:
+    return F.aggregate(numbers, F.lit(0).cast("long"), lambda s, x: s + f(x)).cast("double")
 
 
 def _pick(r: Column, values: dict) -> Column:
@@ -106,59 +110,66 @@ def encoded(runs: Column) -> Column:
     return F.filter(_with(x, ("start", "k", "end", "v"), encoding=encoding), lambda r: r["encoding"].isNotNull())
 
 
-def natural(text: Column) -> Column:
-    """What a text's own words look like in each encoding, as a run (v, encoding) of each: the words from a place that a
-    hash of the text chooses, capitalised (base64), in capitals (base32) or small (hex), their letters and digits that the
-    encoding has, one after the other, as many as one of the NATURAL lengths, which the hash chooses too. Candidate runs
-    are left out."""
-    return _let(text, _natural)
-
-
-def _natural(text: Column) -> Column:
-    h = F.xxhash64(text)
-    at = 1 + F.pmod(h, F.greatest(F.length(text) - REACH, F.lit(1)))
-    n = F.element_at(F.array(*map(F.lit, NATURAL)), (F.pmod(F.shiftrightunsigned(h, 32), F.lit(len(NATURAL))) + 1).cast("int"))
-    return _let(F.regexp_replace(F.substring(text, at.cast("int"), F.lit(REACH)), F.lit(CANDIDATE), F.lit(" ")), lambda words: _pieces(words, n))
-
-
-def _pieces(words: Column, n: Column) -> Column:
-    runs = []
-    for name, x, others in (("base64", F.initcap(words), "[^A-Za-z0-9]"), ("base32", F.upper(words), "[^A-Z2-7]"), ("hex", F.lower(words), "[^0-9a-f]")):
-        runs.append(F.struct(F.substring(F.regexp_replace(x, others, ""), F.lit(1), n).alias("v"), F.lit(name).alias("encoding"), n.alias("n")))
-    return F.filter(F.array(*runs), lambda r: F.length(r["v"]) == r["n"])
-
-
-def battery(runs: Column, keep: tuple[str, ...] = ()) -> Column:
-    """Runs (v, encoding) as (encoding, length_class, bin) with the fields in keep. bin is the place of the p-value on a grid
-    of STEPS logarithmic steps. The tested hypothesis is independent uniform characters: chi-squared uniformity over PARTS
-    parts of the alphabet (Wilson-Hilferty), the number of runs above and below the alphabet's middle, lag-1 serial
-    correlation of the characters' ranks (both normal, two-sided), combined by Bonferroni. Everything is a function of one
-    array column, so no row is exploded or shuffled."""
+def natural(docs: DataFrame) -> DataFrame:
+    """What the texts' own words look like in each encoding, as runs (v, encoding): all words of all texts, capitalised
+    (base64), in capitals (base32) or small (hex), their letters and digits that the encoding has, one after the other,
+    cut into runs of the NATURAL lengths in turn; a hash of the text chooses the length that comes first. A text's last
+    run may be shorter, if a candidate can be as short. Candidate runs are left out."""
+    x = docs.select(_text().alias("t")).select(F.regexp_replace("t", F.lit(CANDIDATE), F.lit(" ")).alias("w"), F.pmod(F.xxhash64("t"), F.lit(len(NATURAL))).cast("int").alias("turn"))
+    forms = (("base64", F.initcap("w"), "[^A-Za-z0-9]+"), ("base32", F.upper("w"), "[^A-Z2-7]+"), ("hex", F.lower("w"), "[^0-9a-f]+"))
+    x = x.select("turn", F.explode(F.array(*(F.struct(F.lit(name).alias("encoding"), F.regexp_replace(w, others, "").alias("s")) for name, w, others in forms))).alias("r"))
+    x = x.select("turn", "r.encoding", F.explode(F.regexp_extract_all("r.s", F.lit(f".{{1,{sum(NATURAL)}}}"), F.lit(0))).alias("s"))
+    turns = [NATURAL[k:] + NATURAL[:k] for k in range(len(NATURAL))]
+    places = F.array(*(F.array(*(F.struct(F.lit(1 + sum(t[:k])).alias("at"), F.lit(n).alias("n")) for k, n in enumerate(t))) for t in turns))
+    x = x.select("encoding", F.explode(F.transform(places[F.col("turn")], lambda c: F.substring(F.col("s"), c["at"], c["n"]))).alias("v"))
+    return x.where(F.length("v") >= NATURAL[0])
+
+
+def _in_letters(r, letters: dict[str, str]) -> Column:
+    """A run's characters, each replaced by the letter at its rank."""
+    to = {n: F.translate(r["cased"], ALPHABETS[n], letters[n]) for n in ALPHABETS}
+    return F.when(r["encoding"] == "hex", to["hex"]).when(r["encoding"] == "base32", to["base32"]).otherwise(to["base64"])
+
+
+def battery(runs: Column | DataFrame, keep: tuple[str, ...] = ()):
+    """Runs (v, encoding), an array of structs or a table, as (encoding, length_class, bin) with the fields in keep. bin is
+    the place of the p-value on a grid of STEPS logarithmic steps. The tested hypothesis is independent uniform characters:
+    chi-squared uniformity over PARTS parts of the alphabet (Wilson-Hilferty), the number of runs above and below the
+    alphabet's middle, lag-1 serial correlation of the characters' ranks (both normal, two-sided), combined by Bonferroni.
+    Everything is a function of one array column or row, so nothing is shuffled."""
     size = {n: len(a) for n, a in ALPHABETS.items()}
-    parts = {n: [sum(r * PARTS // a == b for r in range(a)) / a for b in range(PARTS)] for n, a in size.items()}
+    parts = {n: "".join(PART[r * PARTS // a] for r in range(a)) for n, a in size.items()}
+    halves = {n: "".join(HALF[2 * r >= a] for r in range(a)) for n, a in size.items()}
     cased = lambda r: F.when(r["encoding"] == "hex", F.lower(r["v"])).otherwise(r["v"])
-    x = _with(runs, (*keep, "encoding", "v"), alphabet=lambda r: _pick(r, ALPHABETS), cased=cased)
-    ranks = lambda r: F.transform(F.filter(F.split(r["cased"], ""), lambda c: c != ""), lambda c: F.call_function("instr", r["alphabet"], c) - 1)
-    x = _with(x, (*keep, "encoding"), ranks=ranks, a=lambda r: _pick(r, size), length_class=lambda r: F.least(F.floor(F.log2(F.length(r["v"]).cast("double")) * 4), F.lit(CLASSES)).cast("int"))
-    steps = lambda r: F.arrays_zip(F.slice(r["ranks"], 1, F.size(r["ranks"]) - 1).alias("p"), F.slice(r["ranks"], 2, F.size(r["ranks"]) - 1).alias("q"))
-    share = lambda r: _pick(r, {n: p for n, p in parts.items()})
-    held = lambda r, b: F.size(F.filter(r["parts"], lambda y: y == b)).cast("double")
-    x = _with(x, (*keep, "encoding", "length_class", "a", "ranks"), parts=lambda r: F.transform(r["ranks"], lambda y: F.floor(y * PARTS / r["a"])), share=share)
+    x = _with(runs, (*keep, "encoding"), alphabet=lambda r: _pick(r, ALPHABETS), cased=cased)
+    x = _with(
+        x,
+        (*keep, "encoding"),
+        length_class=lambda r: F.least(F.floor(F.log2(F.length(r["cased"]).cast("double")) * 4), F.lit(CLASSES)).cast("int"),
+        n=lambda r: F.length(r["cased"]).cast("double"),
+        ranks=lambda r: F.transform(F.split(r["cased"], ""), lambda c: F.call_function("instr", r["alphabet"], c) - 1),
+        parts=lambda r: _in_letters(r, parts),
+        halves=lambda r: _in_letters(r, halves),
+    )
+    without = lambda r, c, what: F.length(F.replace(r[c], F.lit(what), F.lit("")))
+    share = lambda r, p: _pick(r, {n: parts[n].count(p) / a for n, a in size.items()})
+    from_to = lambda r, a, b: F.slice(r["ranks"], a, F.size(r["ranks"]) + b)
     x = _with(
         x,
-        (*keep, "encoding", "length_class", "a", "ranks"),
-        n=lambda r: F.size(r["ranks"]).cast("double"),
-        mean=lambda r: _sum(r["ranks"], lambda y: y) / F.size(r["ranks"]),
-        chi=lambda r: F.aggregate(F.sequence(F.lit(0), F.lit(PARTS - 1)), F.lit(0.0), lambda s, b: s + F.pow(held(r, b), F.lit(2.0)) / F.element_at(r["share"], b + 1)) / F.size(r["ranks"]) - F.size(r["ranks"]),
-        high=lambda r: F.size(F.filter(r["ranks"], lambda y: 2 * y >= r["a"])).cast("double"),
-        changes=lambda r: _sum(steps(r), lambda t: (2 * t["p"] >= r["a"]) != (2 * t["q"] >= r["a"])),
-        steps=steps,
+        (*keep, "encoding", "length_class", "n"),
+        chi=lambda r: sum((F.pow(r["n"] - without(r, "parts", p), F.lit(2.0)) / share(r, p) for p in PART), F.lit(0.0)) / r["n"] - r["n"],
+        high=lambda r: r["n"] - without(r, "halves", HALF[1]),
+        changes=lambda r: r["n"] - (without(r, "halves", HALF) + without(r, "halves", HALF[::-1])) / 2,
+        total=lambda r: _sum(r["ranks"]),
+        squares=lambda r: _sum(r["ranks"], lambda y: y * y),
+        products=lambda r: _sum(F.zip_with(from_to(r, 1, -1), from_to(r, 2, -1), lambda p, q: p * q)),
+        ends=lambda r: (r["ranks"][0] + F.element_at(r["ranks"], -1)).cast("double"),
     )
     x = _with(
         x,
         (*keep, "encoding", "length_class", "n", "chi", "changes"),
-        var=lambda r: _sum(r["ranks"], lambda y: (y - r["mean"]) * (y - r["mean"])),
-        cov=lambda r: _sum(r["steps"], lambda t: (t["p"] - r["mean"]) * (t["q"] - r["mean"])),
+        var=lambda r: r["squares"] - r["total"] * r["total"] / r["n"],
+        cov=lambda r: r["products"] - r["total"] / r["n"] * (2 * r["total"] - r["ends"] - r["total"] / r["n"] * (r["n"] - 1)),
         expected=lambda r: 2 * r["high"] * (r["n"] - r["high"]) / r["n"] + 1,
     )
     df = PARTS - 1
@@ -195,18 +206,19 @@ def scan(docs: DataFrame, q: float = 0.05, keep: list[str] | None = None, column
     Kinds assign, access and hex are the fixed patterns. Kind random are runs of 20 characters and more, outside the base
     spans, that have an encoding and look more random than natural text does: at most a share q of those found is expected
     to be natural, among runs of like length over the whole table. The battery is evaluated once for each run; its results
-    are saved with the kept columns. Each text gives a fixed number of natural runs to compare with; a table without
-    natural text has no kind random.
+    are saved with the kept columns. The natural runs to compare with are all words of all texts, which are read once more
+    for them and counted by bin; a table without natural text has no kind random.
 
     Null text has no spans; rows, repeated ones too, keep their number; an empty table stays empty; other columns pass
     through (one named like column is replaced). At most encodings x CLASSES thresholds come to the driver.
     """
     names = [c for c in (docs.columns if keep is None else keep) if c.lower() != column.lower()]
-    base, runs, nulls = fresh(docs, "_base", "_runs", "_nulls")
+    base, runs = fresh(docs, "_base", "_runs")
     slim = lambda a: F.transform(a, lambda r: F.struct(r["start"].alias("start"), r["k"].alias("k"), r["end"].alias("end")))
     found = battery(encoded(_spans(_text(), CANDIDATE, "random")), ("start", "k", "end"))
-    x = saved(docs.select(*(F.col(f"`{c}`") for c in names), slim(base_spans()).alias(base), found.alias(runs), battery(natural(_text())).alias(nulls)), "tested")
-    cuts = thresholds(*(x.select(F.explode(c).alias("r")).select("r.*") for c in (runs, nulls)), q).collect()
+    x = saved(docs.select(*(F.col(f"`{c}`") for c in names), slim(base_spans()).alias(base), found.alias(runs)), "tested")
+    nulls = battery(natural(x if "text" in names else docs))
+    cuts = thresholds(x.select(F.explode(runs).alias("r")).select("r.*"), nulls, q).collect()
     of = F.create_map(*(F.lit(y) for r in cuts for y in (f"{r['encoding']}{r['length_class']}", r["cut"]))) if cuts else None
     cut = lambda r: F.coalesce(F.element_at(of, F.concat(r["encoding"], r["length_class"].cast("string"))), F.lit(STEPS + 1)) if cuts else F.lit(STEPS + 1)
     clear = lambda r: ~F.exists(base, lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"]))

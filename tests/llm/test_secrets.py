@@ -105,3 +105,13 @@ def test_redaction_and_empty(spark):
     y = secrets.redacted(docs(spark, ["a password=hunter22 b"]).selectExpr("*", "1 AS _base", "2 AS _runs", "3 AS _spans", "4 AS `a.b`"))
     assert tuple(y.first())[-4:] == (1, 2, 3, 4) and y.columns[-1] == "a.b"
     assert secrets.scan(docs(spark, [])).collect() == []
+
+
+def test_natural_runs_are_all_words_of_a_text(spark):
+    text = prose(random.Random(4), 900) + " Zq7xW9 zebra 2345"
+    assert len(text) > 4000
+    got = secrets.natural(docs(spark, [text])).collect()
+    for name, form, others in (("base64", str.title, "[^A-Za-z0-9]"), ("base32", str.upper, "[^A-Z2-7]"), ("hex", str.lower, "[^0-9a-f]")):
+        want, runs = re.sub(others, "", form(text)), [r.v for r in got if r.encoding == name]
+        assert want.lower().startswith("".join(runs).lower()) and len(want) - sum(map(len, runs)) < 20
+        assert all(len(v) in secrets.NATURAL for v in runs[:-1]) and len({len(v) for v in runs}) > 7
