@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import annotations, stats
-from ..sources import versions
+from ..sources import shared, versions
 
 
 def of_bodies(points: DataFrame, partners: DataFrame, bodies: DataFrame) -> DataFrame:
@@ -26,7 +26,7 @@ def body_counts(spark: SparkSession, path: str, points: DataFrame, partners: Dat
     m = versions.manifest(spark, path)
     if m.source.get("mutation", -1) >= upto:
         return m
-    stale = annotations.stale(changes, m.source.get("mutation", -1), upto).select(F.col("body").cast("long").alias("body"))
+    stale = shared.saved(annotations.stale(changes, m.source.get("mutation", -1), upto).select(F.col("body").cast("long").alias("body")), "stale")
     return versions.refresh(spark, path, stale, of_bodies(points, partners, stale), {"mutation": upto})
 
 

@@ -25,11 +25,13 @@ CUT = "2001-07-20"
 
 def _refreshed(w):
     """Path of body counts that were built before the cut and refreshed with the bodies of later orders."""
-    syn = w.syn.join(w.table("orders").select((F.col("o_orderkey") * 64).alias("pre_id"), (F.col("o_orderdate") >= CUT).alias("late")), "pre_id")
+    partners = shared.saved(w.syn.select("pre_id", "body_pre", "body_post", "compartment_pre"), "partners")  # what counts need
+    late = w.table("orders").select((F.col("o_orderkey") * 64).alias("pre_id"), (F.col("o_orderdate") >= CUT).alias("late"))
+    syn = shared.saved(partners.join(late, "pre_id"), "dated")
     old, path = syn.where("NOT late").drop("late"), f"{_folder(w)}/counts"
     changes = syn.where("late").select(F.lit(2).alias("version"), F.col("body_pre").alias("changed"), F.col("body_post").alias("created"))
-    refresh.body_counts(w.spark, path, adapter.points(old), old, changes, 1, rows_a_range=1000)
-    refresh.body_counts(w.spark, path, *w.both, changes, 2)
+    refresh.body_counts(w.spark, path, adapter.ends(old), old, changes, 1, rows_a_range=1000)
+    refresh.body_counts(w.spark, path, adapter.ends(partners), partners, changes, 2)
     return path
 
 

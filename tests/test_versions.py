@@ -102,3 +102,20 @@ def test_sizes_keep_what_was_not_fetched(spark, tmp_path):
     refresh.sizes(spark, path, frame({1: 10, 2: 20, 3: 30}))
     refresh.sizes(spark, path, frame({2: 21, 4: 40, 3: 31}), spark.createDataFrame([(1,), (2,), (4,)], "body long"))
     assert rows(versions.read(spark, path)) == [(1, 10), (2, 21), (3, 30), (4, 40)]
+
+
+def test_changes_of_a_refresh_are_computed_once(spark, tmp_path):
+    path, seen = str(tmp_path / "once"), spark.sparkContext.accumulator(0)
+    points = spark.createDataFrame([(5, "PreSyn"), (6, "PostSyn"), (9, "PostSyn")], "body long, kind string")
+    partners = spark.createDataFrame([(5, 6), (5, 9)], "body_pre long, body_post long")
+
+    def told(body):
+        seen.add(1)
+        return body
+
+    changes = spark.createDataFrame([(2, 5, 6)], "version int, changed long, created long")
+    changes = changes.withColumn("changed", F.udf(told, "long").asNondeterministic()("changed"))
+    refresh.body_counts(spark, path, points, partners, changes, 1)
+    refresh.body_counts(spark, path, points, partners, changes, 2)
+    assert seen.value == 1
+    assert {tuple(r) for r in versions.read(spark, path).collect()} == {(5, 1, 0, 2, 0, 2), (6, 0, 1, 0, 1, 1), (9, 0, 1, 0, 1, 1)}
