@@ -18,12 +18,16 @@ KINDS = ("assign", "access", "hex", "random")
 OPEN, MID, CLOSE = "\x01", "\x02", "\x04"
 #: The encodings' characters by rank.
 ALPHABETS = {"hex": "0123456789abcdef", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"}
+#: For each ASCII character its rank in an encoding, with what a run's sums take from it: rank, rank << 6, its square << 21.
+CODES = {n: [(1 + (1 << 6)) * r + (r * r << 21) for r in (max(0, a.find(chr(c))) for c in range(128))] for n, a in ALPHABETS.items()}
+#: Characters of a run whose sums of ranks, squares and products have room in one number.
+SHORT = 500
 #: Length classes; parts of an alphabet whose shares are tested; steps of a p-value's logarithm between 1e-12 and 1.
 CLASSES, PARTS, STEPS = 50, 8, 120
 #: Lengths of the natural runs that texts are cut into; the least is that of candidate runs.
 NATURAL = (20, 24, 28, 34, 40, 48, 64, 96)
-#: Names of the parts; of an alphabet's halves.
-PART, HALF = "abcdefgh", "LH"
+#: Names of the parts; the first four are the lower half of an alphabet.
+PART, LOW = "abcdefgh", "abcd"
 #: Length classes below a run's own whose natural runs it is compared with.
 NEAR = 2
 #: Matches whose places are added up at once.
@@ -116,9 +120,11 @@ def natural(docs: DataFrame) -> DataFrame:
     cut into runs of the NATURAL lengths in turn; a hash of the text chooses the length that comes first. A text's last
     run may be shorter, if a candidate can be as short. Candidate runs are left out."""
     x = docs.select(_text().alias("t")).select(F.regexp_replace("t", F.lit(CANDIDATE), F.lit(" ")).alias("w"), F.pmod(F.xxhash64("t"), F.lit(len(NATURAL))).cast("int").alias("turn"))
-    forms = (("base64", F.initcap("w"), "[^A-Za-z0-9]+"), ("base32", F.upper("w"), "[^A-Z2-7]+"), ("hex", F.lower("w"), "[^0-9a-f]+"))
-    x = x.select("turn", F.explode(F.array(*(F.struct(F.lit(name).alias("encoding"), F.regexp_replace(w, others, "").alias("s")) for name, w, others in forms))).alias("r"))
-    x = x.select("turn", "r.encoding", F.explode(F.regexp_extract_all("r.s", F.lit(f".{{1,{sum(NATURAL)}}}"), F.lit(0))).alias("s"))
+    forms = (("base64", F.initcap("w"), "[A-Za-z0-9]+"), ("base32", F.upper("w"), "[A-Z2-7]+"), ("hex", F.lower("w"), "[0-9a-f]+"))
+    only = lambda w, chars: F.array_join(F.regexp_extract_all(w, F.lit(chars), F.lit(0)), "")  # noqa: E731  what to leave out, as a pattern, is far slower
+    pieces = lambda s: F.regexp_extract_all(s, F.lit(f".{{1,{sum(NATURAL)}}}"), F.lit(0))
+    x = x.select("turn", F.explode(F.array(*(F.struct(F.lit(name).alias("encoding"), pieces(only(w, chars)).alias("pieces")) for name, w, chars in forms))).alias("r"))
+    x = x.select("turn", F.col("r.encoding").alias("encoding"), F.col("r.pieces").alias("pieces")).select("turn", "encoding", F.explode("pieces").alias("s"))
     turns = [NATURAL[k:] + NATURAL[:k] for k in range(len(NATURAL))]
     places = F.array(*(F.array(*(F.struct(F.lit(1 + sum(t[:k])).alias("at"), F.lit(n).alias("n")) for k, n in enumerate(t))) for t in turns))
     x = x.select("encoding", F.explode(F.transform(places[F.col("turn")], lambda c: F.substring(F.col("s"), c["at"], c["n"]))).alias("v"))
@@ -139,31 +145,40 @@ def battery(runs: Column | DataFrame, keep: tuple[str, ...] = ()):
     Everything is a function of one array column or row, so nothing is shuffled."""
     size = {n: len(a) for n, a in ALPHABETS.items()}
     parts = {n: "".join(PART[r * PARTS // a] for r in range(a)) for n, a in size.items()}
-    halves = {n: "".join(HALF[2 * r >= a] for r in range(a)) for n, a in size.items()}
     cased = lambda r: F.when(r["encoding"] == "hex", F.lower(r["v"])).otherwise(r["v"])
-    x = _with(runs, (*keep, "encoding"), alphabet=lambda r: _pick(r, ALPHABETS), cased=cased)
+    x = _with(runs, (*keep, "encoding"), codes=lambda r: _pick(r, CODES), cased=cased)
     x = _with(
         x,
         (*keep, "encoding"),
         length_class=lambda r: F.least(F.floor(F.log2(F.length(r["cased"]).cast("double")) * 4), F.lit(CLASSES)).cast("int"),
         n=lambda r: F.length(r["cased"]).cast("double"),
-        ranks=lambda r: F.transform(F.split(r["cased"], ""), lambda c: F.call_function("instr", r["alphabet"], c) - 1),
+        codes=lambda r: F.transform(F.split(r["cased"], ""), lambda c: r["codes"][F.ascii(c)]),
         parts=lambda r: _in_letters(r, parts),
-        halves=lambda r: _in_letters(r, halves),
     )
-    without = lambda r, c, what: F.length(F.replace(r[c], F.lit(what), F.lit("")))
+    # The last rank, the sums of ranks and of their squares, and that of neighbours' products, in one number of 6, 15, 21 and 21 bits.
+    rank = lambda c: c.bitwiseAND(63)
+    folded = lambda s, c: s + c + rank(s) * (F.shiftleft(rank(c), 42) - 1)
+    count = lambda r, p: r["n"] - F.length(F.replace(r["parts"], F.lit(p), F.lit("")))
+    x = _with(
+        x,
+        (*keep, "encoding", "length_class", "n", "codes", "parts"),
+        sums=lambda r: F.when(r["n"] <= SHORT, F.aggregate(r["codes"], F.lit(0).cast("long"), folded)),
+        **{p: (lambda r, p=p: count(r, p)) for p in PART},
+    )
+    low = lambda r, at: F.when(F.substring(r["parts"], at, 1) <= LOW[-1], 1).otherwise(0)
+    part_of = lambda r, at, bits, long: F.when(r["n"] <= SHORT, F.shiftright(r["sums"], at).bitwiseAND((1 << bits) - 1).cast("double")).otherwise(long)
     share = lambda r, p: _pick(r, {n: parts[n].count(p) / a for n, a in size.items()})
-    from_to = lambda r, a, b: F.slice(r["ranks"], a, F.size(r["ranks"]) + b)
+    from_to = lambda r, a, b: F.slice(r["codes"], a, F.size(r["codes"]) + b)
     x = _with(
         x,
         (*keep, "encoding", "length_class", "n"),
-        chi=lambda r: sum((F.pow(r["n"] - without(r, "parts", p), F.lit(2.0)) / share(r, p) for p in PART), F.lit(0.0)) / r["n"] - r["n"],
-        high=lambda r: r["n"] - without(r, "halves", HALF[1]),
-        changes=lambda r: r["n"] - (without(r, "halves", HALF) + without(r, "halves", HALF[::-1])) / 2,
-        total=lambda r: _sum(r["ranks"]),
-        squares=lambda r: _sum(r["ranks"], lambda y: y * y),
-        products=lambda r: _sum(F.zip_with(from_to(r, 1, -1), from_to(r, 2, -1), lambda p, q: p * q)),
-        ends=lambda r: (r["ranks"][0] + F.element_at(r["ranks"], -1)).cast("double"),
+        chi=lambda r: sum((F.pow(r[p], F.lit(2.0)) / share(r, p) for p in PART), F.lit(0.0)) / r["n"] - r["n"],
+        high=lambda r: sum(r[p] for p in PART if p not in LOW),
+        changes=lambda r: (2 * F.regexp_count(r["parts"], F.lit(f"[{LOW[0]}-{LOW[-1]}]+")) - low(r, 1) - low(r, -1)).cast("double"),
+        total=lambda r: part_of(r, 6, 15, _sum(r["codes"], rank)),
+        squares=lambda r: part_of(r, 21, 21, _sum(r["codes"], lambda c: rank(c) * rank(c))),
+        products=lambda r: part_of(r, 42, 21, _sum(F.zip_with(from_to(r, 1, -1), from_to(r, 2, -1), lambda p, q: rank(p) * rank(q)))),
+        ends=lambda r: (rank(r["codes"][0]) + rank(F.element_at(r["codes"], -1))).cast("double"),
     )
     x = _with(
         x,

@@ -115,3 +115,22 @@ def test_natural_runs_are_all_words_of_a_text(spark):
         want, runs = re.sub(others, "", form(text)), [r.v for r in got if r.encoding == name]
         assert want.lower().startswith("".join(runs).lower()) and len(want) - sum(map(len, runs)) < 20
         assert all(len(v) in secrets.NATURAL for v in runs[:-1]) and len({len(v) for v in runs}) > 7
+
+
+def test_no_piece_of_a_text_carries_the_whole_text(spark):
+    """Each piece that is cut from a text goes on without it, or a long text is copied once for each of its pieces."""
+    plan = secrets.natural(docs(spark, ["some words"]))._jdf.queryExecution().executedPlan().toString()
+    kept = [re.sub(r"#\d+L?", "", line.split("), [")[1].split("]")[0]) for line in plan.splitlines() if "Generate explode(pieces" in line]
+    assert kept == ["turn, encoding"]
+
+
+def test_battery_of_runs_at_the_limit_of_packed_sums(spark):
+    r = random.Random(6)
+    sizes = (secrets.SHORT - 1, secrets.SHORT, secrets.SHORT + 1, 3000)
+    runs = [("".join(r.choice(a) for _ in range(n)), e) for e, a in secrets.ALPHABETS.items() for n in sizes] + [("9" * n, "base64") for n in sizes]
+    runs = [(v, e) for v, e in runs if len(set(v)) > 1] + [("8" + v, e) for v, e in runs if len(set(v)) == 1 and len(v) != secrets.SHORT]
+    x = spark.createDataFrame([(runs,)], "runs array<struct<v:string,encoding:string>>")
+    got = [g.bin for g in x.select(secrets.battery(F.col("runs"))).first()[0]]
+    rows = secrets.battery(spark.createDataFrame(runs, "v string, encoding string")).groupBy("bin").count()
+    assert all(abs(g - slow_bin(v, e)) <= 1 for g, (v, e) in zip(got, runs, strict=True))
+    assert sorted(got) == sorted(b for b, n in rows.collect() for _ in range(n))
