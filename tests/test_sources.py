@@ -113,3 +113,15 @@ def test_volume(spark, tmp_path):
     assert volumes.load(spark, path, {"A": 2}) is None and volumes.load(spark, f"{path}/none", {}) is None
     empty = volumes.cached(spark, f"file://{tmp_path}/e", {}, lambda: v.where("label = 0"))
     assert rows(rois.from_volume(points, volumes.near(*empty, points), "a")) == sorted([(*t, 0) for t in rows(points)], key=str)
+
+
+def test_lines_and_orders_meet_by_pre_id(spark):
+    """Connections are dealt out by pre_id itself, which what comes next by pre_id can use, not by the line's order."""
+    from axonlake.sources import adapter
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = adapter.partners(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(pre_id" in plan and "hashpartitioning(l_orderkey" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
