@@ -22,6 +22,8 @@ ALPHABETS = {"hex": "0123456789abcdef", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234
 CODES = {n: [(1 + (1 << 6)) * r + (r * r << 21) for r in (max(0, a.find(chr(c))) for c in range(128))] for n, a in ALPHABETS.items()}
 #: Characters of a run whose sums of ranks, squares and products have room in one number.
 SHORT = 500
+#: The least p-value that is told apart.
+LEAST_P = 1e-12
 #: Length classes; parts of an alphabet whose shares are tested; steps of a p-value's logarithm between 1e-12 and 1.
 CLASSES, PARTS, STEPS = 50, 8, 120
 #: Lengths of the natural runs that texts are cut into; the least is that of candidate runs.
@@ -137,6 +139,11 @@ def _in_letters(r, letters: dict[str, str]) -> Column:
     return F.when(r["encoding"] == "hex", to["hex"]).when(r["encoding"] == "base32", to["base32"]).otherwise(to["base64"])
 
 
+def _with_codes(r) -> Column:
+    """The ranks of a run's characters as an array."""
+    return _let(_pick(r, CODES), lambda codes: F.transform(F.split(r["cased"], ""), lambda c: codes[F.ascii(c)]))
+
+
 def battery(runs: Column | DataFrame, keep: tuple[str, ...] = ()):
     """Runs (v, encoding), an array of structs or a table, as (encoding, length_class, bin) with the fields in keep. bin is
     the place of the p-value on a grid of STEPS logarithmic steps. The tested hypothesis is independent uniform characters:
@@ -146,35 +153,43 @@ def battery(runs: Column | DataFrame, keep: tuple[str, ...] = ()):
     size = {n: len(a) for n, a in ALPHABETS.items()}
     parts = {n: "".join(PART[r * PARTS // a] for r in range(a)) for n, a in size.items()}
     cased = lambda r: F.when(r["encoding"] == "hex", F.lower(r["v"])).otherwise(r["v"])
-    x = _with(runs, (*keep, "encoding"), codes=lambda r: _pick(r, CODES), cased=cased)
+    x = _with(runs, (*keep, "encoding"), cased=cased)
     x = _with(
         x,
-        (*keep, "encoding"),
+        (*keep, "encoding", "cased"),
         length_class=lambda r: F.least(F.floor(F.log2(F.length(r["cased"]).cast("double")) * 4), F.lit(CLASSES)).cast("int"),
         n=lambda r: F.length(r["cased"]).cast("double"),
-        codes=lambda r: F.transform(F.split(r["cased"], ""), lambda c: r["codes"][F.ascii(c)]),
         parts=lambda r: _in_letters(r, parts),
     )
-    # The last rank, the sums of ranks and of their squares, and that of neighbours' products, in one number of 6, 15, 21 and 21 bits.
-    rank = lambda c: c.bitwiseAND(63)
-    folded = lambda s, c: s + c + rank(s) * (F.shiftleft(rank(c), 42) - 1)
+    keep = (*keep, "encoding", "length_class")
     count = lambda r, p: r["n"] - F.length(F.replace(r["parts"], F.lit(p), F.lit("")))
-    x = _with(
-        x,
-        (*keep, "encoding", "length_class", "n", "codes", "parts"),
-        sums=lambda r: F.when(r["n"] <= SHORT, F.aggregate(r["codes"], F.lit(0).cast("long"), folded)),
-        **{p: (lambda r, p=p: count(r, p)) for p in PART},
-    )
+    x = _with(x, (*keep, "cased", "n", "parts"), **{p: (lambda r, p=p: count(r, p)) for p in PART})
     low = lambda r, at: F.when(F.substring(r["parts"], at, 1) <= LOW[-1], 1).otherwise(0)
-    part_of = lambda r, at, bits, long: F.when(r["n"] <= SHORT, F.shiftright(r["sums"], at).bitwiseAND((1 << bits) - 1).cast("double")).otherwise(long)
     share = lambda r, p: _pick(r, {n: parts[n].count(p) / a for n, a in size.items()})
-    from_to = lambda r, a, b: F.slice(r["codes"], a, F.size(r["codes"]) + b)
     x = _with(
         x,
-        (*keep, "encoding", "length_class", "n"),
-        chi=lambda r: sum((F.pow(r[p], F.lit(2.0)) / share(r, p) for p in PART), F.lit(0.0)) / r["n"] - r["n"],
+        (*keep, "cased", "n"),
+        chi=lambda r: sum((r[p] * r[p] / share(r, p) for p in PART), F.lit(0.0)) / r["n"] - r["n"],
         high=lambda r: sum(r[p] for p in PART if p not in LOW),
         changes=lambda r: (2 * F.regexp_count(r["parts"], F.lit(f"[{LOW[0]}-{LOW[-1]}]+")) - low(r, 1) - low(r, -1)).cast("double"),
+    )
+    x = _with(x, (*keep, "cased", "n", "chi", "changes"), expected=lambda r: 2 * r["high"] * (r["n"] - r["high"]) / r["n"] + 1)
+    df = PARTS - 1
+    z_chi = lambda r: (F.pow(F.greatest(r["chi"], F.lit(0.0)) / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / (2 / (9 * df)) ** 0.5
+    z_runs = lambda r: (r["changes"] + 1 - r["expected"]) / F.sqrt(F.greatest((r["expected"] - 1) * (r["expected"] - 2) / (r["n"] - 1), F.lit(1e-6)))
+    both = lambda z: F.least(F.lit(1.0), 2 * _normal_tail(F.abs(z)))
+    x = _with(x, (*keep, "cased", "n"), p=lambda r: F.least(F.lit(1.0), 3 * F.least(_normal_tail(z_chi(r)), both(z_runs(r)))))
+    # Where these two tests have reached the grid's end the third can't change the bin and is left out.
+    x = _with(x, (*keep, "cased", "n", "p"), codes=lambda r: F.when(r["p"] > LEAST_P, _with_codes(r)))
+    # The last rank, the sums of ranks and of their squares, and that of neighbours' products, in one number of 6, 15, 21 and 21 bits.
+    rank = lambda c: c.bitwiseAND(63)
+    folded = lambda s, c: s + c + rank(s) * (F.shiftleft(rank(c), 42) - 1)
+    x = _with(x, (*keep, "cased", "n", "p", "codes"), sums=lambda r: F.when(r["n"] <= SHORT, F.aggregate(r["codes"], F.lit(0).cast("long"), folded)))
+    part_of = lambda r, at, bits, long: F.when(r["sums"].isNotNull(), F.shiftright(r["sums"], at).bitwiseAND((1 << bits) - 1).cast("double")).otherwise(long)
+    from_to = lambda r, a, b: F.slice(r["codes"], a, F.size(r["codes"]) + b)
+    x = _with(
+        x,
+        (*keep, "n", "p"),
         total=lambda r: part_of(r, 6, 15, _sum(r["codes"], rank)),
         squares=lambda r: part_of(r, 21, 21, _sum(r["codes"], lambda c: rank(c) * rank(c))),
         products=lambda r: part_of(r, 42, 21, _sum(F.zip_with(from_to(r, 1, -1), from_to(r, 2, -1), lambda p, q: rank(p) * rank(q)))),
@@ -182,18 +197,13 @@ def battery(runs: Column | DataFrame, keep: tuple[str, ...] = ()):
     )
     x = _with(
         x,
-        (*keep, "encoding", "length_class", "n", "chi", "changes"),
+        (*keep, "n", "p"),
         var=lambda r: r["squares"] - r["total"] * r["total"] / r["n"],
         cov=lambda r: r["products"] - r["total"] / r["n"] * (2 * r["total"] - r["ends"] - r["total"] / r["n"] * (r["n"] - 1)),
-        expected=lambda r: 2 * r["high"] * (r["n"] - r["high"]) / r["n"] + 1,
     )
-    df = PARTS - 1
-    z_chi = lambda r: (F.pow(F.greatest(r["chi"], F.lit(0.0)) / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / (2 / (9 * df)) ** 0.5
-    z_runs = lambda r: (r["changes"] + 1 - r["expected"]) / F.sqrt(F.greatest((r["expected"] - 1) * (r["expected"] - 2) / (r["n"] - 1), F.lit(1e-6)))
     z_serial = lambda r: (r["cov"] / F.greatest(r["var"], F.lit(1e-9)) + 1 / r["n"]) * F.sqrt(r["n"])
-    both = lambda z: F.least(F.lit(1.0), 2 * _normal_tail(F.abs(z)))
-    p = lambda r: F.least(F.lit(1.0), 3 * F.least(_normal_tail(z_chi(r)), both(z_runs(r)), both(z_serial(r))))
-    return _with(x, (*keep, "encoding", "length_class"), bin=lambda r: F.floor((F.log10(F.greatest(p(r), F.lit(1e-12))) / 12 + 1) * STEPS).cast("int"))
+    p = lambda r: F.when(r["var"].isNull(), r["p"]).otherwise(F.least(r["p"], 3 * both(z_serial(r))))
+    return _with(x, keep, bin=lambda r: F.floor((F.log10(F.greatest(p(r), F.lit(LEAST_P))) / 12 + 1) * STEPS).cast("int"))
 
 
 def thresholds(tested: DataFrame, nulls: DataFrame, q: float = 0.05) -> DataFrame:
