@@ -16,6 +16,8 @@ from .tokens import encoded
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 #: Tokens that are packed together, which bounds what a task holds.
 RUN_TOKENS = 1 << 25
+#: Pieces, and words, whose ids a worker keeps at most, besides a run's ids.
+KNOWN = 200_000
 
 
 class Packer:
@@ -120,7 +122,7 @@ def _pack(path: str, spaced: bool, end: int, size: int):
             return pa.RecordBatch.from_arrays(cols, names)
 
         rows: list[tuple] = []
-        for d, ids in encoded(batches, path, spaced, end):
+        for d, ids in encoded(batches, path, spaced, end, most=KNOWN):
             rows.extend(packer.add(d, ids))
             if packer.held >= RUN_TOKENS:
                 rows.extend(packer.merge())

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -137,3 +138,17 @@ def test_packing_of_documents(spark):
     rows = [tuple(r) for r in packing.packed(docs(spark, texts), public_tokenizers.path("word_bpe_49k.json"), size=256).collect()]
     assert check_packing(rows, {i: [*ids_of("word_bpe_49k.json", t), 2] for i, t in enumerate(texts)}, 256) == 0
     assert packing.packed(docs(spark, []), public_tokenizers.path("word_bpe_49k.json")).collect() == []
+
+
+def test_a_packing_worker_keeps_few_ids(monkeypatch):
+    """The caches of a packing task are bounded by KNOWN, and ids are the same when they are full."""
+    path, texts = public_tokenizers.path("word_bpe_49k.json"), [" ".join(f"w{i}x{k}q" for k in range(40)) for i in range(30)]
+    monkeypatch.setattr(packing, "KNOWN", 50)
+    monkeypatch.setattr(tokens, "_encoders", {})
+    monkeypatch.setattr("pyspark.TaskContext.get", lambda: type("Task", (), {"partitionId": lambda self: 0})())
+    batch = pa.RecordBatch.from_arrays([pa.array(range(30), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    rows = [r for b in packing._pack(path, False, 2, 256)(iter([batch])) for r in b.to_pylist()]
+    (encoder,) = tokens._encoders.values()
+    assert len(encoder.known) == 50 and len(encoder.words) <= 50
+    want = {i: [*ids_of("word_bpe_49k.json", t), 2] for i, t in enumerate(texts)}
+    assert check_packing([tuple(r.values()) for r in rows], want, 256) == 0
