@@ -154,3 +154,20 @@ def test_batch_queries_read_the_tables_once(spark):
 
     for name in ("w07_batches", "snk02_batch_flags"):
         assert not [f for f in QUERIES[name](spark, "/root/testdata/sf0.001").inputFiles() if "lineitem" in f]
+
+
+def test_flags_of_every_file(spark):
+    """Every body has its row, those of the first file too, with a flag for each region that its file holds."""
+    from axonlake import queries_more  # noqa: F401  registers them
+    from axonlake.queries import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    rois = {r.body: r.rois for r in QUERIES["a10_body_rois"](spark, folder).collect()}
+    batch = dealt(Counter(rois.values()), queries_more.FILES)
+    held = defaultdict(set)
+    for combination, k in batch.items():
+        held[k].update(combination.split(","))
+    want = {b: (batch[x], ";".join(f"{r}={'true' if r in x.split(',') else ''}" for r in sorted(held[batch[x]]))) for b, x in rois.items()}
+    got = QUERIES["snk02_batch_flags"](spark, folder).collect()
+    assert len(got) == len(rois) and {r.body: (r.batch, r.flags) for r in got} == want
+    assert Counter(r.batch for r in got)[0] > len(got) / queries_more.FILES
