@@ -35,10 +35,11 @@ def with_batch(df: DataFrame, key: str, batches: DataFrame, *columns: str) -> Da
     return df.join(b, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
 
 
-def regions(batches: DataFrame, key: str) -> DataFrame:
+def regions(batches: DataFrame, key: str, unnamed: bool = False) -> DataFrame:
     """(batch, rows, combinations, regions): what each file holds; key is a comma-joined list of region names, and
-    regions are the sorted names that any of its groups has."""
-    name = F.explode_outer(F.filter(F.split(key, ","), lambda r: r != ""))
+    regions are the sorted names that any of its groups has. With unnamed, a group without regions has an empty name."""
+    names = F.split(key, ",")
+    name = F.explode_outer(names if unnamed else F.filter(names, lambda r: r != ""))
     sizes = batches.groupBy("batch").agg(F.sum("size").alias("rows"), F.count("*").alias("combinations"))
     names = batches.select("batch", name.alias("_r")).distinct().groupBy("batch").agg(F.array_sort(F.collect_list("_r")).alias("regions"))
     return sizes.join(names, "batch")

@@ -171,3 +171,21 @@ def test_flags_of_every_file(spark):
     got = QUERIES["snk02_batch_flags"](spark, folder).collect()
     assert len(got) == len(rois) and {r.body: (r.batch, r.flags) for r in got} == want
     assert Counter(r.batch for r in got)[0] > len(got) / queries_more.FILES
+
+
+def test_flags_of_bodies_without_regions(spark, tmp_path):
+    """Where some bodies lie in no region, their file has a flag without a name, as in SQL."""
+    import shutil
+
+    from axonlake import queries_more  # noqa: F401  registers them
+    from axonlake.queries import QUERIES, SQL
+
+    from .oracle import connect, difference
+
+    source, folder = "/root/testdata/sf0.001", str(tmp_path / "tables")
+    shutil.copytree(source, folder, ignore=shutil.ignore_patterns("nation*", "lineitem*"))
+    con = connect(source)
+    con.execute(f"COPY (SELECT * REPLACE ((CASE WHEN n_nationkey % 5 = 0 THEN 4 ELSE n_regionkey END)::INT AS n_regionkey) FROM nation) TO '{folder}/nation.parquet'")
+    con.execute(f"COPY (SELECT * FROM lineitem WHERE l_orderkey % 40 = 0) TO '{folder}/lineitem.parquet'")
+    assert difference(spark, connect(folder), folder, QUERIES["snk02_batch_flags"], SQL["snk02_batch_flags"]) == ""
+    assert QUERIES["snk02_batch_flags"](spark, folder).where("flags LIKE '=true%'").count()
